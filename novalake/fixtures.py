@@ -140,6 +140,28 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidate_alerts(spark, sf_dir).unionByName(history_packets(spark, sf_dir))
 
 
+def listed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One alert per order, each with a list of four history elements (one twice)."""
+    orders = table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    elements = [_history(k, F.lit(n).cast("bigint")) for n in (1, 2, 3, 2)]
+    forced = _record({
+        "procstatus": F.lit("0"), "jd": _jd(k) - 1, "fid": k % 2 + 1, "pid": k * 10,
+        "rfid": (c % 50) * 10 + k % 2 + 1,
+        "forcediffimflux": F.col("o_totalprice") - 100000.0,
+        "forcediffimfluxunc": F.lit(1.5) + k % 9,
+        "magzpsci": F.lit(26.25), "magnr": F.lit(18.0) + k % 4,
+    }, FORCED)
+    return orders.select(
+        _object(c).alias("objectId"),
+        k.alias("candid"),
+        _candidate(k, c).alias("candidate"),
+        F.array(*elements).alias("prv_candidates"),
+        F.array(forced).alias("fp_hists"),
+        _day(k).alias("observation_date"),
+    )
+
+
 def landing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as raw alert records with image payloads; some lack the id."""
     p = F.col("page_id")

@@ -1,2 +1,211 @@
-QUERIES = {}
-ORACLE = {}
+"""Lake tables: creation, evolution, layout, upserts, and the whole refresh."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from novalake.fixtures import listed_alerts, table
+from novalake.operators.combine import merge_upsert
+from novalake.plans.refresh import SILVER, backfill
+from novalake.queries.inputs import H_LISTED
+from novalake.queries.shown import comparable
+from novalake.queries.silver_tables import detection_sql
+from novalake.session import new_stage_path
+from novalake.sources.landing import read_landing, write_landing
+from novalake.sources.tables import (
+    TableSpec,
+    append_evolving,
+    create_like,
+    ensure_namespace,
+    layer_schema,
+    read_evolved,
+    read_table,
+    table_exists,
+    upsert_table,
+    with_day,
+    write_clustered,
+)
+
+ORDERS = TableSpec("silver", "orders", ("o_orderkey",), ("ts_day",), ("o_custkey", "o_orderdate"), "o_orderdate")
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events")
+
+
+def create_empty_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty table with the columns of the events, then all events in it."""
+    events, path = _events(spark, sf_dir), new_stage_path(spark, "like")
+    create_like(events, path, ["event_type"])
+    empty = read_table(spark, path, events.schema)
+    before = empty.agg(F.count("*").alias("n_before"))
+    rows_before = before.first().n_before
+    create_like(events, path, ["event_type"])  # exists: nothing happens
+    append_evolving(events, path, ["event_type"])
+    return read_table(spark, path).select(
+        "event_id", "event_type", "value", F.lit(rows_before).cast("bigint").alias("n_before")
+    )
+
+
+def append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events, path = _events(spark, sf_dir), new_stage_path(spark, "evolve")
+    append_evolving(events.where("event_id % 2 = 0").drop("props"), path)
+    append_evolving(events.where("event_id % 2 = 1").drop("value"), path)
+    return read_evolved(spark, path).select("event_id", "event_type", "value", "props")
+
+
+def layer_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in the schema its layer names, created on demand."""
+    layer = layer_schema(" novalake_bronze ", "default")
+    ensure_namespace(spark, layer, new_stage_path(spark, "warehouse"))
+    path = new_stage_path(spark, "routed")
+    _events(spark, sf_dir).write.mode("overwrite").option("path", path).saveAsTable(f"{layer}.events")
+    return spark.table(f"{layer}.events").select("event_id", "user_id", "event_type")
+
+
+def _two_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All orders; then a third of them changed, and as many new ones."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
+    )
+    changed = orders.where("o_orderkey % 3 = 0")
+    source = changed.withColumn("o_orderstatus", F.lit("U")).unionByName(
+        changed.withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    )
+    return orders, source
+
+
+def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, source = _two_batches(spark, sf_dir)
+    return merge_upsert(target, source, ["o_orderkey"])
+
+
+def _null_keys(df: DataFrame) -> DataFrame:
+    return df.withColumn("o_custkey", F.expr("CASE WHEN o_custkey % 5 <> 0 THEN o_custkey END"))
+
+
+def merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rerun of a batch: rows with a NULL key are added again."""
+    target, source = _two_batches(spark, sf_dir)
+    return merge_upsert(_null_keys(target), _null_keys(source), ["o_orderkey", "o_custkey"])
+
+
+def merge_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, source = _two_batches(spark, sf_dir)
+    return merge_upsert(
+        _null_keys(target), _null_keys(source), ["o_orderkey", "o_custkey"], null_safe=True
+    )
+
+
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "ts_day"]
+
+
+def _monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    month = F.date_trunc("MONTH", F.col("o_orderdate").cast("timestamp"))
+    return table(spark, sf_dir, "orders").withColumn("o_orderdate", month)
+
+
+def first_run_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_stage_path(spark, "lake")
+    orders = _monthly_orders(spark, sf_dir)
+    created = not table_exists(spark, ORDERS.path(root))
+    upsert_table(orders, root, ORDERS)
+    return read_table(spark, ORDERS.path(root)).select(
+        *_ORDER_COLUMNS, F.lit(created).alias("created"),
+        F.col("_created_ts").isNotNull().alias("stamped"),
+    )
+
+
+def upsert_moves_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second batch changes some orders and moves them ten days, to other partitions."""
+    root = new_stage_path(spark, "lake")
+    orders = _monthly_orders(spark, sf_dir)
+    moved = (
+        orders.where("o_orderkey % 3 = 0")
+        .withColumn("o_orderstatus", F.lit("U"))
+        .withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 10 DAYS"))
+    )
+    upsert_table(orders, root, ORDERS)
+    upsert_table(moved.unionByName(moved), root, ORDERS)  # every key twice
+    return read_table(spark, ORDERS.path(root)).select(*_ORDER_COLUMNS)
+
+
+def partition_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_stage_path(spark, "days")
+    events = _events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    write_clustered(with_day(events, "ts"), path, ["event_type", "ts_day"], ["user_id", "ts"])
+    return read_table(spark, path).groupBy("event_type", "ts_day").agg(
+        F.count("*").alias("n_events"), F.min("event_id").alias("first_id"),
+        F.max("event_id").alias("last_id"),
+    )
+
+
+def clustered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Range-distributed, sorted files; read back whole."""
+    path = new_stage_path(spark, "clustered")
+    events = _events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    write_clustered(with_day(events, "ts"), path, ["ts_day"], ["user_id", "ts"])
+    return read_table(spark, path).select("event_id", "user_id", "event_type", "ts_day")
+
+
+def lake_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files to bronze and all silver tables; returns the detections."""
+    landing, root = new_stage_path(spark, "landing"), new_stage_path(spark, "lake")
+    alerts = listed_alerts(spark, sf_dir)
+    write_landing(alerts, landing)
+    backfill(spark, read_landing(spark, landing, "parquet", alerts.schema), root, "2024-01-01", "2024-01-30")
+    rows = read_table(spark, SILVER["detection"].path(root)).drop("_created_ts", "ts_day")
+    return comparable(rows)
+
+
+QUERIES = {
+    "create_empty_like": create_empty_like,
+    "append_evolve": append_evolve,
+    "layer_routing": layer_routing,
+    "merge_upsert": merged,
+    "merge_null_keys": merge_null_keys,
+    "merge_null_safe": merge_null_safe,
+    "first_run_create": first_run_create,
+    "upsert_moves_rows": upsert_moves_rows,
+    "partition_days": partition_days,
+    "clustered_write": clustered_write,
+    "lake_backfill": lake_backfill,
+}
+
+_batches = """t AS (SELECT o_orderkey, {c} AS o_custkey, o_orderstatus, o_totalprice FROM orders),
+s AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice FROM t WHERE o_orderkey % 3 = 0
+  UNION ALL SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice FROM t WHERE o_orderkey % 3 = 0)"""
+_nulls = "CASE WHEN o_custkey % 5 <> 0 THEN o_custkey END"
+
+
+def _merge_sql(custkey: str, match: str) -> str:
+    return f"""WITH {_batches.replace('{c}', custkey)}
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE {match}) UNION ALL SELECT * FROM s"""
+
+
+ORACLE = {
+    "create_empty_like": "SELECT event_id, event_type, value, CAST(0 AS BIGINT) AS n_before FROM events",
+    "append_evolve": """SELECT event_id, event_type, value, CAST(NULL AS VARCHAR) AS props FROM events
+WHERE event_id % 2 = 0 UNION ALL BY NAME
+SELECT event_id, event_type, props FROM events WHERE event_id % 2 = 1""",
+    "layer_routing": "SELECT event_id, user_id, event_type FROM events",
+    "merge_upsert": _merge_sql("o_custkey", "s.o_orderkey = t.o_orderkey"),
+    "merge_null_keys": _merge_sql(_nulls, "s.o_orderkey = t.o_orderkey AND s.o_custkey = t.o_custkey"),
+    "merge_null_safe": _merge_sql(
+        _nulls, "s.o_orderkey = t.o_orderkey AND s.o_custkey IS NOT DISTINCT FROM t.o_custkey"
+    ),
+    "first_run_create": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+  CAST(date_trunc('month', o_orderdate) AS DATE) AS ts_day, true AS created, true AS stamped FROM orders""",
+    "upsert_moves_rows": """SELECT o_orderkey, o_custkey,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus, o_totalprice,
+  CAST(date_trunc('month', o_orderdate) AS DATE)
+    + CAST(CASE WHEN o_orderkey % 3 = 0 THEN 10 ELSE 0 END AS INTEGER) AS ts_day FROM orders""",
+    "partition_days": """SELECT event_type, CAST(ts AS DATE) AS ts_day, count(*) AS n_events,
+  min(event_id) AS first_id, max(event_id) AS last_id FROM events GROUP BY ALL""",
+    "clustered_write": "SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS ts_day FROM events",
+    "lake_backfill": f"""SELECT * EXCLUDE (observation_date) FROM (
+SELECT * FROM ({detection_sql(H_LISTED)}) QUALIFY row_number() OVER
+  (PARTITION BY objectid, candid ORDER BY observation_date DESC) = 1)""",
+}
+
