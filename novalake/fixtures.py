@@ -4,135 +4,140 @@
 record per line item that carries one history and one forced-photometry
 element; nothing is collected, however many line items an order has. Together
 they are a complete set of nested alert records.
+
+The field expressions are SQL over ``k`` (order key), ``c`` (customer key),
+``n`` (line number) and the line-item columns.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from novalake.schemas import ALERT, CANDIDATE, FORCED, HISTORY, LANDING
-from novalake.session import pin_utc
+from novalake.session import prepare
+
+JD = "(2460310.5::DOUBLE + (k % 30) + (k % 8640) / 8640::DOUBLE)"
+DAY = "(DATE '2024-01-01' + CAST(k % 30 AS INTEGER))"
+
+CANDIDATE_SQL = {
+    "candid": "k", "jd": JD, "fid": "k % 2 + 1", "pid": "k * 10",
+    "rfid": "(c % 50) * 10 + k % 2 + 1",
+    "isdiffpos": "CASE k % 6 WHEN 0 THEN ' T ' WHEN 1 THEN '1' WHEN 2 THEN 'f' "
+    "WHEN 3 THEN '0' WHEN 5 THEN 'x' END",
+    "distnr": "CASE WHEN k % 17 <> 0 THEN (k % 40) / 10::DOUBLE END",
+    "magpsf": "14::DOUBLE + (k % 800) / 100::DOUBLE",
+    "sigmapsf": "0.01::DOUBLE + (k % 20) / 100::DOUBLE",
+    "magnr": "15::DOUBLE + (c % 600) / 100::DOUBLE",
+    "sigmagnr": "0.01::DOUBLE + (c % 10) / 100::DOUBLE",
+    "chinr": "CASE WHEN k % 3 <> 0 THEN (k % 100) / 100::DOUBLE END",
+    "neargaia": "CASE WHEN k % 7 = 0 THEN -999::DOUBLE ELSE (k % 500) / 10::DOUBLE END",
+    "neargaiabright": "CASE WHEN k % 9 = 0 THEN -999::DOUBLE ELSE (k % 900) / 10::DOUBLE END",
+    "maggaia": "CASE WHEN k % 11 <> 0 THEN 12::DOUBLE + (k % 700) / 100::DOUBLE END",
+    "maggaiabright": "10::DOUBLE + (k % 500) / 100::DOUBLE",
+    "ssdistnr": "CASE WHEN k % 3 = 0 THEN CAST(k % 30 AS DOUBLE) ELSE -999::DOUBLE END",
+    "ssmagnr": "CASE WHEN k % 3 = 0 THEN CAST(k % 5 + 16 AS DOUBLE) ELSE -999::DOUBLE END",
+    "ssnamenr": "CASE WHEN k % 13 <> 0 THEN 'ast' || CAST(k % 100 AS STRING) END",
+    "nmtchps": "k % 4",
+    "objectidps1": "CASE WHEN k % 4 <> 0 THEN c * 10 + 1 END",
+    "objectidps2": "CASE WHEN k % 4 >= 2 THEN CASE WHEN k % 5 = 0 THEN c * 10 + 1 ELSE c * 10 + 2 END END",
+    "objectidps3": "CASE WHEN k % 4 >= 3 THEN c * 10 + 3 END",
+    "jdstartref": "2459000.5::DOUBLE + c % 100",
+    "jdendref": "2459200.5::DOUBLE + c % 100",
+    "nframesref": "c % 30 + 15",
+}
+for _i in (1, 2, 3):
+    for _j, _name in enumerate(("sgmag", "srmag", "simag", "szmag", "sgscore", "distpsnr")):
+        _value = f"{16 + _j}::DOUBLE + ((k + {_i - 1}) % 300) / 100::DOUBLE"
+        CANDIDATE_SQL[f"{_name}{_i}"] = (
+            f"CASE WHEN k % 5 <> 0 THEN {_value} END" if _i == 1 else _value
+        )
+
+HISTORY_SQL = {
+    "candid": "CASE n % 3 WHEN 1 THEN k + n * 30 WHEN 2 THEN 10000000 + k * 10 + n END",
+    "jd": f"{JD} - n", "fid": "n % 2 + 1", "pid": "k * 10 + n",
+    "diffmaglim": "19::DOUBLE + n / 10::DOUBLE",
+    "isdiffpos": "CASE WHEN n % 2 = 0 THEN 't' ELSE 'f' END",
+    "magpsf": "15::DOUBLE + ((k + n) % 600) / 100::DOUBLE",
+    "sigmapsf": "0.05::DOUBLE", "distnr": "n / 10::DOUBLE",
+}
+
+FORCED_SQL = {
+    "procstatus": "CASE WHEN l_returnflag = 'N' THEN '0' ELSE '61' END",
+    "jd": f"{JD} - n", "fid": "n % 2 + 1", "pid": "k * 10 + n % 3",
+    "rfid": "(c % 50) * 10 + n % 2 + 1",
+    "forcediffimflux": "CASE WHEN n = 7 THEN -99999::DOUBLE ELSE l_extendedprice - 50000 END",
+    "forcediffimfluxunc": "CASE WHEN l_quantity = 50 THEN -99999::DOUBLE ELSE l_quantity + 0.5::DOUBLE END",
+    "magzpsci": "26::DOUBLE + l_tax",
+    "magnr": "18::DOUBLE + l_discount * 10",
+    "distnr": "CASE WHEN k % 17 <> 0 THEN (k % 40) / 10::DOUBLE END",
+    "chinr": "CASE WHEN k % 23 = 0 THEN -99999::DOUBLE ELSE 1::DOUBLE END",
+}
+
+LISTED_FORCED_SQL = {
+    "procstatus": "'0'", "jd": f"{JD} - 1", "fid": "k % 2 + 1", "pid": "k * 10",
+    "rfid": "(c % 50) * 10 + k % 2 + 1",
+    "forcediffimflux": "price - 100000",
+    "forcediffimfluxunc": "1.5::DOUBLE + k % 9",
+    "magzpsci": "26.25::DOUBLE", "magnr": "18::DOUBLE + k % 4",
+}
+OBJECT_ID = "'OBJ' || CAST(c AS STRING)"
+
+# Fields without an expression are constants.
+DEFAULTS = {"string": "'v1'", "bigint": "7", "int": "3", "double": "0.5", "float": "0.5::DOUBLE"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    pin_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _day(k: Column) -> Column:
-    return F.date_add(F.to_date(F.lit("2024-01-01")), (k % 30).cast("int"))
-
-
-def _jd(k: Column) -> Column:
-    return F.lit(2460310.5) + (k % 30) + (k % 8640) / F.lit(8640.0)
-
-
-def _object(c: Column) -> Column:
-    return F.concat(F.lit("OBJ"), c.cast("string"))
-
-
-def _record(values: dict[str, Column], schema) -> Column:
-    """A struct of the given type; fields without a value are constants."""
-    default = {"string": F.lit("v1"), "bigint": F.lit(7), "int": F.lit(3)}
-    return F.struct(*(
-        values.get(f.name, default.get(f.dataType.simpleString(), F.lit(0.5)))
-        .cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ))
-
-
-def _candidate(k: Column, c: Column) -> Column:
-    sixth = k % 6
-    some, many = k % 4, k % 5
-    two = F.when(k % 5 == 0, c * 10 + 1).otherwise(c * 10 + 2)
-    values = {
-        "candid": k, "jd": _jd(k), "fid": k % 2 + 1, "pid": k * 10,
-        "rfid": (c % 50) * 10 + k % 2 + 1,
-        "isdiffpos": F.when(sixth == 0, F.lit(" T ")).when(sixth == 1, F.lit("1"))
-        .when(sixth == 2, F.lit("f")).when(sixth == 3, F.lit("0")).when(sixth == 5, F.lit("x")),
-        "distnr": F.when(k % 17 != 0, (k % 40) / F.lit(10.0)),
-        "magpsf": F.lit(14.0) + (k % 800) / F.lit(100.0),
-        "sigmapsf": F.lit(0.01) + (k % 20) / F.lit(100.0),
-        "magnr": F.lit(15.0) + (c % 600) / F.lit(100.0),
-        "sigmagnr": F.lit(0.01) + (c % 10) / F.lit(100.0),
-        "chinr": F.when(k % 3 != 0, (k % 100) / F.lit(100.0)),
-        "neargaia": F.when(k % 7 == 0, F.lit(-999.0)).otherwise((k % 500) / F.lit(10.0)),
-        "neargaiabright": F.when(k % 9 == 0, F.lit(-999.0)).otherwise((k % 900) / F.lit(10.0)),
-        "maggaia": F.when(k % 11 != 0, F.lit(12.0) + (k % 700) / F.lit(100.0)),
-        "maggaiabright": F.lit(10.0) + (k % 500) / F.lit(100.0),
-        "ssdistnr": F.when(k % 3 == 0, (k % 30).cast("double")).otherwise(F.lit(-999.0)),
-        "ssmagnr": F.when(k % 3 == 0, (k % 5 + 16).cast("double")).otherwise(F.lit(-999.0)),
-        "ssnamenr": F.when(k % 13 != 0, F.concat(F.lit("ast"), (k % 100).cast("string"))),
-        "nmtchps": some,
-        "objectidps1": F.when(some != 0, c * 10 + 1),
-        "objectidps2": F.when(some >= 2, two),
-        "objectidps3": F.when(some >= 3, c * 10 + 3),
-        "jdstartref": F.lit(2459000.5) + c % 100,
-        "jdendref": F.lit(2459200.5) + c % 100,
-        "nframesref": c % 30 + 15,
-    }
-    for i in (1, 2, 3):
-        for j, name in enumerate(("sgmag", "srmag", "simag", "szmag", "sgscore", "distpsnr")):
-            value = F.lit(16.0 + j) + ((k + i - 1) % 300) / F.lit(100.0)
-            values[f"{name}{i}"] = F.when(many != 0, value) if i == 1 else value
-    return _record(values, CANDIDATE)
+    """A driver table. One that comes in fewer files than there are cores is
+    dealt out first, else the work on it would stay in a single task."""
+    prepare(spark)
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
+def _record_sql(values: dict[str, str], schema: StructType) -> str:
+    fields = []
+    for field in schema.fields:
+        kind = field.dataType.simpleString()
+        fields.append(f"'{field.name}', CAST({values.get(field.name, DEFAULTS[kind])} AS {kind})")
+    return f"named_struct({', '.join(fields)})"
+
+
+def _record(values: dict[str, str], schema: StructType) -> Column:
+    return F.expr(_record_sql(values, schema))
+
+
+def _nothing(name: str) -> Column:
+    return F.lit(None).cast(ALERT[name].dataType).alias(name)
 
 
 def candidate_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k", "o_custkey AS c")
     return orders.select(
-        _object(c).alias("objectId"),
-        k.alias("candid"),
-        _candidate(k, c).alias("candidate"),
-        F.lit(None).cast(ALERT["prv_candidates"].dataType).alias("prv_candidates"),
-        F.lit(None).cast(ALERT["fp_hists"].dataType).alias("fp_hists"),
-        _day(k).alias("observation_date"),
+        F.expr(OBJECT_ID).alias("objectId"),
+        F.col("k").alias("candid"),
+        _record(CANDIDATE_SQL, CANDIDATE).alias("candidate"),
+        _nothing("prv_candidates"),
+        _nothing("fp_hists"),
+        F.expr(DAY).alias("observation_date"),
     )
 
 
-def _history(k: Column, n: Column) -> Column:
-    return _record({
-        "candid": F.when(n % 3 == 1, k + n * 30).when(n % 3 == 2, F.lit(10000000) + k * 10 + n),
-        "jd": _jd(k) - n, "fid": n % 2 + 1, "pid": k * 10 + n,
-        "diffmaglim": F.lit(19.0) + n / F.lit(10.0),
-        "isdiffpos": F.when(n % 2 == 0, F.lit("t")).otherwise(F.lit("f")),
-        "magpsf": F.lit(15.0) + ((k + n) % 600) / F.lit(100.0),
-        "sigmapsf": F.lit(0.05), "distnr": n / F.lit(10.0),
-    }, HISTORY)
-
-
-def _forced(k: Column, c: Column, n: Column) -> Column:
-    missing = F.lit(-99999.0)
-    return _record({
-        "procstatus": F.when(F.col("l_returnflag") == "N", F.lit("0")).otherwise(F.lit("61")),
-        "jd": _jd(k) - n, "fid": n % 2 + 1, "pid": k * 10 + n % 3,
-        "rfid": (c % 50) * 10 + n % 2 + 1,
-        "forcediffimflux": F.when(n == 7, missing).otherwise(F.col("l_extendedprice") - 50000.0),
-        "forcediffimfluxunc": F.when(F.col("l_quantity") == 50, missing)
-        .otherwise(F.col("l_quantity") + 0.5),
-        "magzpsci": F.lit(26.0) + F.col("l_tax"),
-        "magnr": F.lit(18.0) + F.col("l_discount") * 10.0,
-        "distnr": F.when(k % 17 != 0, (k % 40) / F.lit(10.0)),
-        "chinr": F.when(k % 23 == 0, missing).otherwise(F.lit(1.0)),
-    }, FORCED)
-
-
 def history_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    items = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", F.col("l_linenumber").cast("bigint").alias("n"), "l_returnflag",
-        "l_extendedprice", "l_quantity", "l_tax", "l_discount",
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k", "o_custkey AS c")
+    items = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS k", "CAST(l_linenumber AS BIGINT) AS n", "l_returnflag", "l_extendedprice",
+        "l_quantity", "l_tax", "l_discount",
     )
-    k, c, n = F.col("l_orderkey"), F.col("o_custkey"), F.col("n")
-    return items.join(orders, k == F.col("o_orderkey")).select(
-        _object(c).alias("objectId"),
+    return items.join(orders, "k").select(
+        F.expr(OBJECT_ID).alias("objectId"),
         F.lit(None).cast("bigint").alias("candid"),
-        F.lit(None).cast(CANDIDATE).alias("candidate"),
-        F.array(_history(k, n)).alias("prv_candidates"),
-        F.array(_forced(k, c, n)).alias("fp_hists"),
-        _day(k).alias("observation_date"),
+        _nothing("candidate"),
+        F.array(_record(HISTORY_SQL, HISTORY)).alias("prv_candidates"),
+        F.array(_record(FORCED_SQL, FORCED)).alias("fp_hists"),
+        F.expr(DAY).alias("observation_date"),
     )
 
 
@@ -142,44 +147,42 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One alert per order, each with a list of four history elements (one twice)."""
-    orders = table(spark, sf_dir, "orders")
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    elements = [_history(k, F.lit(n).cast("bigint")) for n in (1, 2, 3, 2)]
-    forced = _record({
-        "procstatus": F.lit("0"), "jd": _jd(k) - 1, "fid": k % 2 + 1, "pid": k * 10,
-        "rfid": (c % 50) * 10 + k % 2 + 1,
-        "forcediffimflux": F.col("o_totalprice") - 100000.0,
-        "forcediffimfluxunc": F.lit(1.5) + k % 9,
-        "magzpsci": F.lit(26.25), "magnr": F.lit(18.0) + k % 4,
-    }, FORCED)
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k", "o_custkey AS c", "o_totalprice AS price"
+    )
+    element = _record_sql(HISTORY_SQL, HISTORY)
+    numbers = "array(1L, 2L, 3L, 2L)"
     return orders.select(
-        _object(c).alias("objectId"),
-        k.alias("candid"),
-        _candidate(k, c).alias("candidate"),
-        F.array(*elements).alias("prv_candidates"),
-        F.array(forced).alias("fp_hists"),
-        _day(k).alias("observation_date"),
+        F.expr(OBJECT_ID).alias("objectId"),
+        F.col("k").alias("candid"),
+        _record(CANDIDATE_SQL, CANDIDATE).alias("candidate"),
+        F.expr(f"transform({numbers}, n -> {element})").alias("prv_candidates"),
+        F.array(_record(LISTED_FORCED_SQL, FORCED)).alias("fp_hists"),
+        F.expr(DAY).alias("observation_date"),
     )
 
 
 def landing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as raw alert records with image payloads; some lack the id."""
-    p = F.col("page_id")
-
-    def stamp(body: Column, present: Column) -> Column:
-        filled = F.struct(F.lit("img").alias("fileName"), F.encode(body, "UTF-8").alias("stampData"))
-        return F.when(present, filled)
-
-    return table(spark, sf_dir, "pages").select(
-        F.concat(F.lit("PAGE"), p.cast("string")).alias("objectId"),
-        F.when(p % 19 != 0, p).alias("candid"),
-        _candidate(p, p % 97).alias("candidate"),
-        F.array(_history(p, F.lit(1).cast("bigint")), _history(p, F.lit(3).cast("bigint")))
-        .alias("prv_candidates"),
-        F.lit(None).cast(ALERT["fp_hists"].dataType).alias("fp_hists"),
-        stamp(F.col("html"), p % 7 != 0).alias("cutoutScience"),
-        stamp(F.col("url"), (p % 3 != 0) & (p % 7 != 0)).alias("cutoutTemplate"),
-        stamp(F.reverse("url"), (p % 5 == 0) & (p % 7 != 0)).alias("cutoutDifference"),
-        _day(p).alias("observation_date"),
+    pages = table(spark, sf_dir, "pages").selectExpr(
+        "page_id AS k", "page_id % 97 AS c", "CAST(1 AS BIGINT) AS n", "html", "url"
+    )
+
+    def stamp(body: str, present: str) -> Column:
+        return F.expr(
+            f"CASE WHEN {present} THEN named_struct('fileName', 'img', "
+            f"'stampData', encode({body}, 'UTF-8')) END"
+        )
+
+    return pages.select(
+        F.expr("'PAGE' || CAST(k AS STRING)").alias("objectId"),
+        F.expr("CASE WHEN k % 19 <> 0 THEN k END").alias("candid"),
+        _record(CANDIDATE_SQL, CANDIDATE).alias("candidate"),
+        F.array(_record(HISTORY_SQL, HISTORY), _record(HISTORY_SQL, HISTORY)).alias("prv_candidates"),
+        _nothing("fp_hists"),
+        stamp("html", "k % 7 <> 0").alias("cutoutScience"),
+        stamp("url", "k % 3 <> 0 AND k % 7 <> 0").alias("cutoutTemplate"),
+        stamp("reverse(url)", "k % 5 = 0 AND k % 7 <> 0").alias("cutoutDifference"),
+        F.expr(DAY).alias("observation_date"),
     ).select(*(F.col(f.name).cast(f.dataType) if f.name.startswith("cutout") else f.name
                for f in LANDING.fields))

@@ -17,8 +17,3 @@ def jd_to_mjd(jd: Column) -> Column:
 
 def jd_to_timestamp(jd: Column) -> Column:
     return F.timestamp_seconds((jd - F.lit(UNIX_EPOCH_JD)) * F.lit(SECONDS_PER_DAY))
-
-
-def whole_seconds(ts: Column) -> Column:
-    """Epoch seconds, rounded: stable against the last digits of a JD double."""
-    return F.round(F.unix_micros(ts) / F.lit(1e6)).cast("bigint")

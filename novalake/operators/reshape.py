@@ -14,12 +14,18 @@ def explode_fields(
 ) -> DataFrame:
     """One row per array element, with the named element fields as columns.
 
-    A NULL or empty array gives no row. Zipping the field arrays, instead of
-    exploding the struct and filtering it, lets the scan skip the fields that
-    are not named, also when a filter on an element field follows.
+    A NULL or empty array gives no row. For a few fields of a wide element the
+    field arrays are zipped: the scan then skips the other fields, also when a
+    filter on an element field follows. For most fields the struct itself is
+    exploded, which builds fewer objects per row.
     """
-    zipped = F.arrays_zip(*(F.col(f"{array}.{f}").alias(f) for f in fields))
-    return df.select(*keep, F.inline(zipped).alias(*fields))
+    element = df.schema[array].dataType.elementType
+    if 2 * len(fields) <= len(element):
+        zipped = F.arrays_zip(*(F.col(f"{array}.{f}").alias(f) for f in fields))
+        return df.select(*keep, F.inline(zipped).alias(*fields))
+    exploded = df.select(*keep, F.explode(array).alias("_element"))
+    kept = [c for c in exploded.columns if c != "_element"]
+    return exploded.select(*kept, *(F.col(f"_element.{f}").alias(f) for f in fields))
 
 
 def unpivot_groups(

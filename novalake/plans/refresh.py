@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from novalake.operators.dedupe import dedupe_by_key
 from novalake.plans import silver
-from novalake.session import pin_utc
+from novalake.session import prepare
 from novalake.sources.landing import batch_of, valid_records
 from novalake.sources.tables import (
     TableSpec,
     ensure_namespace,
+    has_duplicates,
     layer_schema,
     read_table,
     stage,
@@ -28,7 +30,7 @@ BRONZE_ALERT = TableSpec("bronze", "alert", ("candid",), ("observation_date",),
 # Keys, partitions and sort order of the silver tables. Only
 # where mjd and fid are part of the key does the key imply the partition.
 SILVER = {
-    spec.name: spec
+    spec.name: replace(spec, unstored=silver.BATCH)
     for spec in (
         TableSpec("silver", "crossmatch_gaia", ("objectid", "candid"),
                   ("ts_day",), ("objectid", "ts"), "ts"),
@@ -64,13 +66,9 @@ def prepare_layers(spark: SparkSession, root: str, bronze: str | None = None, ot
         ensure_namespace(spark, layer_schema(custom, layer), f"{root.rstrip('/')}/{layer}")
 
 
-def _clear_of_batch(df: DataFrame) -> DataFrame:
-    return df.drop(*silver.BATCH)
-
-
 def refresh_day(spark: SparkSession, landing: DataFrame, root: str, date: str = DEFAULT_DATE) -> None:
     """Upserts one observation date into bronze and every silver table."""
-    pin_utc(spark)
+    prepare(spark)
     upsert_table(valid_records(batch_of(landing, date)), root, BRONZE_ALERT)
     alerts = batch_of(read_table(spark, BRONZE_ALERT.path(root)), date)
     for name, plan in ALERT_ONLY.items():
@@ -89,18 +87,14 @@ def backfill(
     detection joins them by date and needs no earlier table state. The batch is
     staged once: all tables read it, column by column.
     """
-    pin_utc(spark)
-    rows = valid_records(batch_of(landing, first, last or "9999-12-31"))
-    alerts = stage(dedupe_by_key(rows, ["observation_date", "candid"]), "backfill")
+    prepare(spark)
+    keys = ["observation_date", "candid"]
+    alerts = stage(valid_records(batch_of(landing, first, last or "9999-12-31")), "backfill")
+    if has_duplicates(alerts, keys):
+        alerts = stage(dedupe_by_key(alerts, keys), "backfill-unique")
     upsert_table(alerts, root, BRONZE_ALERT, latest=silver.BATCH)
     per = silver.BATCH
     for name, plan in ALERT_ONLY.items():
-        _upsert_latest(plan(alerts, per), root, SILVER[name])
+        upsert_table(plan(alerts, per), root, SILVER[name], latest=per)
     references = silver.reference(alerts, per)
-    _upsert_latest(silver.detection(alerts, references, per), root, SILVER["detection"])
-
-
-def _upsert_latest(rows: DataFrame, root: str, spec: TableSpec) -> None:
-    """Per key only the latest batch reaches the table, without its batch column."""
-    unique = dedupe_by_key(rows, list(spec.keys), silver.BATCH)
-    upsert_table(_clear_of_batch(unique), root, spec)
+    upsert_table(silver.detection(alerts, references, per), root, SILVER["detection"], latest=per)

@@ -174,23 +174,24 @@ def history_detections(alerts: DataFrame, per: Sequence[str] = ()) -> DataFrame:
 
 def difference_photometry(df: DataFrame) -> DataFrame:
     """Adds fluxes and magnitudes; each intermediate is computed once."""
+    diff, ref = F.col("diff_flux_ujy"), F.col("_ref_flux")
+    diff_err, ref_err = F.col("diff_flux_err_ujy"), F.col("_ref_flux_err")
+    total, total_err = F.col("total_flux_ujy"), F.col("total_flux_err_ujy")
     return (
-        df.withColumn("diff_flux_ujy", ph.flux(F.col("magpsf")))
-        .withColumn("_ref_flux", ph.flux(F.col("magnr")))
-        .withColumn("diff_flux_err_ujy", ph.flux_error(F.col("sigmapsf"), F.col("diff_flux_ujy")))
-        .withColumn("_ref_flux_err", ph.flux_error(F.col("sigmagnr"), F.col("_ref_flux")))
-        .withColumn(
-            "total_flux_ujy",
-            ph.total_flux(F.col("_ref_flux"), F.col("diff_flux_ujy"), F.col("isdiffpos")),
-        )
-        .withColumn(
-            "total_flux_err_ujy", ph.quadrature(F.col("diff_flux_err_ujy"), F.col("_ref_flux_err"))
-        )
-        .withColumn("apparent_mag", ph.magnitude(F.col("total_flux_ujy")))
-        .withColumn(
-            "apparent_mag_err",
-            ph.magnitude_error(F.col("total_flux_err_ujy"), F.col("total_flux_ujy")),
-        )
+        df.withColumns({
+            "diff_flux_ujy": ph.flux(F.col("magpsf")),
+            "_ref_flux": ph.flux(F.col("magnr")),
+        })
+        .withColumns({
+            "diff_flux_err_ujy": ph.flux_error(F.col("sigmapsf"), diff),
+            "_ref_flux_err": ph.flux_error(F.col("sigmagnr"), ref),
+            "total_flux_ujy": ph.total_flux(ref, diff, F.col("isdiffpos")),
+        })
+        .withColumns({
+            "total_flux_err_ujy": ph.quadrature(diff_err, ref_err),
+            "apparent_mag": ph.magnitude(total),
+        })
+        .withColumn("apparent_mag_err", ph.magnitude_error(total_err, total))
         .drop("_ref_flux", "_ref_flux_err")
     )
 
@@ -212,11 +213,9 @@ def detection(alerts: DataFrame, reference_rows: DataFrame, per: Sequence[str] =
         values=["magnr", "sigmagnr"],
         gate=F.col("distnr") < F.lit(MATCH_RADIUS),
     )
-    every = (
-        pad_union(matched, history)
-        .withColumn("mjd", jd_to_mjd(F.col("jd")))
-        .withColumn("ts", jd_to_timestamp(F.col("jd")))
-    )
+    every = pad_union(matched, history).withColumns({
+        "mjd": jd_to_mjd(F.col("jd")), "ts": jd_to_timestamp(F.col("jd")),
+    })
     return difference_photometry(every).select(*per, *DETECTION_COLUMNS)
 
 
@@ -251,14 +250,18 @@ def forced_photometry_values(df: DataFrame, calibrated_error: bool = False) -> D
     total = F.col("total_flux_ujy")
     error = F.col("diff_flux_err_ujy") if calibrated_error else unc
     return (
-        df.withColumn("snr", ph.signal_to_noise(counts, unc))
-        .withColumn("magpsf", ph.instrument_magnitude(zp, counts))
-        .withColumn("sigmapsf", ph.instrument_magnitude_error(unc, counts))
-        .withColumn("diff_flux_ujy", ph.calibrated_flux(zp, counts))
-        .withColumn("diff_flux_err_ujy", ph.calibrated_flux(zp, unc))
+        df.withColumns({
+            "snr": ph.signal_to_noise(counts, unc),
+            "magpsf": ph.instrument_magnitude(zp, counts),
+            "sigmapsf": ph.instrument_magnitude_error(unc, counts),
+            "diff_flux_ujy": ph.calibrated_flux(zp, counts),
+            "diff_flux_err_ujy": ph.calibrated_flux(zp, unc),
+        })
         .withColumn("total_flux_ujy", ph.flux(F.col("magnr")) + F.col("diff_flux_ujy"))
-        .withColumn("apparent_mag", ph.magnitude(total))
-        .withColumn("apparent_mag_err", ph.magnitude_error(error, total))
+        .withColumns({
+            "apparent_mag": ph.magnitude(total),
+            "apparent_mag_err": ph.magnitude_error(error, total),
+        })
     )
 
 

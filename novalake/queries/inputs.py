@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StructType
 
+from novalake.fixtures import CANDIDATE_SQL, DAY, FORCED_SQL, HISTORY_SQL, JD
 from novalake.schemas import CANDIDATE, FORCED, HISTORY
 
 
@@ -30,63 +31,6 @@ def _columns(values: dict[str, str], schema: StructType) -> str:
     return ",\n  ".join(out)
 
 
-JD = "(2460310.5::DOUBLE + (k % 30) + (k % 8640) / 8640::DOUBLE)"
-DAY = "(DATE '2024-01-01' + CAST(k % 30 AS INTEGER))"
-
-_CANDIDATE = {
-    "candid": "k", "jd": JD, "fid": "k % 2 + 1", "pid": "k * 10",
-    "rfid": "(c % 50) * 10 + k % 2 + 1",
-    "isdiffpos": "CASE k % 6 WHEN 0 THEN ' T ' WHEN 1 THEN '1' WHEN 2 THEN 'f' "
-    "WHEN 3 THEN '0' WHEN 5 THEN 'x' END",
-    "distnr": "CASE WHEN k % 17 <> 0 THEN (k % 40) / 10::DOUBLE END",
-    "magpsf": "14::DOUBLE + (k % 800) / 100::DOUBLE",
-    "sigmapsf": "0.01::DOUBLE + (k % 20) / 100::DOUBLE",
-    "magnr": "15::DOUBLE + (c % 600) / 100::DOUBLE",
-    "sigmagnr": "0.01::DOUBLE + (c % 10) / 100::DOUBLE",
-    "chinr": "CASE WHEN k % 3 <> 0 THEN (k % 100) / 100::DOUBLE END",
-    "neargaia": "CASE WHEN k % 7 = 0 THEN -999::DOUBLE ELSE (k % 500) / 10::DOUBLE END",
-    "neargaiabright": "CASE WHEN k % 9 = 0 THEN -999::DOUBLE ELSE (k % 900) / 10::DOUBLE END",
-    "maggaia": "CASE WHEN k % 11 <> 0 THEN 12::DOUBLE + (k % 700) / 100::DOUBLE END",
-    "maggaiabright": "10::DOUBLE + (k % 500) / 100::DOUBLE",
-    "ssdistnr": "CASE WHEN k % 3 = 0 THEN CAST(k % 30 AS DOUBLE) ELSE -999::DOUBLE END",
-    "ssmagnr": "CASE WHEN k % 3 = 0 THEN CAST(k % 5 + 16 AS DOUBLE) ELSE -999::DOUBLE END",
-    "ssnamenr": "CASE WHEN k % 13 <> 0 THEN 'ast' || CAST(k % 100 AS VARCHAR) END",
-    "nmtchps": "k % 4",
-    "objectidps1": "CASE WHEN k % 4 <> 0 THEN c * 10 + 1 END",
-    "objectidps2": "CASE WHEN k % 4 >= 2 THEN CASE WHEN k % 5 = 0 THEN c * 10 + 1 ELSE c * 10 + 2 END END",
-    "objectidps3": "CASE WHEN k % 4 >= 3 THEN c * 10 + 3 END",
-    "jdstartref": "2459000.5::DOUBLE + c % 100",
-    "jdendref": "2459200.5::DOUBLE + c % 100",
-    "nframesref": "c % 30 + 15",
-}
-for _i in (1, 2, 3):
-    for _j, _name in enumerate(("sgmag", "srmag", "simag", "szmag", "sgscore", "distpsnr")):
-        _value = f"{16 + _j}::DOUBLE + ((k + {_i - 1}) % 300) / 100::DOUBLE"
-        _CANDIDATE[f"{_name}{_i}"] = (
-            f"CASE WHEN k % 5 <> 0 THEN {_value} END" if _i == 1 else _value
-        )
-
-_HISTORY = {
-    "candid": "CASE n % 3 WHEN 1 THEN k + n * 30 WHEN 2 THEN 10000000 + k * 10 + n END",
-    "jd": f"{JD} - n", "fid": "n % 2 + 1", "pid": "k * 10 + n",
-    "diffmaglim": "19::DOUBLE + n / 10::DOUBLE",
-    "isdiffpos": "CASE WHEN n % 2 = 0 THEN 't' ELSE 'f' END",
-    "magpsf": "15::DOUBLE + ((k + n) % 600) / 100::DOUBLE",
-    "sigmapsf": "0.05::DOUBLE", "distnr": "n / 10::DOUBLE",
-}
-
-_FORCED = {
-    "procstatus": "CASE WHEN l_returnflag = 'N' THEN '0' ELSE '61' END",
-    "jd": f"{JD} - n", "fid": "n % 2 + 1", "pid": "k * 10 + n % 3",
-    "rfid": "(c % 50) * 10 + n % 2 + 1",
-    "forcediffimflux": "CASE WHEN n = 7 THEN -99999::DOUBLE ELSE l_extendedprice - 50000 END",
-    "forcediffimfluxunc": "CASE WHEN l_quantity = 50 THEN -99999::DOUBLE ELSE l_quantity + 0.5::DOUBLE END",
-    "magzpsci": "26::DOUBLE + l_tax",
-    "magnr": "18::DOUBLE + l_discount * 10",
-    "distnr": "CASE WHEN k % 17 <> 0 THEN (k % 40) / 10::DOUBLE END",
-    "chinr": "CASE WHEN k % 23 = 0 THEN -99999::DOUBLE ELSE 1::DOUBLE END",
-}
-
 _HEAD = f"'OBJ' || CAST(c AS VARCHAR) AS objectid, {DAY} AS observation_date, k, c"
 _ORDERS = "(SELECT o_orderkey AS k, o_custkey AS c FROM orders)"
 _ITEMS = (
@@ -98,10 +42,10 @@ _LISTED = (
     "(SELECT o_orderkey AS k, o_custkey AS c, CAST(unnest([1, 2, 3, 2]) AS BIGINT) AS n FROM orders)"
 )
 
-A = f"a AS (SELECT {_HEAD},\n  {_columns(_CANDIDATE, CANDIDATE)}\n  FROM {_ORDERS} o)"
-H = f"h AS (SELECT {_HEAD}, n,\n  {_columns(_HISTORY, HISTORY)}\n  FROM {_ITEMS} i)"
-H_LISTED = f"h AS (SELECT {_HEAD}, n,\n  {_columns(_HISTORY, HISTORY)}\n  FROM {_LISTED} i)"
-FP = f"fp AS (SELECT {_HEAD}, n,\n  {_columns(_FORCED, FORCED)}\n  FROM {_ITEMS} i)"
+A = f"a AS (SELECT {_HEAD},\n  {_columns(CANDIDATE_SQL, CANDIDATE)}\n  FROM {_ORDERS} o)"
+H = f"h AS (SELECT {_HEAD}, n,\n  {_columns(HISTORY_SQL, HISTORY)}\n  FROM {_ITEMS} i)"
+H_LISTED = f"h AS (SELECT {_HEAD}, n,\n  {_columns(HISTORY_SQL, HISTORY)}\n  FROM {_LISTED} i)"
+FP = f"fp AS (SELECT {_HEAD}, n,\n  {_columns(FORCED_SQL, FORCED)}\n  FROM {_ITEMS} i)"
 
 
 def seconds(jd: str) -> str:

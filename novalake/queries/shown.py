@@ -5,11 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, TimestampType
 
-from novalake.functions.julian import whole_seconds
-
 
 def comparable(df: DataFrame, exact: Sequence[str] = ("snr",)) -> DataFrame:
     """Floats rounded to 6 digits, timestamps as whole epoch seconds.
@@ -20,12 +17,13 @@ def comparable(df: DataFrame, exact: Sequence[str] = ("snr",)) -> DataFrame:
     """
     cols = []
     for field in df.schema.fields:
-        col = F.col(field.name)
-        if field.name in exact:
-            pass
+        name = field.name
+        if name in exact:
+            cols.append(name)
         elif isinstance(field.dataType, (FloatType, DoubleType)):
-            col = F.round(col.cast("double"), 6)
+            cols.append(f"round(CAST({name} AS DOUBLE), 6) AS {name}")
         elif isinstance(field.dataType, TimestampType):
-            col = whole_seconds(col)
-        cols.append(col.alias(field.name))
-    return df.select(*cols)
+            cols.append(f"CAST(round(unix_micros({name}) / 1e6D) AS BIGINT) AS {name}")
+        else:
+            cols.append(name)
+    return df.selectExpr(*cols)

@@ -17,8 +17,14 @@ ENGINE_CONF = {
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The tables are wide. HotSpot does not compile methods above 8000 bytes,
+    # so generated code beyond that would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# The part results or speed depend on even in a session built elsewhere.
+PLAN_CONF = ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit")
+
 
 def build_session(
     app_name: str = "novalake",
@@ -39,9 +45,11 @@ def build_session(
     return builder.getOrCreate()
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """``to_date(ts)`` and day partitions depend on the session time zone."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Puts a session built elsewhere on UTC (``to_date(ts)`` and day partitions
+    depend on it) and on the code generation limit for wide rows."""
+    for key in PLAN_CONF:
+        spark.conf.set(key, ENGINE_CONF[key])
     return spark
 
 

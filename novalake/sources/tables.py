@@ -33,6 +33,7 @@ class TableSpec:
     ``day_of`` names the timestamp whose day is a partition (``ts_day``).
     ``key_fixes_partition`` states that equal keys imply equal partitions; only
     then may an upsert skip looking for old rows in other partitions.
+    ``unstored`` columns order a batch but are not part of the table.
     """
 
     layer: str
@@ -42,6 +43,7 @@ class TableSpec:
     order_by: tuple[str, ...] = ()
     day_of: str | None = None
     key_fixes_partition: bool = False
+    unstored: tuple[str, ...] = ()
 
     def path(self, root: str) -> str:
         return f"{root.rstrip('/')}/{self.layer}/{self.name}"
@@ -161,6 +163,11 @@ def _partition_folders(df: DataFrame, columns: Sequence[str]) -> set[str]:
     return {row.folder for row in found.collect()}
 
 
+def has_duplicates(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether any key occurs twice: a shuffle of partly counted keys only."""
+    return not df.groupBy(*keys).count().where("count > 1").isEmpty()
+
+
 def upsert_table(
     source: DataFrame,
     root: str,
@@ -171,17 +178,26 @@ def upsert_table(
 ) -> None:
     """Upserts a batch into a table, rewriting only the partitions it touches.
 
-    The first run creates the table. The batch is staged in the shared folder
-    once, since several passes read it. Touched partitions are those of the
-    batch plus, unless the key fixes the partition, those now holding rows
-    that the batch replaces (a scan of the key columns only). Spark writes the
-    new partitions aside and swaps them in when all tasks are done, so reading
-    and replacing the same partitions in one job is safe.
+    Of several source rows with one key the one with the greatest ``latest``
+    wins; the spec's ``unstored`` columns are dropped after that. The first run
+    creates the table.
+
+    The batch is staged in the shared folder, since several passes read it, and
+    whole rows are only compared when the keys alone show duplicates. Touched
+    partitions are those of the batch plus, unless the key fixes the partition,
+    those now holding rows that the batch replaces (a scan of the key columns
+    only). Spark writes the new partitions aside and swaps them in when all
+    tasks are done, so reading and replacing the same partitions in one job is
+    safe.
     """
     spark = source.sparkSession
     path, keys, parts = spec.path(root), list(spec.keys), list(spec.partition_by)
-    rows = dedupe_by_key(with_day(source, spec.day_of), keys, latest, null_safe)
-    batch = stage(with_audit(rows) if audit else rows, f"batch-{spec.name}")
+    batch = stage(with_day(source, spec.day_of), f"batch-{spec.name}")
+    if has_duplicates(batch, keys):
+        batch = stage(dedupe_by_key(batch, keys, latest, null_safe), f"unique-{spec.name}")
+    batch = batch.drop(*spec.unstored)
+    if audit:
+        batch = with_audit(batch)
     if not table_exists(spark, path):
         write_clustered(batch, path, parts, spec.order_by)
         return
