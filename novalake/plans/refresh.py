@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from novalake.operators.combine import match_keys
 from novalake.operators.dedupe import dedupe_by_key
 from novalake.plans import silver
 from novalake.session import prepare
@@ -18,6 +20,7 @@ from novalake.sources.tables import (
     layer_schema,
     read_table,
     stage,
+    table_exists,
     upsert_table,
 )
 
@@ -25,12 +28,15 @@ from novalake.sources.tables import (
 DEFAULT_DATE = "2024-02-01"
 FIRST_DATE = "2018-06-01"
 
+# Marks detections that are current rows; orders a batch, not stored.
+CURRENT = "is_current"
+
 BRONZE_ALERT = TableSpec("bronze", "alert", ("candid",), ("observation_date",), ("objectId", "candid"))
 
 # Keys, partitions and sort order of the silver tables. Only
 # where mjd and fid are part of the key does the key imply the partition.
 SILVER = {
-    spec.name: replace(spec, unstored=silver.BATCH)
+    spec.name: replace(spec, unstored=(*silver.BATCH, CURRENT))
     for spec in (
         TableSpec("silver", "crossmatch_gaia", ("objectid", "candid"),
                   ("ts_day",), ("objectid", "ts"), "ts"),
@@ -66,19 +72,52 @@ def prepare_layers(spark: SparkSession, root: str, bronze: str | None = None, ot
         ensure_namespace(spark, layer_schema(custom, layer), f"{root.rstrip('/')}/{layer}")
 
 
-def refresh_day(spark: SparkSession, landing: DataFrame, root: str, date: str = DEFAULT_DATE) -> None:
+def upsert_detections(rows: DataFrame, root: str, per: Sequence[str], keep_richer: bool) -> None:
+    """Upserts detections; by default a history row replaces whatever is stored.
+
+    A history row lacks the columns only a current row has, so the upsert may
+    overwrite a fuller row. With ``keep_richer`` a history row never replaces a
+    stored row, nor a current row of its own batch.
+    """
+    spec = SILVER["detection"]
+    if not keep_richer:
+        upsert_table(rows, root, spec, latest=per)
+        return
+    spark, path = rows.sparkSession, spec.path(root)
+    if table_exists(spark, path):
+        staged = stage(rows, "detections")
+        stored = read_table(spark, path)
+        rows = staged.where(CURRENT).unionByName(
+            match_keys(staged.where(~F.col(CURRENT)), stored, spec.keys, "left_anti")
+        )
+    upsert_table(rows, root, spec, latest=[CURRENT, *per])
+
+
+def refresh_day(
+    spark: SparkSession,
+    landing: DataFrame,
+    root: str,
+    date: str = DEFAULT_DATE,
+    keep_richer: bool = False,
+) -> None:
     """Upserts one observation date into bronze and every silver table."""
     prepare(spark)
     upsert_table(valid_records(batch_of(landing, date)), root, BRONZE_ALERT)
     alerts = batch_of(read_table(spark, BRONZE_ALERT.path(root)), date)
     for name, plan in ALERT_ONLY.items():
         upsert_table(plan(alerts), root, SILVER[name])
-    reference = read_table(spark, SILVER["reference"].path(root))
-    upsert_table(silver.detection(alerts, reference), root, SILVER["detection"])
+    references = read_table(spark, SILVER["reference"].path(root))
+    rows = silver.detection(alerts, references, origin=CURRENT)
+    upsert_detections(rows, root, (), keep_richer)
 
 
 def backfill(
-    spark: SparkSession, landing: DataFrame, root: str, first: str = FIRST_DATE, last: str | None = None
+    spark: SparkSession,
+    landing: DataFrame,
+    root: str,
+    first: str = FIRST_DATE,
+    last: str | None = None,
+    keep_richer: bool = False,
 ) -> None:
     """A range of dates in one pass per table; same tables as the loop over days.
 
@@ -88,13 +127,12 @@ def backfill(
     staged once: all tables read it, column by column.
     """
     prepare(spark)
-    keys = ["observation_date", "candid"]
+    per, keys = silver.BATCH, [*silver.BATCH, "candid"]
     alerts = stage(valid_records(batch_of(landing, first, last or "9999-12-31")), "backfill")
     if has_duplicates(alerts, keys):
         alerts = stage(dedupe_by_key(alerts, keys), "backfill-unique")
-    upsert_table(alerts, root, BRONZE_ALERT, latest=silver.BATCH)
-    per = silver.BATCH
+    upsert_table(alerts, root, BRONZE_ALERT, latest=per)
     for name, plan in ALERT_ONLY.items():
         upsert_table(plan(alerts, per), root, SILVER[name], latest=per)
-    references = silver.reference(alerts, per)
-    upsert_table(silver.detection(alerts, references, per), root, SILVER["detection"], latest=per)
+    rows = silver.detection(alerts, silver.reference(alerts, per), per, origin=CURRENT)
+    upsert_detections(rows, root, per, keep_richer)

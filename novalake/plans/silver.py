@@ -196,11 +196,17 @@ def difference_photometry(df: DataFrame) -> DataFrame:
     )
 
 
-def detection(alerts: DataFrame, reference_rows: DataFrame, per: Sequence[str] = ()) -> DataFrame:
+def detection(
+    alerts: DataFrame,
+    reference_rows: DataFrame,
+    per: Sequence[str] = (),
+    origin: str | None = None,
+) -> DataFrame:
     """Current candidates plus history detections that are not current.
 
     History rows carry no reference-image id, so they can never match
-    ``reference_rows``: only the current rows go through that join.
+    ``reference_rows``: only the current rows go through that join. ``origin``
+    names an extra column telling whether the row is a current one.
     """
     current = current_detections(alerts, per)
     history = exclude_current(
@@ -213,10 +219,14 @@ def detection(alerts: DataFrame, reference_rows: DataFrame, per: Sequence[str] =
         values=["magnr", "sigmagnr"],
         gate=F.col("distnr") < F.lit(MATCH_RADIUS),
     )
+    if origin:
+        matched = matched.withColumn(origin, F.lit(True))
+        history = history.withColumn(origin, F.lit(False))
     every = pad_union(matched, history).withColumns({
         "mjd": jd_to_mjd(F.col("jd")), "ts": jd_to_timestamp(F.col("jd")),
     })
-    return difference_photometry(every).select(*per, *DETECTION_COLUMNS)
+    extra = [origin] if origin else []
+    return difference_photometry(every).select(*per, *DETECTION_COLUMNS, *extra)
 
 
 def forced_measurements(alerts: DataFrame, per: Sequence[str] = ()) -> DataFrame:
