@@ -86,7 +86,7 @@ def upsert_detections(rows: DataFrame, root: str, per: Sequence[str], keep_riche
     spark, path = rows.sparkSession, spec.path(root)
     if table_exists(spark, path):
         staged = stage(rows, "detections")
-        stored = read_table(spark, path)
+        stored = read_table(spark, path, rows.schema)
         rows = staged.where(CURRENT).unionByName(
             match_keys(staged.where(~F.col(CURRENT)), stored, spec.keys, "left_anti")
         )
@@ -103,10 +103,11 @@ def refresh_day(
     """Upserts one observation date into bronze and every silver table."""
     prepare(spark)
     upsert_table(valid_records(batch_of(landing, date)), root, BRONZE_ALERT)
-    alerts = batch_of(read_table(spark, BRONZE_ALERT.path(root)), date)
+    alerts = batch_of(read_table(spark, BRONZE_ALERT.path(root), landing.schema), date)
     for name, plan in ALERT_ONLY.items():
         upsert_table(plan(alerts), root, SILVER[name])
-    references = read_table(spark, SILVER["reference"].path(root))
+    schema = silver.reference(alerts).schema
+    references = read_table(spark, SILVER["reference"].path(root), schema)
     rows = silver.detection(alerts, references, origin=CURRENT)
     upsert_detections(rows, root, (), keep_richer)
 

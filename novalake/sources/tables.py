@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -71,9 +72,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Reads a table; give the schema for one that may still be empty."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
+    """Reads a table; ``schema`` stands in while it has no files to take it from."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if schema is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.read.schema(schema).parquet(path)
 
 
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:
@@ -202,7 +207,7 @@ def upsert_table(
         write_clustered(batch, path, parts, spec.order_by)
         return
 
-    table = read_table(spark, path)
+    table = read_table(spark, path, batch.schema)
 
     def in_folders(folders: set[str]) -> DataFrame:
         return table.where(_partition_folder(parts).isin(sorted(folders)))

@@ -1,0 +1,136 @@
+"""The physical plans are the wanted ones, and hot keys do not change results."""
+
+from __future__ import annotations
+
+import datetime as dt
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from novalake.fixtures import alerts as driver_alerts
+from novalake.operators.dedupe import dedupe_by_key, first_non_null, top_row
+from novalake.operators.combine import exclude_current, merge_upsert
+from novalake.plans import silver
+from novalake.plans.silver import BATCH
+from novalake.session import new_stage_path
+from novalake.sources.landing import batch_of
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def bronze(spark):
+    path = new_stage_path(spark, "bronze")
+    driver_alerts(spark, SF_DIR).write.partitionBy("observation_date").parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Plans as for sides too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def read_schemas(df):
+    return re.findall(r"ReadSchema: (.*)", plan(df))
+
+
+def test_scan_reads_one_day_and_only_the_named_fields(bronze):
+    df = silver.crossmatch_gaia(batch_of(bronze, "2024-01-05"))
+    text = plan(df)
+    assert "observation_date" in re.search(r"PartitionFilters: \[(.*)\]", text).group(1)
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+    assert "GreaterThan(candidate.neargaia,0.0)" in pushed
+    (schema,) = read_schemas(df)
+    assert schema.count("float") == 4 and "prv_candidates" not in schema
+
+
+def test_exploding_few_fields_prunes_the_element(bronze):
+    (schema,) = read_schemas(silver.non_detection(bronze))
+    assert "magpsf" not in schema and "candidate:" not in schema and "diffmaglim" in schema
+
+
+def test_no_python_and_no_cross_join_anywhere(spark):
+    import __spark_entry__ as driver
+    from novalake.queries import operators, silver_tables
+
+    for name in [*silver_tables.QUERIES, *operators.QUERIES]:
+        text = plan(driver.queries()[name](spark, SF_DIR))
+        for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+            assert word not in text, (name, word)
+
+
+def test_unpivot_scans_once(bronze):
+    assert len(read_schemas(silver.ps1_matches(bronze))) == 1
+
+
+def test_best_row_is_limited_before_the_shuffle(bronze):
+    text = plan(silver.best_measurement(silver.forced_measurements(bronze)))
+    tree = text.split("\n(1)")[0]
+    assert tree.count("WindowGroupLimit") == 2
+    assert tree.index("Exchange") < tree.rindex("WindowGroupLimit")
+
+
+def test_grouping_is_partial_first(bronze):
+    for df in (silver.reference(bronze), silver.crossmatch_ps1(bronze), silver.history_detections(bronze)):
+        assert "partial_" in plan(df) or plan(df).count("Aggregate") >= 2
+
+
+def test_history_skips_the_reference_join(bronze, shuffled):
+    df = silver.detection(bronze, silver.reference(bronze))
+    tree = plan(df).split("\n(1)")[0]
+    assert tree.count("LeftOuter") == 1 and tree.count("LeftAnti") == 1
+    union = tree.index("Union")
+    assert union < tree.index("LeftOuter") and union < tree.index("LeftAnti")
+
+
+def hot(spark, n=6000):
+    """A third of the rows share one key."""
+    return spark.range(n, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("key"),
+        (F.col("id") * 37 % 1000).alias("value"), F.col("id"),
+    )
+
+
+def test_hot_key_reaches_the_shuffle_once_per_split(spark):
+    """Map-side limit and partial aggregation leave at most a row per split and key."""
+    df = hot(spark)
+    for result in (
+        top_row(df, ["key"], [F.desc("value"), F.asc("id")]),
+        first_non_null(df, ["key"], ["value"], F.col("id")),
+    ):
+        assert result.count() == 4001
+    best = top_row(df, ["key"], [F.desc("value"), F.asc("id")]).where("key = -1").first()
+    want = max((i * 37 % 1000, -i) for i in range(0, 6000, 3))
+    assert (best.value, best.id) == (want[0], -want[1])
+
+
+def test_hot_key_operators_keep_every_row(spark, shuffled):
+    df = hot(spark)
+    keep = dedupe_by_key(df.withColumn("key", F.nullif("key", F.lit(-1))), ["key"])
+    assert keep.count() == 6000  # NULL keys equal nothing: all of them stay
+    assert exclude_current(df, hot(spark).where("key = -1"), ["key"]).count() == 4000
+    assert merge_upsert(df, df.where("key = -1").limit(1), ["key"]).count() == 4001
+
+
+def test_hot_object_detection(spark, shuffled):
+    """A third of the alerts are of one object, with its history in each of them."""
+    from conftest import alert, history
+    from novalake.schemas import ALERT
+
+    same = [history(candid=9000 + i) for i in range(5)]
+    rows = [alert(i, obj="hot" if i % 3 == 0 else f"o{i}", prv=same if i % 3 == 0 else None)
+            for i in range(1, 901)]
+    df = spark.createDataFrame(rows, ALERT).repartition(8)
+    got = silver.detection(df, silver.reference(df, BATCH), BATCH)
+    assert got.count() == 905
+    assert got.where("magnr IS NOT NULL").count() == 900
+    assert got.where(F.col("observation_date") == F.lit(dt.date(2024, 1, 1))).count() == 905
