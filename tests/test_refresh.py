@@ -3,8 +3,18 @@ from __future__ import annotations
 import pytest
 from conftest import alert, forced, history
 
-from novalake.plans.refresh import BRONZE_ALERT, SILVER, backfill, prepare_layers, refresh_day
+from novalake.plans import silver
+from novalake.plans.refresh import (
+    BRONZE_ALERT,
+    CURRENT,
+    SILVER,
+    backfill,
+    prepare_layers,
+    refresh_day,
+    upsert_detections,
+)
 from novalake.session import new_stage_path
+from novalake.sources.landing import batch_of, valid_records
 from novalake.sources.tables import read_table
 
 DAYS = ["2024-01-01", "2024-01-02", "2024-01-03"]
@@ -79,14 +89,21 @@ def test_tables_after_the_loop(spark, lakes):
 
 def test_history_overwrites_the_fuller_row_unless_told_not_to(spark, lakes):
     landing, loop, _ = lakes
-    row = lambda root: next(r for r in read_table(spark, SILVER["detection"].path(root)).collect()
-                            if r.candid == 1)
-    assert row(loop).rfid is None and row(loop).magnr is None
+
+    def stored(root):
+        rows = read_table(spark, SILVER["detection"].path(root)).where("candid = 1").collect()
+        return [(r.rfid, r.magnr) for r in rows]
+
+    def detections(first, last, per=()):
+        df = valid_records(batch_of(landing, first, last))
+        return silver.detection(df, silver.reference(df, per), per, origin=CURRENT)
+
+    assert stored(loop) == [(None, None)]
     kept, whole = new_stage_path(spark, "kept"), new_stage_path(spark, "kept")
     for day in DAYS[:2]:
-        refresh_day(spark, landing, kept, day, keep_richer=True)
-    backfill(spark, landing, whole, DAYS[0], DAYS[1], keep_richer=True)
-    assert row(kept).rfid == 11 and row(kept).magnr == 16.0
+        upsert_detections(detections(day, day), kept, (), keep_richer=True)
+    upsert_detections(detections(DAYS[0], DAYS[1], silver.BATCH), whole, silver.BATCH, keep_richer=True)
+    assert stored(kept) == stored(whole) == [(11, 16.0)]
     assert content(spark, kept, SILVER["detection"]) == content(spark, whole, SILVER["detection"])
 
 
