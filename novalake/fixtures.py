@@ -89,12 +89,15 @@ DEFAULTS = {"string": "'v1'", "bigint": "7", "int": "3", "double": "0.5", "float
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. One that comes in fewer files than there are cores is
-    dealt out first, else the work on it would stay in a single task."""
+    """A driver table. One scanned in fewer splits than there are cores is dealt
+    out by row position first, else most cores would get nothing to do. Larger
+    tables are left as they are: no shuffle."""
     prepare(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, F.monotonically_increasing_id())
 
 
 def _record_sql(values: dict[str, str], schema: StructType) -> str:

@@ -15,26 +15,31 @@ from novalake.operators.reshape import pad_union
 def match_keys(
     rows: DataFrame, source: DataFrame, keys: Sequence[str], how: str, null_safe: bool = False
 ) -> DataFrame:
-    """``left_semi`` / ``left_anti`` of ``rows`` with the keys of ``source``."""
-    ids = source.select(*(F.col(k).alias(f"_src_{k}") for k in keys)).distinct()
+    """``left_semi`` / ``left_anti`` of ``rows`` with the keys of ``source``.
+
+    The keys go into the join as they are. A distinct before it would change
+    nothing in the result, and would take the place under the join where
+    adaptive execution needs a plain shuffle to split a hot key of ``rows``.
+    """
+    ids = source.select(*(F.col(k).alias(f"_src_{k}") for k in keys))
     pairs = [(F.col(k), F.col(f"_src_{k}")) for k in keys]
     match = reduce(and_, (a.eqNullSafe(b) if null_safe else a == b for a, b in pairs))
     return rows.join(ids, match, how)
 
 
-def exclude_current(history: DataFrame, current_ids: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """History rows whose key is not among the current ones.
-
-    The ids are made distinct first: a hot id then reaches the join once per
-    split, and Spark plans a broadcast only if they turn out small.
-    """
-    return history.join(current_ids.select(*keys).distinct(), list(keys), "left_anti")
+def exclude_current(history: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """History rows whose key is not among the current ones (none of them NULL)."""
+    return match_keys(history, current, keys, "left_anti")
 
 
 def match_reference(
     rows: DataFrame, reference: DataFrame, keys: Sequence[str], values: Sequence[str], gate: Column
 ) -> DataFrame:
-    """LEFT JOIN on ``keys``; a row that fails ``gate`` stays, unmatched."""
+    """LEFT JOIN on ``keys``; a row that fails ``gate`` stays, unmatched.
+
+    Give ``reference`` as a table rather than as an aggregate: with a plain
+    shuffle on both sides a hot object is split at run time.
+    """
     renamed = reference.select(
         *(F.col(k).alias(f"_ref_{k}") for k in keys), *values
     )

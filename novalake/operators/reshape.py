@@ -25,7 +25,7 @@ def explode_fields(
         return df.select(*keep, F.inline(zipped).alias(*fields))
     exploded = df.select(*keep, F.explode(array).alias("_element"))
     kept = [c for c in exploded.columns if c != "_element"]
-    return exploded.select(*kept, *(F.col(f"_element.{f}").alias(f) for f in fields))
+    return exploded.select(*kept, *(f"_element.{f}" for f in fields))
 
 
 def unpivot_groups(

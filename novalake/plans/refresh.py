@@ -133,7 +133,10 @@ def backfill(
     if has_duplicates(alerts, keys):
         alerts = stage(dedupe_by_key(alerts, keys), "backfill-unique")
     upsert_table(alerts, root, BRONZE_ALERT, latest=per)
+    references = stage(silver.reference(alerts, per), "references")
+    upsert_table(references, root, SILVER["reference"], latest=per)
     for name, plan in ALERT_ONLY.items():
-        upsert_table(plan(alerts, per), root, SILVER[name], latest=per)
-    rows = silver.detection(alerts, silver.reference(alerts, per), per, origin=CURRENT)
+        if name != "reference":
+            upsert_table(plan(alerts, per), root, SILVER[name], latest=per)
+    rows = silver.detection(alerts, references, per, origin=CURRENT)
     upsert_detections(rows, root, per, keep_richer)

@@ -65,8 +65,9 @@ MATCH_RADIUS = 1.4
 GOOD_STATUS = "0"
 
 
-def _candidate(*fields: str) -> list:
-    return [F.col(f"candidate.{f}").alias(f) for f in fields]
+def _candidate(*fields: str) -> list[str]:
+    """Struct fields as columns of the same name."""
+    return [f"candidate.{f}" for f in fields]
 
 
 def _object_id():

@@ -32,6 +32,7 @@ from novalake.queries.silver_tables import (
     difference_sql,
     forced_sql,
 )
+from novalake.sources.tables import stage
 
 
 def nested_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +90,7 @@ def reference_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         *BATCH, "objectid", "fid", "rfid", "candid", "distnr"
     )
     joined = match_reference(
-        rows, silver.reference(every, BATCH), [*BATCH, "objectid", "fid", "rfid"],
+        rows, stage(silver.reference(every, BATCH), "reference"), [*BATCH, "objectid", "fid", "rfid"],
         ["magnr", "sigmagnr"], F.col("distnr") < F.lit(silver.MATCH_RADIUS),
     )
     return comparable(joined)

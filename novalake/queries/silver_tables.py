@@ -12,6 +12,7 @@ from novalake.plans.silver import BATCH
 from novalake.queries.inputs import A, FP, H, mjd, r6, seconds
 from novalake.queries.shown import comparable
 from novalake.schemas import CANDIDATE, FORCED, HISTORY
+from novalake.sources.tables import stage
 
 
 def gaia(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +36,11 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    references = silver.reference(candidate_alerts(spark, sf_dir), BATCH)
+    """Reads the reference values from a written table, as the refresh does."""
+    values = silver.reference(candidate_alerts(spark, sf_dir), BATCH).select(
+        *BATCH, "objectid", "fid", "rfid", "magnr", "sigmagnr"
+    )
+    references = stage(values, "reference")
     return comparable(silver.detection(alerts(spark, sf_dir), references, BATCH))
 
 

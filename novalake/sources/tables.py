@@ -93,7 +93,8 @@ def with_day(df: DataFrame, ts: str | None, day: str = "ts_day") -> DataFrame:
 
 @contextmanager
 def _shuffle_target(spark: SparkSession, size: int):
-    """Lets adaptive execution coalesce the shuffle of a write to file size."""
+    """Lets adaptive execution coalesce the shuffle of a write up to file size;
+    it still prefers smaller files to idle cores."""
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(key)
     spark.conf.set(key, str(size))
@@ -107,9 +108,12 @@ def clustered(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str
     """Range-distributed by partition and sort columns, sorted within files.
 
     The sort columns take part in the ranges, so a hot partition value, or a
-    hot object, is spread over several tasks.
+    hot object, is spread over several tasks. Without sort columns adaptive
+    execution splits hot partition values instead.
     """
     columns = [*partition_by, *order_by]
+    if not order_by:
+        return df.hint("rebalance", *columns)
     return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
 
 

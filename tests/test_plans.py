@@ -84,6 +84,18 @@ def test_grouping_is_partial_first(bronze):
         assert "partial_" in plan(df) or plan(df).count("Aggregate") >= 2
 
 
+def test_hot_left_keys_can_be_split(spark, bronze, shuffled):
+    """Both joins of detection have a plain shuffle under each sort, which is
+    what adaptive execution needs to split a skewed side."""
+    from novalake.sources.tables import stage
+
+    df = silver.detection(bronze, stage(silver.reference(bronze, BATCH), "ref"), BATCH)
+    lines = [re.sub(r"[*+:|\- ()\d]", "", x) for x in plan(df).split("\n(1)")[0].splitlines()]
+    lines = [x for x in lines if x]
+    sorts = [i for i, x in enumerate(lines) if x == "Sort"]
+    assert len(sorts) == 4 and all(lines[i + 1] == "Exchange" for i in sorts)
+
+
 def test_history_skips_the_reference_join(bronze, shuffled):
     df = silver.detection(bronze, silver.reference(bronze))
     tree = plan(df).split("\n(1)")[0]
