@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from novalake.functions.julian import jd_to_timestamp
 from novalake.operators.reshape import with_audit
-from novalake.sources.landing import batch_of, record_counts, write_landing
+from novalake.sources.landing import (
+    batch_of,
+    read_archive,
+    record_counts,
+    run_summary,
+    write_landing,
+)
 from novalake.sources.payload import split_payload, write_payloads
 from novalake.sources.tables import append_evolving, create_like
 
@@ -18,6 +25,7 @@ def ingest_landing(
     payload_path: str,
     files: int | None = None,
     folder: str = "cutouts/",
+    landing_format: str = "parquet",
 ) -> DataFrame:
     """Raw records to landing files plus a payload table; returns the counts.
 
@@ -25,11 +33,34 @@ def ingest_landing(
     both are projections of the same scan.
     """
     alerts, _ = split_payload(records)
-    write_landing(alerts, alert_path, files)
+    write_landing(alerts, alert_path, files, landing_format)
     write_payloads(records, payload_path, folder)
     return record_counts(records)
 
 
+def ingest_night(
+    spark: SparkSession,
+    archive_path: str,
+    date: str,
+    alert_path: str,
+    payload_path: str,
+    fmt: str = "avro",
+    glob: str = "*.avro",
+    schema: StructType | None = None,
+    files: int | None = None,
+    landing_format: str = "parquet",
+) -> DataFrame:
+    """One night's extracted archive into the landing folder of its date.
+
+    Records get the date of the night, not of their content. Returns one row:
+    files and records taken, source, destination.
+    """
+    records = read_archive(spark, archive_path, fmt, schema, glob)
+    dated = records.withColumn("observation_date", F.to_date(F.lit(date)))
+    ingest_landing(dated, alert_path, payload_path, files, landing_format=landing_format)
+    return run_summary(records, archive_path, f"{alert_path}/observation_date={date}")
+
+
 def bronze_alert(landing: DataFrame, first: str, last: str | None = None) -> DataFrame:
     """The landing rows of a date (or range), stamped; upserted by the caller."""
     return with_audit(batch_of(landing, first, last))

@@ -5,7 +5,7 @@ import hashlib
 from conftest import alert
 from pyspark.sql import functions as F
 
-from novalake.plans.bronze import append_bronze, ingest_landing
+from novalake.plans.bronze import append_bronze, bronze_job, ingest_landing, ingest_night
 from novalake.schemas import ALERT, LANDING
 from novalake.session import new_stage_path
 from novalake.sources.landing import (
@@ -113,3 +113,27 @@ def test_bronze_append_keeps_duplicates_and_new_columns(spark):
     assert sorted(str(r.publisher) for r in rows) == ["None", "p"]
     assert {str(r.observation_day) for r in rows} == {"2024-01-01"}
     assert {str(r.observation_timestamp) for r in rows} == {"2024-01-01 06:00:00"}
+
+
+def test_night_from_archive_to_landing(spark, tmp_path):
+    df = raw(spark, (1, b"s", b"t", None), (2, None, None, None), (None, b"x", None, None))
+    df.drop("observation_date").repartition(3).write.parquet(str(tmp_path / "extracted" / "deep"))
+    alerts, images = f"file://{tmp_path}/alerts", f"file://{tmp_path}/images"
+    summary = ingest_night(
+        spark, f"file://{tmp_path}/extracted", "2024-02-01", alerts, images, "parquet", "*.parquet",
+    ).first()
+    listed = len(list((tmp_path / "extracted").glob("**/*.parquet")))
+    assert (summary.n_files, summary.n_records, summary.skipped) == (listed, 3, False)
+    assert summary.destination.endswith("alerts/observation_date=2024-02-01")
+    landing = read_landing(spark, alerts, "parquet")
+    assert {(r.candid, str(r.observation_date)) for r in landing.collect()} == {(1, "2024-02-01"), (2, "2024-02-01")}
+    assert not [c for c in landing.columns if c.startswith("cutout")]
+    keys = {r.object_key for r in spark.read.parquet(images).collect()}
+    assert keys == {"cutouts/1/1_science.fits.gz", "cutouts/1/1_template.fits.gz"}
+
+
+def test_bronze_job_takes_any_format(spark, tmp_path):
+    spark.createDataFrame([alert(1)], ALERT).drop("observation_date").write.orc(str(tmp_path / "in"))
+    bronze_job(spark, f"file://{tmp_path}/in", "orc", f"file://{tmp_path}/bronze")
+    row = read_evolved(spark, f"file://{tmp_path}/bronze").first()
+    assert row.candid == 1 and str(row.observation_day) == "2024-01-01" and row.candidate.magpsf == 17.0
