@@ -112,11 +112,13 @@ def write_landing(
 
 
 def run_summary(df: DataFrame, source: str, destination: str, skipped: bool = False) -> DataFrame:
-    """One row on an ingest run: files and records taken, from where to where."""
-    return df.agg(
-        F.count_distinct(F.col("_metadata.file_path")).alias("n_files"),
-        F.count("*").alias("n_records"),
-    ).select(
-        "*", F.lit(source).alias("source"), F.lit(destination).alias("destination"),
+    """One row on an ingest run: files and records taken, from where to where.
+
+    ``df`` is the scan of the source. Its files are counted from the listing the
+    scan already holds, so files without records count too.
+    """
+    return df.agg(F.count("*").alias("n_records")).select(
+        F.lit(len(df._jdf.inputFiles())).cast("bigint").alias("n_files"), "n_records",
+        F.lit(source).alias("source"), F.lit(destination).alias("destination"),
         F.lit(skipped).alias("skipped"),
     )
