@@ -66,9 +66,13 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """A folder whose last write was committed."""
-    fs, marker = _fs_path(spark, f"{path}/_SUCCESS")
-    return fs.exists(marker)
+    """Whether a write to the folder was ever committed; leftovers of a failed
+    first write do not count."""
+    fs, folder = _fs_path(spark, path)
+    if not fs.exists(folder):
+        return False
+    names = (status.getPath().getName() for status in fs.listStatus(folder))
+    return any(not n.startswith(".") and n != "_temporary" for n in names)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -172,6 +176,12 @@ def _partition_folders(df: DataFrame, columns: Sequence[str]) -> set[str]:
     return {row.folder for row in found.collect()}
 
 
+def _file_folders(table: DataFrame) -> list[str]:
+    """URIs of the folders the files of ``table`` lie in."""
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    return [row.folder for row in table.select(folder.alias("folder")).distinct().collect()]
+
+
 def has_duplicates(df: DataFrame, keys: Sequence[str]) -> bool:
     """Whether any key occurs twice: a shuffle of partly counted keys only."""
     return not df.groupBy(*keys).count().where("count > 1").isEmpty()
@@ -227,11 +237,12 @@ def upsert_table(
     if emptied:
         staying = match_keys(in_folders(emptied), batch, keys, "left_anti", null_safe)
         emptied -= _partition_folders(staying, parts)
+    stale = _file_folders(in_folders(emptied)) if emptied else []
     merged = merge_upsert(in_folders(new | old), batch, keys, null_safe)
     write_clustered(merged, path, parts, spec.order_by, dynamic=True)
-    for folder in emptied:
-        fs, jvm_path = _fs_path(spark, f"{path}/{folder}")
-        fs.delete(jvm_path, True)
+    for folder in stale:
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
 def merge_into(source: DataFrame, table: str, keys: Sequence[str], null_safe: bool = False) -> None:

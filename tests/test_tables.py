@@ -97,6 +97,22 @@ def test_null_partition(spark, root):
     assert got == [(1, "x", "A"), (2, "x", "b")]
 
 
+def test_partition_names_that_need_escaping(spark, root):
+    spec = TableSpec("silver", "n", ("id",), ("kind",), ("id",))
+    df = spark.sql("SELECT * FROM VALUES (1, 'a:b c/d%', 'a'), (2, 'x', 'b') t(id, kind, v)")
+    upsert_table(df, root, spec)
+    upsert_table(spark.sql("SELECT 1 AS id, 'x' AS kind, 'A' AS v"), root, spec)
+    got = sorted((r.id, r.kind, r.v) for r in read_table(spark, spec.path(root)).collect())
+    assert got == [(1, "x", "A"), (2, "x", "b")]
+
+
+def test_failed_first_write_is_no_table(spark, tmp_path):
+    (tmp_path / "t" / "_temporary").mkdir(parents=True)
+    assert not table_exists(spark, f"file://{tmp_path}/t")
+    (tmp_path / "t" / "ts_day=2024-01-01").mkdir()
+    assert table_exists(spark, f"file://{tmp_path}/t")
+
+
 def test_empty_batch(spark, root):
     upsert_table(batch(spark, (1, "2024-01-01", "a")), root, SPEC)
     upsert_table(batch(spark, (1, "2024-01-01", "a")).limit(0), root, SPEC)
