@@ -194,6 +194,7 @@ def upsert_table(
     latest: Sequence[str] = (),
     null_safe: bool = False,
     audit: bool = True,
+    evolve: bool = False,
 ) -> None:
     """Upserts a batch into a table, rewriting only the partitions it touches.
 
@@ -208,6 +209,10 @@ def upsert_table(
     only). Spark writes the new partitions aside and swaps them in when all
     tasks are done, so reading and replacing the same partitions in one job is
     safe.
+
+    A batch whose columns differ from the table's is refused, since rewriting a
+    partition could lose columns; ``evolve`` reads every file's schema and keeps
+    the columns of both.
     """
     spark = source.sparkSession
     path, keys, parts = spec.path(root), list(spec.keys), list(spec.partition_by)
@@ -221,7 +226,10 @@ def upsert_table(
         write_clustered(batch, path, parts, spec.order_by)
         return
 
-    table = read_table(spark, path, batch.schema)
+    table = read_evolved(spark, path) if evolve else read_table(spark, path, batch.schema)
+    if not evolve and set(table.columns) != set(batch.columns):
+        raise ValueError(f"columns of {path} and of the batch differ: "
+                         f"{sorted(set(table.columns) ^ set(batch.columns))}")
 
     def in_folders(folders: set[str]) -> DataFrame:
         return table.where(_partition_folder(parts).isin(sorted(folders)))

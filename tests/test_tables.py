@@ -113,6 +113,17 @@ def test_failed_first_write_is_no_table(spark, tmp_path):
     assert table_exists(spark, f"file://{tmp_path}/t")
 
 
+def test_new_columns_only_on_request(spark, root):
+    upsert_table(batch(spark, (1, "2024-01-01", "a"), (2, "2024-01-02", "b")), root, SPEC)
+    wider = batch(spark, (2, "2024-01-02", "B")).withColumn("extra", F.lit(9))
+    with pytest.raises(ValueError, match="extra"):
+        upsert_table(wider, root, SPEC)
+    upsert_table(wider, root, SPEC, evolve=True)
+    upsert_table(batch(spark, (3, "2024-01-02", "c")), root, SPEC, evolve=True)
+    got = sorted((r.id, r.v, r.extra) for r in read_evolved(spark, SPEC.path(root)).collect())
+    assert got == [(1, "a", None), (2, "B", 9), (3, "c", None)]
+
+
 def test_empty_batch(spark, root):
     upsert_table(batch(spark, (1, "2024-01-01", "a")), root, SPEC)
     upsert_table(batch(spark, (1, "2024-01-01", "a")).limit(0), root, SPEC)
