@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StructType
 
-from novalake.fixtures import CANDIDATE_SQL, DAY, FORCED_SQL, HISTORY_SQL, JD
+from novalake.fixtures import CANDIDATE_SQL, DAY, FORCED_SQL, HISTORY_SQL
 from novalake.schemas import CANDIDATE, FORCED, HISTORY
 
 

@@ -20,7 +20,7 @@ from novalake.operators.reshape import (
 )
 from novalake.plans import silver
 from novalake.plans.silver import BATCH
-from novalake.queries.inputs import A, FP, H, mjd, r6, seconds
+from novalake.queries.inputs import A, FP, H, mjd, r6
 from novalake.queries.shown import comparable
 from novalake.queries.silver_tables import (
     BEST,
