@@ -6,11 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from novalake.llm.common import read_table
+from novalake.llm.packing import pack_documents
 from novalake.llm.sharding import shard
+from novalake.llm.token_store import read_back, write_store
+from novalake.session import new_stage_path
 
 SHARDS = 24
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_stage_path(spark, "token-store")
+    write_store(read_table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return read_back(spark, path)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = shard(read_table(spark, sf_dir, "documents"), SHARDS)
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -18,6 +37,8 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_store": op1_token_store,
+    "op2_packing": op2_packing,
     "op7_sharding": op7_sharding,
 }
 
