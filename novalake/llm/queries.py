@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from novalake.llm.common import read_table
+from novalake.llm.decontamination import annotate, hit_words, is_contaminated
 from novalake.llm.packing import pack_documents
 from novalake.llm.sharding import shard
 from novalake.llm.token_store import read_back, write_store
@@ -30,6 +31,18 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = annotate(docs, read_table(spark, sf_dir, "benchmark"), "found")
+    found = F.col("found")
+    return marked.select(
+        "doc_id", found["n_words"].alias("n_words"), hit_words(found).alias("n_hit"),
+        F.size(found["items"]).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(found["items"], ","), 256).alias("items_sha256"),
+        is_contaminated(found).alias("contaminated"),
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = shard(read_table(spark, sf_dir, "documents"), SHARDS)
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -39,6 +52,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
+    "op5_decontamination": op5_decontamination,
     "op7_sharding": op7_sharding,
 }
 
