@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from novalake.llm.common import read_table
 from novalake.llm.decontamination import annotate, hit_words, is_contaminated
 from novalake.llm.packing import pack_documents
+from novalake.llm.pii import KINDS, find, train
 from novalake.llm.sharding import shard
 from novalake.llm.token_store import read_back, write_store
 from novalake.session import new_stage_path
@@ -31,6 +32,20 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def _listed(spans: Column) -> Column:
+    parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return F.array_join(parts, ",")
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find(docs, train(docs))
+    base = F.col("base")
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"),
+                        _listed(F.col("spans")).alias("spans"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = annotate(docs, read_table(spark, sf_dir, "benchmark"), "found")
@@ -52,6 +67,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
+    "op3_personal_data": op3_personal_data,
     "op5_decontamination": op5_decontamination,
     "op7_sharding": op7_sharding,
 }
