@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from novalake.llm import language
 from novalake.llm.common import read_table
 from novalake.llm.decontamination import annotate, hit_words, is_contaminated
 from novalake.llm.packing import pack_documents
@@ -64,12 +65,18 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language.predict(docs, language.train(docs))
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
     "op3_personal_data": op3_personal_data,
     "op5_decontamination": op5_decontamination,
     "op7_sharding": op7_sharding,
+    "op8_language": op8_language,
 }
 
 ORACLE: dict[str, str] = {}
