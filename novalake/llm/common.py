@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +16,13 @@ from novalake.session import new_stage_path
 BATCH_BYTES = 4 << 20
 
 
+def shared_code(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver has it, besides their own paths."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    shared_code(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -47,3 +55,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch; null is the empty text."""
     return [x or "" for x in batch.column(column).to_pylist()]
+
+
+def pack_longs(array: pa.Array) -> tuple[bytes, bytes]:
+    """A long column as bytes, and which of its values are null. Inside lists pandas would turn longs
+    beside nulls into doubles."""
+    missing = array.is_null().to_numpy(zero_copy_only=False)
+    return pa.compute.fill_null(array.cast(pa.int64()), 0).to_numpy().tobytes(), missing.tobytes()
+
+
+def unpack_longs(values: bytes, missing: bytes) -> pd.arrays.IntegerArray:
+    return pd.arrays.IntegerArray(np.frombuffer(values, np.int64).copy(), np.frombuffer(missing, bool).copy())

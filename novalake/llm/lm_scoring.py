@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from novalake.llm.common import slices, staged, texts_of
+from novalake.llm.common import pack_longs, slices, staged, texts_of, unpack_longs
 from novalake.llm.context_tree import DEPTH, ContextTree, grams
 
 HOT_WORDS = 10_000
@@ -111,11 +111,11 @@ def _tree(counts: DataFrame) -> ContextTree | None:
     return ContextTree(levels)
 
 
-DOCS = ("docs array<bigint>, held array<boolean>, tokens array<bigint>, known array<bigint>, "
+DOCS = ("docs binary, no_id binary, held array<boolean>, tokens array<bigint>, known array<bigint>, "
         "base array<double>, score array<double>")
 BLOCK = f"bucket int, block bigint, words binary, per_word binary, rows binary, times binary, {DOCS}"
 SUMS = f"block bigint, at binary, sums binary, hits binary, {DOCS}"
-DOC_FIELDS = ["docs", "held", "tokens", "known", "base", "score"]
+DOC_FIELDS = ["docs", "no_id", "held", "tokens", "known", "base", "score"]
 
 
 def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -163,7 +163,7 @@ def _ask(model, ends: int, buckets: int):
         hot_logs, end_log, n_block = np.log10(hot_counts + 0.5), np.log10(ends + 0.5), 0
         schema = pa.schema([
             ("bucket", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("per_word", pa.binary()),
-            ("rows", pa.binary()), ("times", pa.binary()), ("docs", pa.list_(pa.int64())),
+            ("rows", pa.binary()), ("times", pa.binary()), ("docs", pa.binary()), ("no_id", pa.binary()),
             ("held", pa.list_(pa.bool_())), ("tokens", pa.list_(pa.int64())), ("known", pa.list_(pa.int64())),
             ("base", pa.list_(pa.float64())), ("score", pa.list_(pa.float64()))])
         for batch in slices(batches, "body"):
@@ -183,8 +183,9 @@ def _ask(model, ends: int, buckets: int):
             codes, sizes = grams(bodies)
             logs = tree.scores(codes) if tree else np.full(len(codes), 8 * np.log10(0.5))
             scores = np.add.reduceat(logs, np.cumsum(sizes) - sizes)
+            found_ids, no_id = pack_longs(batch.column("doc"))
             out = [nothing | {
-                "bucket": block % buckets, "block": block, "docs": batch.column("doc").to_pylist(),
+                "bucket": block % buckets, "block": block, "docs": found_ids, "no_id": no_id,
                 "held": batch.column("held").to_pylist(), "tokens": lengths + 1, "known": known,
                 "base": base, "score": scores}]
             out += _questions(hashes[~found], rows[~found], block, buckets, nothing)
@@ -246,5 +247,5 @@ def _collect(parts: pd.DataFrame) -> pd.DataFrame:
         logs[rows] += np.frombuffer(r.sums, np.float64)
         known[rows] += np.frombuffer(r.hits, np.uint32)
     return pd.DataFrame({
-        "doc_id": pd.array(list(mine["docs"]), "Int64"), "held_out": mine["held"], "n_tokens": mine["tokens"],
+        "doc_id": unpack_longs(mine["docs"], mine["no_id"]), "held_out": mine["held"], "n_tokens": mine["tokens"],
         "n_known": known, "logs": logs, "score": mine["score"]})
