@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from novalake.llm import language, lm_scoring
+from novalake.llm import jaccard_join, language, lm_scoring
 from novalake.llm.common import read_table
 from novalake.llm.decontamination import annotate, hit_words, is_contaminated
 from novalake.llm.packing import pack_documents
@@ -70,6 +70,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.train(docs))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard_join.join(read_table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(read_table(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op7_sharding": op7_sharding,
     "op8_language": op8_language,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_context_tree": op10_context_tree,
 }
 
