@@ -10,6 +10,7 @@ from novalake.llm.common import read_table
 from novalake.llm.decontamination import annotate, hit_words, is_contaminated
 from novalake.llm.packing import pack_documents
 from novalake.llm.pii import KINDS, find, train
+from novalake.llm.posting_lists import nearest
 from novalake.llm.sharding import shard
 from novalake.llm.token_store import read_back, write_store
 from novalake.session import new_stage_path
@@ -59,6 +60,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = shard(read_table(spark, sf_dir, "documents"), SHARDS)
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -84,6 +89,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_personal_data": op3_personal_data,
     "op5_decontamination": op5_decontamination,
+    "op6_posting_lists": op6_posting_lists,
     "op7_sharding": op7_sharding,
     "op8_language": op8_language,
     "op9_jaccard_join": op9_jaccard_join,
