@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from novalake.llm import jaccard_join, language, lm_scoring
 from novalake.llm.common import read_table
 from novalake.llm.decontamination import annotate, hit_words, is_contaminated
+from novalake.llm.html_text import main_text
 from novalake.llm.packing import pack_documents
 from novalake.llm.pii import KINDS, find, train
 from novalake.llm.posting_lists import nearest
@@ -48,6 +49,10 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _listed(F.col("spans")).alias("spans"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = annotate(docs, read_table(spark, sf_dir, "benchmark"), "found")
@@ -88,6 +93,7 @@ QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
     "op3_personal_data": op3_personal_data,
+    "op4_html_text": op4_html_text,
     "op5_decontamination": op5_decontamination,
     "op6_posting_lists": op6_posting_lists,
     "op7_sharding": op7_sharding,
