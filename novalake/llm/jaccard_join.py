@@ -380,3 +380,21 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         "set_id")
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One document of each component, with its columns as they are: the one with the least id (null last),
+    among those the first in the table. Documents without words all stay.
+
+    ``docs`` must be a stored table: its rows are told apart by their places, which only a scan
+    gives in the same way each time.
+    """
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    joined = join(placed, text, row).select(F.col("doc_id").alias("place"), "component_id")
+    ids = placed.select(F.col(row).alias("place"), F.col(key).alias("id"))
+    first = joined.join(ids, "place").groupBy("component_id").agg(
+        F.min(F.struct(F.col("id").isNull(), "id", "place")).getField("place").alias("place"))
+    return placed.join(staged(first.select("place"), "jaccard-kept"), F.col(row) == F.col("place"), "left_semi").drop(row)
