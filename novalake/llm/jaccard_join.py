@@ -12,9 +12,15 @@ neighbourhoods of their segments are indexed as well, so that a segment may diff
 and counts twice, and where that is still too little, the empty segments too. The number e is the one that costs
 the fewest index entries in the band, neighbourhoods of the spread-out sets included.
 
-Candidates share an index entry. First each is compared with one member of its group; then, for
-groups that still lie in several components, all pairs across components that a parity sketch (a
-lower bound of the difference) does not exclude. Links are verified on the shingles of the texts.
+What a set does not need of its e it spends on its hottest segments: those whose subset most sets
+share, in one order for all (a passage that many documents quote, for one). With e + 1 equal
+segments, a pair's least hot one is among the e hottest of neither, so it is always left.
+
+Candidates share an index entry. In a few rounds the members of each group are compared with one of
+them, first the one that shares most entries; then, for groups that still lie in several components,
+all pairs across components are taken, each in the first group that has both. Pairs that a parity
+sketch (a lower bound of the difference) excludes are left out; links are verified on the shingles
+of the texts.
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ from math import exp
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -38,6 +44,8 @@ BUCKET_BYTES = 24 << 20
 SLICE_BYTES = 6 << 20
 SEEN_SETS = 500_000
 MAX_SLACK = 64
+SPREAD = 255
+ROUNDS = 2
 
 U = np.uint64
 
@@ -111,8 +119,9 @@ class Cuts(dict):
         return self[band]
 
 
-def _entries(hashes: np.ndarray, sizes: np.ndarray, band: int, cut: Cut) -> tuple[np.ndarray, np.ndarray]:
-    """Index keys of many sets in one cut, and the number of the set each belongs to."""
+def _entries(hashes: np.ndarray, sizes: np.ndarray, band: int, cut: Cut):
+    """Index keys of many sets in one cut, the number of the set each belongs to, whether it is for pairs
+    of spread-out sets; and for each set how many entries it may do without."""
     owner = np.repeat(np.arange(len(sizes)), sizes)
     place = owner * cut.segments + ((mix(hashes ^ U(band)) >> U(20)) % U(cut.segments)).astype(np.int64)
     order = np.argsort(place, kind="stable")
@@ -125,6 +134,7 @@ def _entries(hashes: np.ndarray, sizes: np.ndarray, band: int, cut: Cut) -> tupl
         return mix(total + mix(segment.astype(U) + U((2 * band + spread) << 32)))
 
     keys, of = [key(segment, totals, 0)], [owners]
+    plain = len(totals)
     used = np.bincount(owners, minlength=len(sizes))
     spread = cut.segments - used > cut.slack
     if spread.any():
@@ -141,23 +151,28 @@ def _entries(hashes: np.ndarray, sizes: np.ndarray, band: int, cut: Cut) -> tupl
             empty = np.setdiff1d(np.arange(cut.segments), segment[owners == n])
             keys.append(key(empty, np.zeros(len(empty), U), 1))
             of.append(np.full(len(empty), n))
-    return np.concatenate(keys), np.concatenate(of)
+    keys = np.concatenate(keys)
+    return keys, np.concatenate(of), np.arange(len(keys)) >= plain, np.maximum(cut.slack - cut.segments + used, 0)
 
 
-def index_entries(sets: list[np.ndarray], cuts: Cuts) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all sets in their own band's cut and the one below; a cut that permits no difference is
-    left out, since equal sets are one already."""
+def index_entries(sets: list[np.ndarray], cuts: Cuts):
+    """Keys of all sets in their own band's cut and the one below, the set each belongs to, the band it is
+    for (``SPREAD`` for pairs of spread-out sets); and how many entries each set may do without in
+    the two cuts. A cut that permits no difference is left out, since equal sets are one already."""
     sizes = np.array([len(s) for s in sets])
     bands = np.searchsorted(cuts.edges, sizes, side="right") - 1
-    keys, owners = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+    keys, owners, of_band = [np.zeros(0, U)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
+    spare = np.zeros((2, len(sets)), np.int32)
     for band in np.unique(np.concatenate((bands, bands - 1))).tolist():
         mine = np.flatnonzero((bands == band) | (bands == band + 1))
         if band < 0 or cuts[band].difference == 0:
             continue
-        k, of = _entries(np.concatenate([sets[i] for i in mine]), sizes[mine], band, cuts[band])
+        k, of, spread, free = _entries(np.concatenate([sets[i] for i in mine]), sizes[mine], band, cuts[band])
         keys.append(k)
         owners.append(mine[of])
-    return np.concatenate(keys), np.concatenate(owners)
+        of_band.append(np.where(spread, SPREAD, band).astype(np.uint8))
+        spare[bands[mine] - band, mine] = free
+    return np.concatenate(keys), np.concatenate(owners), np.concatenate(of_band), spare
 
 
 def sketch(hashes: np.ndarray) -> bytes:
@@ -186,14 +201,17 @@ def possible(sizes_a, sizes_b, sketches_a: list[bytes], sketches_b: list[bytes])
     return out
 
 
-INDEXED = ("bucket int, keys binary, owners binary, docs binary, no_id binary, sizes binary, sets binary, "
-           "sketches array<binary>")
-GROUPED = "doc_id bigint, n bigint, set_id bigint, sketch binary, members array<bigint>, group_id bigint"
+INDEXED = ("bucket int, keys binary, owners binary, bands binary, docs binary, no_id binary, sizes binary, "
+           "sets binary, spare binary, sketches array<binary>")
+ROWS = {"doc_id": "bigint", "n": "bigint", "set_id": "bigint", "sketch": "binary", "band": "int", "spare": "int",
+        "spare_below": "int", "members": "array<bigint>", "group_id": "bigint", "entries": "bigint"}
+GROUPED = ", ".join(f"{n} {t}" for n, t in ROWS.items())
 
 
 def _index(docs: DataFrame, buckets: int, most: int) -> DataFrame:
     schema = pa.schema([
-        ("bucket", pa.int32()), *((n, pa.binary()) for n in ("keys", "owners", "docs", "no_id", "sizes", "sets")),
+        ("bucket", pa.int32()), *((n, pa.binary()) for n in (
+            "keys", "owners", "bands", "docs", "no_id", "sizes", "sets", "spare")),
         ("sketches", pa.list_(pa.binary()))])
     empty = dict.fromkeys(schema.names)
 
@@ -210,12 +228,15 @@ def _index(docs: DataFrame, buckets: int, most: int) -> DataFrame:
                     seen.add(i)
                     new[i] = n
             found, no_id = pack_longs(batch.column("doc"))
+            keys, owners, bands, spare = index_entries([sets[n] for n in new.values()], cuts)
+            own_spare = np.zeros((3, len(sets)), np.int32)
+            own_spare[0] = np.searchsorted(cuts.edges, [len(x) for x in sets], side="right") - 1
+            own_spare[1:, list(new.values())] = spare
             rows = [empty | {
                 "bucket": ids[0] % buckets, "docs": found, "no_id": no_id,
                 "sizes": np.array([len(s) for s in sets], np.int64).tobytes(), "sets": np.array(ids, U).tobytes(),
-                "sketches": [sketch(s) if new.get(i) == n else None for n, (i, s) in enumerate(zip(ids, sets))]}]
+                "spare": own_spare.tobytes(), "sketches": [sketch(s) if new.get(i) == n else None for n, (i, s) in enumerate(zip(ids, sets))]}]
             if new:
-                keys, owners = index_entries([sets[n] for n in new.values()], cuts)
                 own = np.array(list(new), U)[owners]
                 bucket = (keys % U(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
@@ -224,7 +245,7 @@ def _index(docs: DataFrame, buckets: int, most: int) -> DataFrame:
                     part = order[a:b]
                     rows.append(empty | {
                         "bucket": int(bucket[part[0]]), "owners": own[part].tobytes(),
-                        "keys": (keys[part] >> U(32)).astype(np.uint32).tobytes()})
+                        "keys": (keys[part] >> U(32)).astype(np.uint32).tobytes(), "bands": bands[part].tobytes()})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     return docs.mapInArrow(run, INDEXED)
@@ -239,11 +260,14 @@ def _group(blocks: pd.DataFrame) -> pd.DataFrame:
         sizes = np.frombuffer(r.sizes, np.int64)
         ids = pd.arrays.IntegerArray(np.frombuffer(r.sets, np.int64).copy(), sizes == 0)
         parts.append(pd.DataFrame({
-            "doc_id": unpack_longs(r.docs, r.no_id), "n": sizes, "set_id": ids, "sketch": list(r.sketches)}))
+            "doc_id": unpack_longs(r.docs, r.no_id), "n": sizes, "set_id": ids, "sketch": list(r.sketches),
+            **dict(zip(("band", "spare", "spare_below"), np.frombuffer(r.spare, np.int32).reshape(3, -1)))}))
     entries = blocks[blocks["keys"].notna()]
     if len(entries):
         keys = np.frombuffer(b"".join(entries["keys"]), np.uint32)
         owners = np.frombuffer(b"".join(entries["owners"]), np.int64)
+        bands = np.frombuffer(b"".join(entries["bands"]), np.uint8)
+        keys = keys.astype(U) << U(8) | bands
         order = np.lexsort((owners, keys))
         keys, owners = keys[order], owners[order]
         new = np.append(True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1]))
@@ -252,23 +276,25 @@ def _group(blocks: pd.DataFrame) -> pd.DataFrame:
         sizes = np.diff(np.append(starts, len(keys)))
         several = sizes > 1
         if several.any():
-            ids = np.add.reduceat(mix(owners.view(U)), starts) ^ mix(sizes.astype(U))
-            starts, sizes, ids = starts[several], sizes[several], ids[several]
-            ids, once = np.unique(ids, return_index=True)
+            bands = keys[starts] & U(255)
+            ids = np.add.reduceat(mix(owners.view(U)), starts) ^ mix(sizes.astype(U) + (bands << U(32)))
+            starts, sizes, ids, bands = starts[several], sizes[several], ids[several], bands[several]
+            ids, once, count = np.unique(ids, return_index=True, return_counts=True)
             members = [owners[a : a + n] for a, n in zip(starts[once].tolist(), sizes[once].tolist())]
-            parts.append(pd.DataFrame({"members": members, "group_id": ids.view(np.int64)}))
-    names = ["doc_id", "n", "set_id", "sketch", "members", "group_id"]
-    longs = dict.fromkeys(("doc_id", "n", "set_id", "group_id"), "Int64")
-    parts = [p.reindex(columns=names).astype(longs) for p in parts]
-    out = pd.concat(parts) if parts else pd.DataFrame(columns=names)
+            parts.append(pd.DataFrame({"members": members, "group_id": ids.view(np.int64), "entries": count,
+                                       "band": bands[once].astype(np.int32)}))
+    longs = {n: "Int64" for n, t in ROWS.items() if t in ("bigint", "int")}
+    parts = [p.reindex(columns=list(ROWS)).astype(longs) for p in parts]
+    out = pd.concat(parts) if parts else pd.DataFrame(columns=list(ROWS))
     return out.astype(object).where(out.notna(), None)
 
 
 def _across(members: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one group that lie in different components and may link."""
+    """Pairs of one group that lie in different components and may link, if no group before it has both."""
     members = members.sort_values("set_id")
+    group = members["group_id"].iloc[0]
     ids, sizes = members["set_id"].to_numpy(np.int64), members["n"].to_numpy(np.int64)
-    labels = members["label"].to_numpy(np.int64)
+    labels, groups = members["label"].to_numpy(np.int64), [np.asarray(g) for g in members["groups"]]
     sketches = [np.frombuffer(s, U) for s in members["sketch"]]
     size = min(map(len, sketches))
     bits = np.stack([_folded(s, size) for s in sketches])
@@ -278,9 +304,10 @@ def _across(members: pd.DataFrame) -> pd.DataFrame:
         rest = np.flatnonzero(fits & (labels[a + 1:] != labels[a])) + a + 1
         if len(rest):
             apart = np.bitwise_count(bits[rest] ^ bits[a]).sum(axis=1)
-            near = rest[apart <= most_difference(sizes[a] + sizes[rest])]
-            found.append(np.stack((np.full(len(near), ids[a]), ids[near]), axis=1))
-    found = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+            for b in rest[apart <= most_difference(sizes[a] + sizes[rest])].tolist():
+                if np.intersect1d(groups[a], groups[b], assume_unique=True)[0] == group:
+                    found.append((ids[a], ids[b]))
+    found = np.array(found, np.int64).reshape(-1, 2)
     return pd.DataFrame({"u": found[:, 0], "v": found[:, 1]})
 
 
@@ -321,10 +348,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
                   .mapInArrow(check, "u bigint, v bigint"), "jaccard-links")
 
 
-def _first_pairs(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """Each member of a group with the group's least, unless sizes or sketches exclude it."""
-    pairs = groups.select(F.element_at("members", 1).alias("u"),
-                          F.explode(F.slice("members", 2, F.greatest(F.size("members") - 1, F.lit(1)))).alias("v")).distinct()
+def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The distinct pairs that sizes and sketches do not exclude."""
     of_u = sets.select(F.col("set_id").alias("u"), F.col("n").alias("n_u"), F.col("sketch").alias("sketch_u"))
     of_v = sets.select(F.col("set_id").alias("v"), F.col("n").alias("n_v"), F.col("sketch").alias("sketch_v"))
 
@@ -333,10 +358,76 @@ def _first_pairs(groups: DataFrame, sets: DataFrame) -> DataFrame:
             columns = [batch.column(n).to_pylist() for n in ("n_u", "n_v", "sketch_u", "sketch_v")]
             yield batch.select(["u", "v"]).filter(pa.array(possible(*columns), pa.bool_()))
 
-    joined = pairs.join(of_u, "u").join(of_v, "v")
+    joined = staged(pairs.distinct(), "jaccard-pairs").join(of_u, "u").join(of_v, "v")
     return joined.select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v").mapInArrow(keep, "u bigint, v bigint")
 
 
+def _with_center(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each group's center with its members in other components. The center is the member that
+    shares most entries; after the first turn, one outside that member's component."""
+    best = F.max(F.struct("weight", "set_id", "label"))
+    center = members.groupBy("group_id").agg(best.alias("c")).select(
+        "group_id", F.col("c.set_id").alias("center"), F.col("c.label").alias("center_label"))
+    if turn:
+        other = members.join(center, "group_id").filter("label <> center_label")
+        by_turn = F.max(F.struct(F.xxhash64("set_id", F.lit(turn)).alias("weight"), "set_id", "label"))
+        center = other.groupBy("group_id").agg((best if turn == 1 else by_turn).alias("c")).select(
+            "group_id", F.col("c.set_id").alias("center"), F.col("c.label").alias("center_label"))
+    pairs = members.join(center, "group_id").filter("label <> center_label")
+    return pairs.select(F.least("set_id", "center").alias("u"), F.greatest("set_id", "center").alias("v"))
+
+
+def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Adds ``label``, the component so far, and leaves only groups that lie in several."""
+    if labels is None:
+        return members.withColumn("label", F.col("set_id"))
+    named = members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+    named = staged(named.withColumn("label", F.coalesce("label", "set_id")), "jaccard-members")
+    split = named.groupBy("group_id").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b")
+    return named.join(split.select("group_id"), "group_id", "left_semi")
+
+
+def _needed(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """``group_id, set_id, size``: members of groups, without the hottest entries each set can spare."""
+    members = groups.select("group_id", "band", "entries", F.size("members").alias("size"),
+                            F.explode("members").alias("set_id"))
+    spare = sets.select("set_id", F.col("band").alias("own"), "spare", "spare_below")
+    allowed = F.when(F.col("band") == F.col("own"), F.col("spare")).when(
+        F.col("band") == F.col("own") - 1, F.col("spare_below")).otherwise(0)
+    hottest = Window.partitionBy("set_id", "band").orderBy(F.desc("size"), "group_id")
+    kept = members.join(spare, "set_id").withColumn("spent", F.sum("entries").over(hottest)).filter(
+        F.col("spent") > allowed)
+    return staged(kept.select("group_id", "set_id", "size"), "jaccard-members")
+
+
+def _linked_sets(groups: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame | None:
+    """``node, label``: the components of the sets that link with others."""
+    members = _needed(groups, sets)
+    weights = members.groupBy("set_id").agg(F.sum("size").alias("weight"))
+    members = staged(members.select("group_id", "set_id").join(weights, "set_id"), "jaccard-members")
+    links = labels = tried = None
+    for turn in range(ROUNDS):
+        pairs = _with_center(_labelled(members, labels), turn)
+        if tried is not None:
+            pairs = staged(pairs.distinct(), "jaccard-pairs").join(tried, ["u", "v"], "left_anti")
+        pairs = staged(_possible(pairs, sets), "jaccard-pairs")
+        if pairs.isEmpty():
+            break
+        new = _verified(pairs, sets, docs)
+        tried = pairs if tried is None else tried.union(pairs)
+        links = new if links is None else links.union(new)
+        labels = components(links)
+    if links is None:
+        return None
+    apart = staged(_labelled(members, labels).select("group_id", "set_id", "label"), "jaccard-members")
+    of_set = apart.groupBy("set_id").agg(F.sort_array(F.collect_set("group_id")).alias("groups"))
+    apart = apart.join(of_set, "set_id").join(sets.select("set_id", "n", "sketch"), "set_id")
+    more = staged(apart.select("group_id", "set_id", "label", "n", "sketch", "groups").groupBy("group_id")
+                  .applyInPandas(_across, "u bigint, v bigint"), "jaccard-pairs")
+    more = staged(more.join(tried, ["u", "v"], "left_anti"), "jaccard-pairs")
+    return labels if more.isEmpty() else components(links.union(_verified(more, sets, docs)))
+
+
 def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row, ``set_id`` beside them.
 
@@ -350,28 +441,18 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     buckets = max(2 * partitions, int((size or 0) // BUCKET_BYTES))
     grouped = _index(slim, buckets, (longest or 0) // 2 + 2).groupBy("bucket").applyInPandas(_group, GROUPED)
     grouped = staged(grouped, "jaccard-index")
-    rows = grouped.filter("group_id is null").select("doc_id", "n", "set_id", "sketch")
+    rows = grouped.filter("group_id is null").drop("members", "group_id", "entries")
     sets = staged(rows.filter("set_id is not null").groupBy("set_id").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("band").alias("band"),
+        F.max("spare").alias("spare"), F.max("spare_below").alias("spare_below"),
         F.first("sketch", ignorenulls=True).alias("sketch")), "jaccard-sets")
     groups = staged(grouped.filter("group_id is not null").groupBy("group_id").agg(
-        F.first("members").alias("members")), "jaccard-groups")
-
-    first = staged(_first_pairs(groups, sets), "jaccard-pairs")
-    links = _verified(first, sets, slim)
-    labels = components(links)
-
-    members = groups.select("group_id", F.explode("members").alias("set_id"))
-    labelled = members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-    labelled = labelled.withColumn("label", F.coalesce("label", "set_id"))
-    split = labelled.groupBy("group_id").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a != b")
-    apart = labelled.join(split.select("group_id"), "group_id", "left_semi").join(sets, "set_id")
-    more = apart.select("group_id", "set_id", "label", "n", "sketch").groupBy("group_id").applyInPandas(
-        _across, "u bigint, v bigint").distinct().join(first, ["u", "v"], "left_anti")
-    more = staged(more, "jaccard-pairs")
-    if not more.isEmpty():
-        labels = components(links.union(_verified(more, sets, slim)))
+        F.first("members").alias("members"), F.first("band").alias("band"), F.sum("entries").alias("entries")),
+        "jaccard-groups")
 
+    labels = _linked_sets(groups, sets, slim)
+    if labels is None:
+        labels = spark.createDataFrame([], "node bigint, label bigint")
     of_set = sets.select("set_id", "doc_id").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     of_set = staged(of_set.withColumn("label", F.coalesce("label", "set_id")), "jaccard-labels")
     least = of_set.groupBy("label").agg(F.min("doc_id").alias("component_id"))
@@ -397,4 +478,5 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     ids = placed.select(F.col(row).alias("place"), F.col(key).alias("id"))
     first = joined.join(ids, "place").groupBy("component_id").agg(
         F.min(F.struct(F.col("id").isNull(), "id", "place")).getField("place").alias("place"))
-    return placed.join(staged(first.select("place"), "jaccard-kept"), F.col(row) == F.col("place"), "left_semi").drop(row)
+    kept = staged(first.select(F.col("place").alias(row)), "jaccard-kept")
+    return placed.join(kept, row, "left_semi").drop(row)
