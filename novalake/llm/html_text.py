@@ -97,15 +97,17 @@ def repeated_prefixes(suffixes: list[np.ndarray], low: np.ndarray, high: np.ndar
     lengths = np.array([len(s) for s in suffixes])
     for n, s in enumerate(suffixes):
         table[n, : len(s)] = s
-    order = np.lexsort([*table.T[::-1]])
-    table, lengths, low, high = table[order], lengths[order], low[order], high[order]
+    there = np.arange(DEPTH) < lengths[:, None]  # a suffix that has ended is equal to none that goes on
+    order = np.lexsort([x for n in reversed(range(DEPTH)) for x in (there[:, n], table[:, n])])
+    table, there, low, high = table[order], there[order], low[order], high[order]
     common = np.zeros(len(table), np.int64)
     new = np.append(True, np.zeros(len(table) - 1, bool))
     for depth in range(1, DEPTH + 1):
-        new = new | np.append(True, table[1:, depth - 1] != table[:-1, depth - 1])
+        here, alive = table[:, depth - 1], there[:, depth - 1]
+        new = new | np.append(True, (here[1:] != here[:-1]) | (alive[1:] != alive[:-1]))
         starts = np.flatnonzero(new)
         several = np.minimum.reduceat(low, starts) != np.maximum.reduceat(high, starts)
-        mine = np.repeat(several, np.diff(np.append(starts, len(table)))) & (lengths >= depth)
+        mine = np.repeat(several, np.diff(np.append(starts, len(table)))) & alive
         common[mine] = depth
     out = np.zeros(len(table), np.int64)
     out[order] = common
