@@ -92,7 +92,9 @@ class CentroidGraph:
             apart = norms - 2 * centers[block] @ centers.T
             apart[np.arange(len(apart)), np.arange(len(apart)) + start] = np.inf
             edges[block, :degree] = np.argsort(apart, axis=1, kind="stable")[:, :degree]
-        edges[:, degree] = (np.arange(len(centers)) + 1) % len(centers)
+        own = np.arange(len(centers))
+        following = (own + 1) % len(centers)
+        edges[:, degree] = np.where((edges[:, :degree] == following[:, None]).any(axis=1), own, following)
         return cls(centers, edges, longest)
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
