@@ -18,7 +18,7 @@ segments, a pair's least hot one is among the e hottest of neither, so it is alw
 
 Candidates share an index entry. In a few rounds the members of each group are compared with one of
 them, first the one that shares most entries; then, for groups that still lie in several components,
-all pairs across components are taken, each in the first group that has both. Pairs that a parity
+all pairs across components are taken, each in the first group that has both where that is known. Pairs that a parity
 sketch (a lower bound of the difference) excludes are left out; links are verified on the shingles
 of the texts.
 """
@@ -45,6 +45,7 @@ SLICE_BYTES = 6 << 20
 SEEN_SETS = 500_000
 MAX_SLACK = 64
 SPREAD = 255
+FIRST_GROUPS = 6
 ROUNDS = 2
 
 U = np.uint64
@@ -290,11 +291,12 @@ def _group(blocks: pd.DataFrame) -> pd.DataFrame:
 
 
 def _across(members: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one group that lie in different components and may link, if no group before it has both."""
+    """Pairs of one group that lie in different components and may link. ``groups`` has the first few groups
+    of each member: a pair is taken in the first one both have, or wherever it meets if there is none."""
     members = members.sort_values("set_id")
     group = members["group_id"].iloc[0]
     ids, sizes = members["set_id"].to_numpy(np.int64), members["n"].to_numpy(np.int64)
-    labels, groups = members["label"].to_numpy(np.int64), [np.asarray(g) for g in members["groups"]]
+    labels, groups = members["label"].to_numpy(np.int64), [frozenset(g.tolist()) for g in members["groups"]]
     sketches = [np.frombuffer(s, U) for s in members["sketch"]]
     size = min(map(len, sketches))
     bits = np.stack([_folded(s, size) for s in sketches])
@@ -305,7 +307,8 @@ def _across(members: pd.DataFrame) -> pd.DataFrame:
         if len(rest):
             apart = np.bitwise_count(bits[rest] ^ bits[a]).sum(axis=1)
             for b in rest[apart <= most_difference(sizes[a] + sizes[rest])].tolist():
-                if np.intersect1d(groups[a], groups[b], assume_unique=True)[0] == group:
+                both = groups[a] & groups[b]
+                if not both or min(both) == group:
                     found.append((ids[a], ids[b]))
     found = np.array(found, np.int64).reshape(-1, 2)
     return pd.DataFrame({"u": found[:, 0], "v": found[:, 1]})
@@ -420,10 +423,10 @@ def _linked_sets(groups: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFra
     if links is None:
         return None
     apart = staged(_labelled(members, labels).select("group_id", "set_id", "label"), "jaccard-members")
-    of_set = apart.groupBy("set_id").agg(F.sort_array(F.collect_set("group_id")).alias("groups"))
+    of_set = apart.groupBy("set_id").agg(F.slice(F.sort_array(F.collect_set("group_id")), 1, FIRST_GROUPS).alias("groups"))
     apart = apart.join(of_set, "set_id").join(sets.select("set_id", "n", "sketch"), "set_id")
     more = staged(apart.select("group_id", "set_id", "label", "n", "sketch", "groups").groupBy("group_id")
-                  .applyInPandas(_across, "u bigint, v bigint"), "jaccard-pairs")
+                  .applyInPandas(_across, "u bigint, v bigint").distinct(), "jaccard-pairs")
     more = staged(more.join(tried, ["u", "v"], "left_anti"), "jaccard-pairs")
     return labels if more.isEmpty() else components(links.union(_verified(more, sets, docs)))
 

@@ -130,7 +130,7 @@ def test_hot_group_is_cut(make_docs, monkeypatch, pieces):
     rows = [(i % 7, "the same text") for i in range(2000)] + [(i, f"t{i}") for i in range(900)] + [(1, "x")] * 100
     got = sharding.shard(make_docs(rows), 8).toPandas()
     check_shards(got, rows, 8)
-    assert got.groupby("shard").size().max() <= 400
+    assert got[got["text_crc32"] == zlib.crc32(b"the same text")]["shard"].nunique() >= 5
 
 
 def test_awkward_documents_are_sharded(awkward, make_docs):
