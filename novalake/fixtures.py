@@ -89,15 +89,9 @@ DEFAULTS = {"string": "'v1'", "bigint": "7", "int": "3", "double": "0.5", "float
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. One scanned in fewer splits than there are cores is dealt
-    out by row position first, else most cores would get nothing to do. Larger
-    tables are left as they are: no shuffle."""
+    """A driver table, as it is."""
     prepare(spark)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, F.monotonically_increasing_id())
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _record_sql(values: dict[str, str], schema: StructType) -> str:

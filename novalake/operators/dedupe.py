@@ -51,8 +51,9 @@ def dedupe_by_key(
     order = [F.col(c).desc_nulls_last() for c in [*latest, *rest]] or [F.lit(1)]
     if null_safe:
         return top_row(df, keys, order)
-    keyless = any_null(*keys)
-    return top_row(df.where(~keyless), keys, order).unionByName(df.where(keyless))
+    # A row without key is a group of its own, so that one pass serves all rows.
+    alone = F.when(any_null(*keys), F.monotonically_increasing_id())
+    return top_row(df.withColumn("_alone", alone), [*keys, "_alone"], order).drop("_alone")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], latest: str = "observation_date") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -10,9 +10,9 @@ from novalake.functions.julian import jd_to_timestamp
 from novalake.operators.reshape import with_audit
 from novalake.sources.landing import (
     batch_of,
+    count_columns,
     read_archive,
-    record_counts,
-    run_summary,
+    summarised,
     write_landing,
 )
 from novalake.sources.payload import split_payload, write_payloads
@@ -29,13 +29,15 @@ def ingest_landing(
 ) -> DataFrame:
     """Raw records to landing files plus a payload table; returns the counts.
 
-    The alert write reads no image bytes and the payload write no alert body:
-    both are projections of the same scan.
+    The alert write reads no image bytes and the payload write no alert body. The counts are taken
+    along the payload write, which sees every record: no pass of their own.
     """
     alerts, _ = split_payload(records)
     write_landing(alerts, alert_path, files, landing_format)
-    write_payloads(records, payload_path, folder)
-    return record_counts(records)
+    seen = Observation()
+    write_payloads(records.observe(seen, *count_columns(records)), payload_path, folder)
+    counts = [F.lit(n).cast("bigint").alias(name) for name, n in seen.get.items()]
+    return records.sparkSession.range(1).select(*counts)
 
 
 def ingest_night(
@@ -52,13 +54,13 @@ def ingest_night(
 ) -> DataFrame:
     """One night's extracted archive into the landing folder of its date.
 
-    Records get the date of the night, not of their content. Returns one row:
-    files and records taken, source, destination.
+    Records get the date of the night, not of their content. Returns one row: files and records
+    taken, records without id or images, source, destination.
     """
     records = read_archive(spark, archive_path, fmt, schema, glob)
     dated = records.withColumn("observation_date", F.to_date(F.lit(date)))
-    ingest_landing(dated, alert_path, payload_path, files, landing_format=landing_format)
-    return run_summary(records, archive_path, f"{alert_path}/observation_date={date}")
+    counts = ingest_landing(dated, alert_path, payload_path, files, landing_format=landing_format)
+    return summarised(counts, records, archive_path, f"{alert_path}/observation_date={date}")
 
 
 def bronze_alert(landing: DataFrame, first: str, last: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import ExitStack
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +12,15 @@ from pyspark.sql import functions as F
 from novalake.operators.combine import match_keys
 from novalake.operators.dedupe import dedupe_by_key
 from novalake.plans import silver
-from novalake.session import prepare
+from novalake.session import utc
 from novalake.sources.landing import batch_of, valid_records
 from novalake.sources.tables import (
     TableSpec,
     ensure_namespace,
     has_duplicates,
+    held,
     layer_schema,
     read_table,
-    stage,
     table_exists,
     upsert_table,
 )
@@ -33,23 +34,25 @@ CURRENT = "is_current"
 
 BRONZE_ALERT = TableSpec("bronze", "alert", ("candid",), ("observation_date",), ("objectId", "candid"))
 
-# Keys, partitions and sort order of the silver tables. Only
-# where mjd and fid are part of the key does the key imply the partition.
+# Keys, partitions and sort order of the silver tables. The time of a row is part of
+# the key, or follows from it: an alert id stands for one exposure, a reference image has one start.
+# Not so for detection, where a history row may carry other values for the id, nor for bronze,
+# where an alert may be sent again on another night.
 SILVER = {
     spec.name: replace(spec, unstored=(*silver.BATCH, CURRENT))
     for spec in (
         TableSpec("silver", "crossmatch_gaia", ("objectid", "candid"),
-                  ("ts_day",), ("objectid", "ts"), "ts"),
+                  ("ts_day",), ("objectid", "ts"), "ts", key_fixes_partition=True),
         TableSpec("silver", "crossmatch_ps1", ("objectid", "candid", "objectidps"),
-                  ("ts_day",), ("objectid", "ts"), "ts"),
+                  ("ts_day",), ("objectid", "ts"), "ts", key_fixes_partition=True),
         TableSpec("silver", "crossmatch_ss", ("objectid", "candid"),
-                  ("ts_day",), ("objectid", "ts"), "ts"),
+                  ("ts_day",), ("objectid", "ts"), "ts", key_fixes_partition=True),
         TableSpec("silver", "non_detection", ("objectid", "fid", "pid", "mjd"),
-                  ("fid", "ts_day"), ("objectid", "ts"), "ts", key_fixes_partition=True),
+                  ("fid", "ts_day"), ("objectid", "ts"), "ts", key_fixes_partition=True, repeats=True),
         TableSpec("silver", "reference", ("objectid", "fid", "rfid"),
-                  ("fid", "ts_day"), ("objectid", "startref_ts"), "startref_ts"),
+                  ("fid", "ts_day"), ("objectid", "startref_ts"), "startref_ts", key_fixes_partition=True),
         TableSpec("silver", "detection", ("objectid", "candid"),
-                  ("fid", "ts_day"), ("objectid", "ts"), "ts"),
+                  ("fid", "ts_day"), ("objectid", "ts"), "ts", repeats=True),
         TableSpec("silver", "forced_photometry", ("objectid", "fid", "pid", "rfid", "mjd"),
                   ("fid", "ts_day"), ("objectid", "ts"), "ts", key_fixes_partition=True),
     )
@@ -84,13 +87,28 @@ def upsert_detections(rows: DataFrame, root: str, per: Sequence[str], keep_riche
         upsert_table(rows, root, spec, latest=per)
         return
     spark, path = rows.sparkSession, spec.path(root)
-    if table_exists(spark, path):
-        staged = stage(rows, "detections")
-        stored = read_table(spark, path, rows.schema)
-        rows = staged.where(CURRENT).unionByName(
-            match_keys(staged.where(~F.col(CURRENT)), stored, spec.keys, "left_anti")
-        )
-    upsert_table(rows, root, spec, latest=[CURRENT, *per])
+    with ExitStack() as kept:
+        if table_exists(spark, path):
+            staged = kept.enter_context(held(rows, "detections"))
+            stored = read_table(spark, path, rows.schema)
+            rows = staged.where(CURRENT).unionByName(
+                match_keys(staged.where(~F.col(CURRENT)), stored, spec.keys, "left_anti")
+            )
+        upsert_table(rows, root, spec, latest=[CURRENT, *per])
+
+
+def _refresh_silver(
+    alerts: DataFrame, root: str, per: Sequence[str], keep_richer: bool
+) -> None:
+    """All silver tables from one stored batch of alerts. The reference rows of a batch cover its alerts,
+    so detection joins those, and not a table that grows with the years."""
+    with held(silver.reference(alerts, per), "references") as references:
+        upsert_table(references, root, SILVER["reference"], latest=per, staged=True)
+        for name, plan in ALERT_ONLY.items():
+            if name != "reference":
+                upsert_table(plan(alerts, per), root, SILVER[name], latest=per)
+        rows = silver.detection(alerts, references, per, origin=CURRENT)
+        upsert_detections(rows, root, per, keep_richer)
 
 
 def refresh_day(
@@ -101,15 +119,10 @@ def refresh_day(
     keep_richer: bool = False,
 ) -> None:
     """Upserts one observation date into bronze and every silver table."""
-    prepare(spark)
-    upsert_table(valid_records(batch_of(landing, date)), root, BRONZE_ALERT)
-    alerts = batch_of(read_table(spark, BRONZE_ALERT.path(root), landing.schema), date)
-    for name, plan in ALERT_ONLY.items():
-        upsert_table(plan(alerts), root, SILVER[name])
-    schema = silver.reference(alerts).schema
-    references = read_table(spark, SILVER["reference"].path(root), schema)
-    rows = silver.detection(alerts, references, origin=CURRENT)
-    upsert_detections(rows, root, (), keep_richer)
+    with utc(spark):
+        upsert_table(valid_records(batch_of(landing, date)), root, BRONZE_ALERT)
+        alerts = batch_of(read_table(spark, BRONZE_ALERT.path(root), landing.schema), date)
+        _refresh_silver(alerts, root, (), keep_richer)
 
 
 def backfill(
@@ -122,21 +135,19 @@ def backfill(
 ) -> None:
     """A range of dates in one pass per table; same tables as the loop over days.
 
-    Rows meet only rows of their own date, and per key the latest date wins.
-    The reference rows of a date always cover the alerts of that date, so
-    detection joins them by date and needs no earlier table state. The batch is
-    staged once: all tables read it, column by column.
+    Rows meet only rows of their own date, and per key the latest date wins. The alerts are staged
+    once, without repeats within a date; all tables read that copy, column by column. It goes with the run.
     """
-    prepare(spark)
     per, keys = silver.BATCH, [*silver.BATCH, "candid"]
-    alerts = stage(valid_records(batch_of(landing, first, last or "9999-12-31")), "backfill")
-    if has_duplicates(alerts, keys):
-        alerts = stage(dedupe_by_key(alerts, keys), "backfill-unique")
-    upsert_table(alerts, root, BRONZE_ALERT, latest=per)
-    references = stage(silver.reference(alerts, per), "references")
-    upsert_table(references, root, SILVER["reference"], latest=per)
-    for name, plan in ALERT_ONLY.items():
-        if name != "reference":
-            upsert_table(plan(alerts, per), root, SILVER[name], latest=per)
-    rows = silver.detection(alerts, references, per, origin=CURRENT)
-    upsert_detections(rows, root, per, keep_richer)
+    with utc(spark):
+        alerts = valid_records(batch_of(landing, first, last or "9999-12-31"))
+        if has_duplicates(alerts, keys):
+            alerts = dedupe_by_key(alerts, keys)
+        with held(alerts, "backfill") as alerts:
+            newest = alerts
+            if has_duplicates(alerts, ["candid"]):  # the ids alone tell which row is the newest
+                last_date = alerts.groupBy(F.col("candid").alias("_id")).agg(F.max(per[0]).alias("_date"))
+                same = (F.col("candid") == F.col("_id")) & (F.col(per[0]) == F.col("_date"))
+                newest = alerts.join(last_date, same, "left_semi")
+            upsert_table(newest, root, BRONZE_ALERT, staged=True)
+            _refresh_silver(alerts, root, per, keep_richer)

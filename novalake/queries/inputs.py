@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StructType
 
-from novalake.fixtures import CANDIDATE_SQL, DAY, FORCED_SQL, HISTORY_SQL
+from novalake.fixtures import CANDIDATE_SQL, DAY, FORCED_SQL, HISTORY_SQL, LISTED_FORCED_SQL
 from novalake.schemas import CANDIDATE, FORCED, HISTORY
 
 
@@ -47,6 +47,10 @@ H = f"h AS (SELECT {_HEAD}, n,\n  {_columns(HISTORY_SQL, HISTORY)}\n  FROM {_ITE
 H_LISTED = f"h AS (SELECT {_HEAD}, n,\n  {_columns(HISTORY_SQL, HISTORY)}\n  FROM {_LISTED} i)"
 FP = f"fp AS (SELECT {_HEAD}, n,\n  {_columns(FORCED_SQL, FORCED)}\n  FROM {_ITEMS} i)"
 
+# One forced measurement for each order, as in the listed alerts.
+FP_LISTED = (f"fp AS (SELECT {_HEAD},\n  {_columns(LISTED_FORCED_SQL, FORCED)}\n"
+             "  FROM (SELECT o_orderkey AS k, o_custkey AS c, o_totalprice AS price FROM orders) o)")
+
 
 def seconds(jd: str) -> str:
     """Whole epoch seconds of a Julian date."""

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from novalake.fixtures import listed_alerts, table
 from novalake.operators.combine import merge_upsert
-from novalake.plans.refresh import SILVER, backfill
-from novalake.queries.inputs import H_LISTED
+from novalake.plans.refresh import BRONZE_ALERT, SILVER, backfill, refresh_day
+from novalake.queries.inputs import A, FP, FP_LISTED, H, H_LISTED, r6
 from novalake.queries.shown import comparable
+from novalake.queries.silver_tables import ORACLE as SILVER_ORACLE
 from novalake.queries.silver_tables import detection_sql
-from novalake.session import new_stage_path
+from novalake.session import new_stage_path, prepare
 from novalake.sources.landing import read_landing, write_landing
 from novalake.sources.tables import (
     TableSpec,
@@ -149,14 +150,55 @@ def clustered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path).select("event_id", "user_id", "event_type", "ts_day")
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, alerts = new_stage_path(spark, "landing"), listed_alerts(spark, sf_dir)
+    write_landing(alerts, path)
+    return read_landing(spark, path, "parquet", alerts.schema)
+
+
+_lakes: dict[tuple[str, str], str] = {}
+
+
+def _filled_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Landing files to bronze and all silver tables; once for a session and its data."""
+    built = (spark.sparkContext.applicationId, sf_dir)
+    if built not in _lakes:
+        root = new_stage_path(spark, "lake")
+        backfill(spark, _landed(spark, sf_dir), root, "2024-01-01", "2024-01-30")
+        _lakes[built] = root
+    prepare(spark)
+    return _lakes[built]
+
+
+def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return comparable(read_table(spark, SILVER[name].path(root)).drop("_created_ts", "ts_day"))
+
+
 def lake_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing files to bronze and all silver tables; returns the detections."""
-    landing, root = new_stage_path(spark, "landing"), new_stage_path(spark, "lake")
-    alerts = listed_alerts(spark, sf_dir)
-    write_landing(alerts, landing)
-    backfill(spark, read_landing(spark, landing, "parquet", alerts.schema), root, "2024-01-01", "2024-01-30")
-    rows = read_table(spark, SILVER["detection"].path(root)).drop("_created_ts", "ts_day")
-    return comparable(rows)
+    """The detections of a backfilled lake."""
+    return _stored(spark, _filled_lake(spark, sf_dir), "detection")
+
+
+def lake_bronze_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, BRONZE_ALERT.path(_filled_lake(spark, sf_dir)))
+    return comparable(rows.select(
+        F.col("objectId").alias("objectid"), "candid", "candidate.magpsf", "observation_date",
+        F.size("prv_candidates").alias("n_history"), F.size("fp_hists").alias("n_forced")))
+
+
+def _lake_table(name: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _stored(spark, _filled_lake(spark, sf_dir), name)
+    return query
+
+
+def lake_refresh_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two nights, one refresh each: the second replaces what it knows of the first."""
+    landing, root = _landed(spark, sf_dir), new_stage_path(spark, "lake")
+    for date in ("2024-01-01", "2024-01-02"):
+        refresh_day(spark, landing, root, date)
+    prepare(spark)
+    return _stored(spark, root, "detection")
 
 
 QUERIES = {
@@ -171,7 +213,9 @@ QUERIES = {
     "partition_days": partition_days,
     "clustered_write": clustered_write,
     "lake_backfill": lake_backfill,
-}
+    "lake_refresh_two_days": lake_refresh_two_days,
+    "lake_bronze_alert": lake_bronze_alert,
+} | {f"lake_{name}": _lake_table(name) for name in SILVER if name != "detection"}
 
 _batches = """t AS (SELECT o_orderkey, {c} AS o_custkey, o_orderstatus, o_totalprice FROM orders),
 s AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice FROM t WHERE o_orderkey % 3 = 0
@@ -184,6 +228,13 @@ def _merge_sql(custkey: str, match: str) -> str:
 SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE {match}) UNION ALL SELECT * FROM s"""
 
 
+def _latest_detections(last: str) -> str:
+    """Detections of the nights up to ``last``; of an id, those of its latest night."""
+    return f"""SELECT * EXCLUDE (observation_date) FROM (
+SELECT * FROM ({detection_sql(H_LISTED)}) WHERE observation_date <= DATE '{last}' QUALIFY row_number() OVER
+  (PARTITION BY objectid, candid ORDER BY observation_date DESC) = 1)"""
+
+
 ORACLE = {
     "create_empty_like": "SELECT event_id, event_type, value, CAST(0 AS BIGINT) AS n_before FROM events",
     "append_evolve": """SELECT event_id, event_type, value, CAST(NULL AS VARCHAR) AS props FROM events
@@ -204,8 +255,15 @@ SELECT event_id, event_type, props FROM events WHERE event_id % 2 = 1""",
     "partition_days": """SELECT event_type, CAST(ts AS DATE) AS ts_day, count(*) AS n_events,
   min(event_id) AS first_id, max(event_id) AS last_id FROM events GROUP BY ALL""",
     "clustered_write": "SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS ts_day FROM events",
-    "lake_backfill": f"""SELECT * EXCLUDE (observation_date) FROM (
-SELECT * FROM ({detection_sql(H_LISTED)}) QUALIFY row_number() OVER
-  (PARTITION BY objectid, candid ORDER BY observation_date DESC) = 1)""",
-}
+    "lake_backfill": _latest_detections("2024-01-30"),
+    "lake_refresh_two_days": _latest_detections("2024-01-02"),
+    "lake_bronze_alert": f"""WITH {A} SELECT objectid, candid, {r6('magpsf')} AS magpsf, observation_date,
+  CAST(4 AS INTEGER) AS n_history, CAST(1 AS INTEGER) AS n_forced FROM a""",
+    "lake_reference": f"SELECT * EXCLUDE (observation_date) FROM ({SILVER_ORACLE['batch_backfill']})",
+    "lake_non_detection": "SELECT DISTINCT * EXCLUDE (observation_date) FROM ("
+                          + SILVER_ORACLE["non_detection"].replace(H, H_LISTED) + ")",
+    "lake_forced_photometry": "SELECT * EXCLUDE (observation_date) FROM ("
+                              + SILVER_ORACLE["forced_photometry"].replace(FP, FP_LISTED) + ")",
+} | {f"lake_{name}": f"SELECT * EXCLUDE (observation_date) FROM ({SILVER_ORACLE[name]})"
+     for name in ("crossmatch_gaia", "crossmatch_ps1", "crossmatch_ss")}
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from novalake.fixtures import candidate_alerts, landing_records, table
 from novalake.operators.reshape import drop_prefixed, stack_branches
-from novalake.plans.bronze import append_bronze, bronze_alert, ingest_landing
+from novalake.plans.bronze import append_bronze, bronze_alert, ingest_landing, ingest_night
 from novalake.queries.inputs import A, DAY, seconds
 from novalake.queries.shown import comparable
 from novalake.schemas import ALERT
@@ -23,7 +23,7 @@ from novalake.sources.landing import (
     valid_records,
     write_landing,
 )
-from novalake.sources.manifest import parse_manifest, verify_checksums
+from novalake.sources.manifest import parse_manifest, read_files, read_manifest, verify_checksums
 from novalake.sources.payload import payload_rows, split_payload, with_payload_key, write_payloads
 from novalake.sources.tables import read_evolved
 
@@ -185,8 +185,43 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    summary = run_summary(orders, "orders", "landing")
-    return summary.withColumn("n_files", F.col("n_files") > 0).withColumnRenamed("n_files", "has_files")
+    return run_summary(orders, "orders", "landing")
+
+
+NIGHT = "2024-01-02"
+
+
+def nightly_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive of three files in nested folders, taken in as one night; the summary of the run beside
+    what the landing folder and the payload table hold."""
+    archive = new_stage_path(spark, "archive")
+    alert_path, payload_path = new_stage_path(spark, "landing"), new_stage_path(spark, "payload")
+    records = landing_records(spark, sf_dir).drop("observation_date")
+    for n in range(3):
+        part = records.where(F.substring("objectId", 5, 20).cast("bigint") % 3 == n)
+        part.coalesce(1).write.parquet(f"{archive}/{n}/deeper")
+    summary = ingest_night(spark, archive, NIGHT, alert_path, payload_path, "parquet", "*.parquet", records.schema)
+    landed = read_landing(spark, alert_path, "parquet").agg(
+        F.count("*").alias("n"), F.max("observation_date").alias("night")).first()
+    return summary.drop("source", "destination").select(
+        "*", F.lit(landed.n).cast("bigint").alias("n_landed"), F.lit(landed.night).alias("night"),
+        F.lit(spark.read.parquet(payload_path).count()).cast("bigint").alias("n_images"))
+
+
+def checksum_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six text files against a manifest file that has a third of them right and a third wrong."""
+    folder, manifest = new_stage_path(spark, "files"), new_stage_path(spark, "manifest")
+    part = (F.col("doc_id") % 6).cast("int")
+    table(spark, sf_dir, "documents").repartitionById(6, part).select("text").write.text(folder)
+    files = read_files(spark, folder, "part-*")
+    number = F.regexp_extract("path", "part-([0-9]+)", 1).cast("int")
+    good = F.md5("content")
+    wrong = F.when(number % 3 == 0, good).when(number % 3 == 1, F.reverse(good))
+    lines = files.select(F.concat(wrong, F.lit("  ./"), F.col("path")).alias("value")).where("value IS NOT NULL")
+    lines.coalesce(1).write.text(manifest)
+    checked = verify_checksums(files, read_manifest(spark, manifest))
+    return checked.select(
+        F.regexp_extract("filename", "part-([0-9]+)", 1).cast("int").alias("part"), "status")
 
 
 QUERIES = {
@@ -206,6 +241,8 @@ QUERIES = {
     "bronze_alert": bronze_alerts,
     "bronze_append": bronze_append,
     "run_summary": ingest_summary,
+    "nightly_ingest": nightly_ingest,
+    "checksum_files": checksum_files,
 }
 
 _page = DAY.replace("k %", "page_id %")
@@ -263,6 +300,16 @@ FROM f LEFT JOIN m ON f.filename = m.filename""",
     "bronze_append": f"""WITH {A} SELECT objectid, candid,
   CASE WHEN candid % 3 = 0 THEN 'second' END AS publisher, {seconds('jd')} AS observation_timestamp,
   DATE '1970-01-01' + CAST(floor(jd - 2440587.5::DOUBLE) AS INTEGER) AS observation_day FROM a""",
-    "run_summary": """SELECT true AS has_files, count(*) AS n_records, 'orders' AS source,
+    "run_summary": """SELECT CAST(1 AS BIGINT) AS n_files, count(*) AS n_records, 'orders' AS source,
   'landing' AS destination, false AS skipped FROM orders""",
+    "nightly_ingest": f"""WITH {_rec}
+SELECT CAST(3 AS BIGINT) AS n_files, count(*) AS n_records, count(*) FILTER (candid IS NULL) AS n_without_candid,
+  count(candid) AS n_kept,
+  count(*) FILTER (candid IS NOT NULL AND science IS NULL AND template IS NULL AND difference IS NULL)
+    AS n_without_payload, false AS skipped, count(candid) AS n_landed, DATE '{NIGHT}' AS night,
+  CAST(sum(CASE WHEN candid IS NULL THEN 0 ELSE CAST(science IS NOT NULL AS INTEGER)
+    + CAST(template IS NOT NULL AS INTEGER) + CAST(difference IS NOT NULL AS INTEGER) END) AS BIGINT) AS n_images
+FROM r""",
+    "checksum_files": """SELECT DISTINCT CAST(doc_id % 6 AS INTEGER) AS part, CASE doc_id % 3
+  WHEN 0 THEN 'match' WHEN 1 THEN 'mismatch' ELSE 'no expected hash' END AS status FROM documents""",
 }

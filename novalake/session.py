@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -16,15 +17,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # The tables are wide. HotSpot does not compile methods above 8000 bytes,
-    # so generated code beyond that would run interpreted.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
-# The part results or speed depend on even in a session built elsewhere.
-PLAN_CONF = ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit")
-
 
 def build_session(
     app_name: str = "novalake",
@@ -46,13 +40,28 @@ def build_session(
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Puts a session built elsewhere on UTC (``to_date(ts)`` and day partitions
-    depend on it) and on the code generation limit for wide rows."""
-    for key in PLAN_CONF:
-        spark.conf.set(key, ENGINE_CONF[key])
+    """Puts a session built elsewhere on UTC: ``to_date(ts)`` and day partitions depend on it. For plans
+    that the caller runs; jobs that run to their end use :func:`utc`."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
+@contextmanager
+def utc(spark: SparkSession):
+    """UTC for the jobs inside; afterwards the caller's time zone holds again."""
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+# Temporary folders of local sessions that name none.
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named in ``spark.checkpoint.dir``.
 
@@ -60,18 +69,32 @@ def shared_dir(spark: SparkSession) -> str:
     executors could not read what another machine wrote there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
     if named:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(named)
+        if not local and folder.toUri().getScheme() is None:
+            scheme = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+            if scheme == "file":
+                raise RuntimeError(f"spark.checkpoint.dir is {named}, a folder of each machine's own: "
+                                   "name a shared file system, or file:// for a shared mount")
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = "file://" + tempfile.mkdtemp(prefix="novalake-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="novalake-")
+    return _own_dirs[app]
 
 
 def new_stage_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder, dropped when the driver JVM ends."""
+    """A fresh path in the shared folder, dropped when the driver JVM ends, or before by :func:`drop_path`."""
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder made by :func:`new_stage_path`."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -78,19 +78,24 @@ def valid_records(df: DataFrame) -> DataFrame:
     return df.where(F.col("candid").isNotNull())
 
 
-def record_counts(df: DataFrame, payload_prefix: str = "cutout") -> DataFrame:
-    """One row: how many records, how many dropped, how many lack payloads."""
+def count_columns(df: DataFrame, payload_prefix: str = "cutout") -> list[Column]:
+    """How many records, how many dropped, how many lack payloads."""
     payloads = [c for c in df.columns if c.startswith(payload_prefix)]
     without = F.lit(True)
     for name in payloads:
         without = without & F.col(f"{name}.stampData").isNull()
     keyed = F.col("candid").isNotNull()
-    return df.agg(
+    return [
         F.count("*").alias("n_records"),
         F.count_if(~keyed).alias("n_without_candid"),
         F.count_if(keyed).alias("n_kept"),
         F.count_if(keyed & without).alias("n_without_payload"),
-    )
+    ]
+
+
+def record_counts(df: DataFrame, payload_prefix: str = "cutout") -> DataFrame:
+    """The counts as one row."""
+    return df.agg(*count_columns(df, payload_prefix))
 
 
 def write_landing(
@@ -117,8 +122,16 @@ def run_summary(df: DataFrame, source: str, destination: str, skipped: bool = Fa
     ``df`` is the scan of the source. Its files are counted from the listing the
     scan already holds, so files without records count too.
     """
-    return df.agg(F.count("*").alias("n_records")).select(
-        F.lit(len(df._jdf.inputFiles())).cast("bigint").alias("n_files"), "n_records",
+    return summarised(df.agg(F.count("*").alias("n_records")), df, source, destination, skipped)
+
+
+def summarised(
+    counts: DataFrame, scan: DataFrame, source: str, destination: str, skipped: bool = False
+) -> DataFrame:
+    """The summary from counts taken already."""
+    n_files = len(scan._jdf.inputFiles())
+    return counts.select(
+        F.lit(n_files).cast("bigint").alias("n_files"), "*",
         F.lit(source).alias("source"), F.lit(destination).alias("destination"),
         F.lit(skipped).alias("skipped"),
     )

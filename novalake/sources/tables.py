@@ -6,8 +6,9 @@ row-level operations, :func:`merge_into` does the upsert there instead.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -20,10 +21,16 @@ from pyspark.sql.types import StructType
 from novalake.operators.combine import match_keys, merge_upsert
 from novalake.operators.dedupe import dedupe_by_key
 from novalake.operators.reshape import with_audit
-from novalake.session import new_stage_path
+from novalake.session import drop_path, new_stage_path
 
 # Wanted size of a table file; folder name of a NULL partition.
 TARGET_FILE_BYTES = 536870912
+# A write below the target size is still shared by up to so many tasks, if each gets as many bytes.
+LEAST_TASKS, LEAST_TASK_BYTES = 8, 16777216
+# Up to so many ranges a row is compared with their bounds; beyond, Spark's own range exchange is used.
+OWN_RANGES = 512
+SAMPLED_PER_RANGE = 100
+PENDING = "_pending_moves"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -35,6 +42,8 @@ class TableSpec:
     ``key_fixes_partition`` states that equal keys imply equal partitions; only
     then may an upsert skip looking for old rows in other partitions.
     ``unstored`` columns order a batch but are not part of the table.
+    ``repeats`` states that batches often hold a key twice, so that they are deduplicated
+    before they are staged rather than checked after.
     """
 
     layer: str
@@ -45,6 +54,7 @@ class TableSpec:
     day_of: str | None = None
     key_fixes_partition: bool = False
     unstored: tuple[str, ...] = ()
+    repeats: bool = False
 
     def path(self, root: str) -> str:
         return f"{root.rstrip('/')}/{self.layer}/{self.name}"
@@ -95,30 +105,71 @@ def with_day(df: DataFrame, ts: str | None, day: str = "ts_day") -> DataFrame:
     return df.withColumn(day, F.to_date(ts)) if ts else df
 
 
-@contextmanager
-def _shuffle_target(spark: SparkSession, size: int):
-    """Lets adaptive execution coalesce the shuffle of a write up to file size;
-    it still prefers smaller files to idle cores."""
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(size))
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the size of a plan's result."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def stored_bytes(scan: DataFrame) -> int:
+    """Size of the files a scan of a table reads rows from; no column is read for it. For a plan that is more
+    than a filtered scan, Spark's estimate."""
     try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+        files = scan.select("_metadata.file_path", "_metadata.file_size").distinct()
+    except AnalysisException:
+        return estimated_bytes(scan)
+    return files.agg(F.sum("file_size")).first()[0] or 0
+
+
+def range_count(size: int, target_file_bytes: int) -> int:
+    """Into how many files of the target size so many bytes go, or tasks if they fill no file."""
+    return max(1, -(-size // target_file_bytes), min(LEAST_TASKS, -(-size // LEAST_TASK_BYTES)))
 
 
-def clustered(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def _bounds(keys: DataFrame, ranges: int) -> list[tuple]:
+    """Lower bounds of all ranges but the first, from a sample of the key columns."""
+    rows = keys.count()
+    share = min(1.0, SAMPLED_PER_RANGE * ranges / max(1, rows))
+    sample = keys.sample(share, seed=17) if share < 1 else keys
+    got = sorted((tuple(r) for r in sample.collect()), key=lambda r: [(v is not None, v) for v in r])
+    cuts = [got[len(got) * n // ranges] for n in range(1, ranges)] if len(got) >= ranges else got
+    return list(dict.fromkeys(cuts))
+
+
+def _range_number(columns: Sequence[str], keys: DataFrame, bounds: list[tuple]) -> Column:
+    """How many bounds are at or below a row; NULL sorts first, as in the files."""
+    types = [keys.schema[c].dataType for c in columns]
+    here = F.struct(*(F.col(c).alias(f"k{n}") for n, c in enumerate(columns)))
+    passed = F.lit(0)
+    for bound in bounds:
+        at = F.struct(*(F.lit(v).cast(t).alias(f"k{n}") for n, (v, t) in enumerate(zip(bound, types))))
+        passed = passed + (here >= at).cast("int")
+    return passed
+
+
+def clustered(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    order_by: Sequence[str],
+    ranges: int,
+    keys: DataFrame | None = None,
+) -> DataFrame:
     """Range-distributed by partition and sort columns, sorted within files.
 
-    The sort columns take part in the ranges, so a hot partition value, or a
-    hot object, is spread over several tasks. Without sort columns adaptive
-    execution splits hot partition values instead.
+    The sort columns take part in the ranges, so a hot partition value, or a hot object, is spread
+    over several tasks. Without sort columns adaptive execution splits hot partition values instead.
+    ``keys`` has the same keys, more or less, and is cheap to scan: the bounds of the ranges are
+    drawn from it, so that ``df`` itself is evaluated once only.
     """
     columns = [*partition_by, *order_by]
     if not order_by:
         return df.hint("rebalance", *columns)
-    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    if ranges > OWN_RANGES:
+        return df.repartitionByRange(ranges, *columns).sortWithinPartitions(*columns)
+    keys = (df if keys is None else keys).select(*columns)
+    bounds = _bounds(keys, ranges) if ranges > 1 else []
+    spread = df.withColumn("_range", _range_number(columns, keys, bounds))
+    spread = spread.repartitionById(len(bounds) + 1, F.col("_range")).drop("_range")
+    return spread.sortWithinPartitions(*columns)
 
 
 def write_clustered(
@@ -128,15 +179,21 @@ def write_clustered(
     order_by: Sequence[str] = (),
     target_file_bytes: int = TARGET_FILE_BYTES,
     dynamic: bool = False,
+    size: int | None = None,
+    keys: DataFrame | None = None,
 ) -> None:
-    with _shuffle_target(df.sparkSession, target_file_bytes):
-        (
-            clustered(df, partition_by, order_by)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-            .partitionBy(*partition_by)
-            .parquet(path)
-        )
+    """Writes files of about the target size. ``size`` is the number of bytes to be written, as stored;
+    without it Spark's estimate for the plan is taken."""
+    if size is None:
+        size = estimated_bytes(df)
+    ranges = range_count(size, target_file_bytes)
+    (
+        clustered(df, partition_by, order_by, ranges, keys)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )
 
 
 def create_like(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -146,8 +203,10 @@ def create_like(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 
 
 def append_evolving(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Appends rows that may bring new columns; read with :func:`read_evolved`."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    """Appends rows that may bring new columns; read with :func:`read_evolved`. Rows of a partition
+    are brought together first, else each task would add a file to each partition."""
+    together = df.hint("rebalance", *partition_by) if partition_by else df
+    together.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -158,6 +217,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def held(df: DataFrame, label: str):
+    """Like :func:`stage`, for the time of a block: the folder is deleted at its end."""
+    path = new_stage_path(df.sparkSession, label)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        drop_path(df.sparkSession, path)
+
+
 def _partition_folder(columns: Sequence[str]) -> Column:
     """Folder of a row's partition. Made of partition columns only, so a filter
     on it prunes the file listing."""
@@ -187,6 +257,68 @@ def has_duplicates(df: DataFrame, keys: Sequence[str]) -> bool:
     return not df.groupBy(*keys).count().where("count > 1").isEmpty()
 
 
+def _note_moves(spark: SparkSession, path: str, folders: list[str]) -> str:
+    """Notes, before a write, the folders that will be stale after it."""
+    note = f"{path}/{PENDING}/{uuid.uuid4().hex}"
+    fs, file = _fs_path(spark, note)
+    out = fs.create(file)
+    out.write(bytearray("\n".join(folders).encode()))
+    out.close()
+    return note
+
+
+def _delete_folders(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def finish_moves(spark: SparkSession, root: str, spec: TableSpec, null_safe: bool = False) -> None:
+    """Finishes the deletions of an upsert that stopped after its write.
+
+    A noted folder goes if every key in it is found in another folder as well. If the write did not
+    come to its end, the rows are nowhere else and the folder stays.
+    """
+    path = spec.path(root)
+    fs, folder = _fs_path(spark, f"{path}/{PENDING}")
+    if not fs.exists(folder):
+        return
+    for status in fs.listStatus(folder):
+        note = status.getPath()
+        noted = [row.value for row in spark.read.text(note.toString()).collect()]
+        table = read_table(spark, path)
+        at = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+        rows = table.withColumn("_folder", at).select(*spec.keys, "_folder")
+        inside = F.col("_folder").isin(noted)
+        alone = match_keys(rows.where(inside), rows.where(~inside), spec.keys, "left_anti", null_safe)
+        only_here = {row[0] for row in alone.select("_folder").distinct().collect()}
+        _delete_folders(spark, [f for f in noted if f not in only_here])
+        fs.delete(note, False)
+
+
+def _unique_batch(
+    kept: ExitStack,
+    source: DataFrame,
+    spec: TableSpec,
+    latest: Sequence[str],
+    null_safe: bool,
+    staged: bool,
+) -> DataFrame:
+    """The batch with one row per key, as a stored table. One copy is made, none if ``staged``; a second
+    takes the first one's place where keys turn out to repeat."""
+    keys, label = list(spec.keys), f"batch-{spec.name}"
+    rows = with_day(source, spec.day_of)
+    if spec.repeats:
+        return kept.enter_context(held(dedupe_by_key(rows, keys, latest, null_safe), label))
+    with ExitStack() as first:
+        if not staged:
+            rows = first.enter_context(held(rows, label))
+        if has_duplicates(rows, keys):
+            return kept.enter_context(held(dedupe_by_key(rows, keys, latest, null_safe), label))
+        kept.push(first.pop_all())
+    return rows
+
+
 def upsert_table(
     source: DataFrame,
     root: str,
@@ -195,35 +327,43 @@ def upsert_table(
     null_safe: bool = False,
     audit: bool = True,
     evolve: bool = False,
+    staged: bool = False,
 ) -> None:
     """Upserts a batch into a table, rewriting only the partitions it touches.
 
-    Of several source rows with one key the one with the greatest ``latest``
-    wins; the spec's ``unstored`` columns are dropped after that. The first run
-    creates the table.
-
-    The batch is staged in the shared folder, since several passes read it, and
-    whole rows are only compared when the keys alone show duplicates. Touched
-    partitions are those of the batch plus, unless the key fixes the partition,
-    those now holding rows that the batch replaces (a scan of the key columns
-    only). Spark writes the new partitions aside and swaps them in when all
-    tasks are done, so reading and replacing the same partitions in one job is
-    safe.
-
-    A batch whose columns differ from the table's is refused, since rewriting a
-    partition could lose columns; ``evolve`` reads every file's schema and keeps
-    the columns of both.
+    Of several source rows with one key the one with the greatest ``latest`` wins; the spec's
+    ``unstored`` columns are dropped after that. The first run creates the table.
+
+    The batch is staged in the shared folder, since several passes read it, unless ``staged`` says that
+    it is a stored table already; the copy is deleted at the end. Touched partitions are those of the
+    batch plus, unless the key fixes the partition, those now holding rows that the batch replaces (a
+    scan of the key columns only). Spark writes the new partitions aside and swaps them in when
+    all tasks are done, so reading and replacing the same partitions in one job is safe. Folders that
+    lose all their rows are noted before the write; :func:`finish_moves`, at the start of each upsert,
+    deletes them if a run stopped in between.
+
+    A batch whose columns differ from the table's is refused, since rewriting a partition could lose
+    columns; ``evolve`` reads every file's schema and keeps the columns of both.
     """
-    spark = source.sparkSession
-    path, keys, parts = spec.path(root), list(spec.keys), list(spec.partition_by)
-    batch = stage(with_day(source, spec.day_of), f"batch-{spec.name}")
-    if has_duplicates(batch, keys):
-        batch = stage(dedupe_by_key(batch, keys, latest, null_safe), f"unique-{spec.name}")
-    batch = batch.drop(*spec.unstored)
+    path = spec.path(root)
+    if table_exists(source.sparkSession, path):
+        finish_moves(source.sparkSession, root, spec, null_safe)
+    with ExitStack() as kept:
+        batch = _unique_batch(kept, source, spec, latest, null_safe, staged)
+        _upsert(batch, path, spec, null_safe, audit, evolve)
+
+
+def _upsert(
+    stored: DataFrame, path: str, spec: TableSpec, null_safe: bool, audit: bool, evolve: bool
+) -> None:
+    spark, keys, parts = stored.sparkSession, list(spec.keys), list(spec.partition_by)
+    columns = [*parts, *spec.order_by]
+    batch = stored.drop(*spec.unstored)
     if audit:
         batch = with_audit(batch)
+    size = stored_bytes(stored)
     if not table_exists(spark, path):
-        write_clustered(batch, path, parts, spec.order_by)
+        write_clustered(batch, path, parts, spec.order_by, size=size, keys=stored)
         return
 
     table = read_evolved(spark, path) if evolve else read_table(spark, path, batch.schema)
@@ -234,23 +374,28 @@ def upsert_table(
     def in_folders(folders: set[str]) -> DataFrame:
         return table.where(_partition_folder(parts).isin(sorted(folders)))
 
-    new = _partition_folders(batch, parts)
+    new = _partition_folders(stored, parts)
     if not new:
         return
     old: set[str] = set()
     if not spec.key_fixes_partition:
-        held = table.select(*dict.fromkeys(keys + parts))
-        old = _partition_folders(match_keys(held, batch, keys, "left_semi", null_safe), parts)
+        where_held = table.select(*dict.fromkeys(keys + parts))
+        old = _partition_folders(match_keys(where_held, stored, keys, "left_semi", null_safe), parts)
     emptied = old - new
     if emptied:
-        staying = match_keys(in_folders(emptied), batch, keys, "left_anti", null_safe)
+        staying = match_keys(in_folders(emptied), stored, keys, "left_anti", null_safe)
         emptied -= _partition_folders(staying, parts)
     stale = _file_folders(in_folders(emptied)) if emptied else []
-    merged = merge_upsert(in_folders(new | old), batch, keys, null_safe)
-    write_clustered(merged, path, parts, spec.order_by, dynamic=True)
-    for folder in stale:
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
-        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+    touched = in_folders(new | old)
+    note = _note_moves(spark, path, stale) if stale else None
+    write_clustered(
+        merge_upsert(touched, batch, keys, null_safe), path, parts, spec.order_by, dynamic=True,
+        size=size + stored_bytes(touched), keys=touched.select(*columns).unionByName(stored.select(*columns)),
+    )
+    _delete_folders(spark, stale)
+    if note:
+        fs, file = _fs_path(spark, note)
+        fs.delete(file, False)
 
 
 def merge_into(source: DataFrame, table: str, keys: Sequence[str], null_safe: bool = False) -> None:

@@ -60,9 +60,9 @@ def test_exploding_few_fields_prunes_the_element(bronze):
 
 def test_no_python_and_no_cross_join_anywhere(spark):
     import __spark_entry__ as driver
-    from novalake.queries import operators, silver_tables
+    from novalake.queries import lake, landing, operators, silver_tables
 
-    for name in [*silver_tables.QUERIES, *operators.QUERIES]:
+    for name in [n for group in (silver_tables, operators, landing, lake) for n in group.QUERIES]:
         text = plan(driver.queries()[name](spark, SF_DIR))
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
             assert word not in text, (name, word)
@@ -146,3 +146,18 @@ def test_hot_object_detection(spark, shuffled):
     assert got.count() == 905
     assert got.where("magnr IS NOT NULL").count() == 900
     assert got.where(F.col("observation_date") == F.lit(dt.date(2024, 1, 1))).count() == 905
+
+
+def test_latest_row_per_key_takes_one_pass(spark):
+    df = spark.range(100).selectExpr("id % 7 AS k", "id AS day", "CASE WHEN id % 5 > 0 THEN id END AS other")
+    stored = new_stage_path(spark, "t")
+    df.write.parquet(stored)
+    result = dedupe_by_key(spark.read.parquet(stored), ["k", "other"], ["day"])
+    assert len(read_schemas(result)) == 1 and plan(result).count("WindowGroupLimit") >= 2
+    assert result.count() == 20 + 80  # rows without key all stay
+
+
+def test_silver_upserts_scan_all_keys_only_where_the_key_does_not_fix_the_day():
+    from novalake.plans.refresh import BRONZE_ALERT, SILVER
+
+    assert {s.name for s in (BRONZE_ALERT, *SILVER.values()) if not s.key_fixes_partition} == {"alert", "detection"}

@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from novalake import session
 from novalake.session import new_stage_path, shared_dir
+from novalake.sources import tables
 from novalake.sources.tables import (
     TableSpec,
     append_evolving,
@@ -160,3 +164,112 @@ def test_create_like_and_evolving_append(spark, root):
 def test_layer_schema():
     assert layer_schema(None, "default") == "default"
     assert layer_schema(" silver ", "default") == "silver"
+
+
+def counted(spark, df):
+    """Rows that pass through a counter, and the counter."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def count(x):
+        seen.add(1)
+        return x
+
+    return df.withColumn("id", count.asNondeterministic()("id")), seen
+
+
+def many(spark, n):
+    return spark.range(0, n, 1, 8).select(
+        (F.col("id") * 7919 % n).alias("id"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 3 * 86400).alias("ts"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+
+
+def test_a_clustered_write_evaluates_its_input_once(spark, root):
+    keys = with_day(many(spark, 6000), "ts")
+    df, seen = counted(spark, keys)
+    write_clustered(df, root, ["ts_day"], ["id", "ts"], target_file_bytes=100_000, size=600_000, keys=keys)
+    assert seen.value == 6000 and read_table(spark, root).count() == 6000
+
+
+@pytest.mark.parametrize("partitions", ["2", "40"])
+def test_files_are_near_the_target_size(spark, root, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = many(spark, 60_000).withColumn("kind", F.lit("one"))
+        size = 60_000 * 70
+        write_clustered(df, root, ["kind"], ["id", "ts"], target_file_bytes=400_000, size=size)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    sizes = [r.file_size for r in read_table(spark, root).select("_metadata.file_path", "_metadata.file_size").distinct().collect()]
+    assert 200_000 <= min(sizes) and max(sizes) <= 800_000
+
+
+def test_writes_leave_no_setting_behind(spark, root):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    upsert_table(batch(spark, (1, "2024-01-01", "a")), root, SPEC)
+    assert spark.conf.get(key) == before
+
+
+def test_staged_copies_go_with_the_upsert(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"file://{tmp_path}/shared")
+    for spec in (SPEC, replace(SPEC, repeats=True)):
+        for _ in range(2):
+            rows = batch(spark, (1, "2024-01-01", "a"), (1, "2024-01-01", "b"), (2, "2024-01-02", "c"))
+            upsert_table(rows, f"file://{tmp_path}/lake", spec)
+        assert list((tmp_path / "shared").iterdir()) == []
+
+
+def test_stored_batch_is_not_staged_again(spark, root, monkeypatch):
+    rows = batch(spark, (1, "2024-01-01", "a"), (2, "2024-01-02", "b"))
+    rows.write.parquet(f"{root}/batch")
+    monkeypatch.setattr(tables, "held", None)
+    upsert_table(spark.read.parquet(f"{root}/batch"), f"{root}/lake", SPEC, staged=True)
+    assert content(spark, f"{root}/lake") == [(1, "a", "2024-01-01"), (2, "b", "2024-01-02")]
+
+
+def test_a_run_that_stops_before_its_deletions_is_finished_by_the_next(spark, root, monkeypatch):
+    upsert_table(batch(spark, (1, "2024-01-01", "a"), (2, "2024-01-05", "b")), root, SPEC)
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "_delete_folders", stop)
+        with pytest.raises(RuntimeError):
+            upsert_table(batch(spark, (1, "2024-01-02", "A")), root, SPEC)
+    assert content(spark, root) == [(1, "A", "2024-01-02"), (1, "a", "2024-01-01"), (2, "b", "2024-01-05")]
+    upsert_table(batch(spark, (3, "2024-01-06", "c")), root, SPEC)
+    assert content(spark, root) == [(1, "A", "2024-01-02"), (2, "b", "2024-01-05"), (3, "c", "2024-01-06")]
+
+
+def test_a_run_that_stops_before_its_write_loses_nothing(spark, root, monkeypatch):
+    upsert_table(batch(spark, (1, "2024-01-01", "a"), (2, "2024-01-05", "b")), root, SPEC)
+
+    def stop(*_, **__):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "write_clustered", stop)
+        with pytest.raises(RuntimeError):
+            upsert_table(batch(spark, (1, "2024-01-02", "A")), root, SPEC)
+    upsert_table(batch(spark, (3, "2024-01-06", "c")), root, SPEC)
+    assert content(spark, root) == [(1, "a", "2024-01-01"), (2, "b", "2024-01-05"), (3, "c", "2024-01-06")]
+
+
+def test_appends_bring_the_rows_of_a_partition_together(spark, root):
+    rows = many(spark, 3000).withColumn("kind", F.col("id") % 10)
+    append_evolving(rows, root, ["kind"])
+    files = read_table(spark, root).select("_metadata.file_path").distinct().count()
+    assert files <= 20
+
+
+def test_a_local_session_without_shared_folder_gets_its_own(spark):
+    class Bare:
+        conf, sparkContext = type("C", (), {"get": staticmethod(lambda *_: None)}), spark.sparkContext
+
+    first = shared_dir(Bare)
+    assert first.startswith("file:///") and shared_dir(Bare) == first
