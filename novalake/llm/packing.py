@@ -28,7 +28,7 @@ END_ID = 1
 RUN_FIELDS = ("first", "stop", "sequence", "each", "offset")
 # A length meets each gap class at most once, so the runs number less than capacity squared; far
 # fewer come up. Beyond this many they are joined instead of broadcast.
-BROADCAST_RUNS = 1 << 20
+BROADCAST_RUNS = 1 << 18
 
 PIECES = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
           "rank_in_part bigint")
