@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from novalake.llm import jaccard_join, language, lm_scoring
+from novalake.llm import jaccard_join, language, lm_scoring, sql
 from novalake.llm.common import read_table
 from novalake.llm.decontamination import annotate, hit_words, is_contaminated
 from novalake.llm.html_text import main_text
@@ -102,4 +102,8 @@ QUERIES = {
     "op10_context_tree": op10_context_tree,
 }
 
-ORACLE: dict[str, str] = {}
+# The other operators hold trained models, tokenizers, hashes that SQL lacks, or an approximate result.
+ORACLE = {
+    "op5_decontamination": sql.DECONTAMINATION,
+    "op9_jaccard_join": sql.JACCARD_JOIN,
+}
