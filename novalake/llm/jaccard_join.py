@@ -16,9 +16,8 @@ What a set does not need of its e it spends on its hottest segments: those whose
 share, in one order for all (a passage that many documents quote, for one). With e + 1 equal
 segments, a pair's least hot one is among the e hottest of neither, so it is always left.
 
-Candidates share an index entry. In a few rounds the members of each group are compared with one of
-them, first the one that shares most entries; then, for groups that still lie in several components,
-all pairs across components are taken, each in the first group that has both where that is known. Pairs that a parity
+Candidates share an index entry. First the members of each group are compared with one of them,
+the one that shares most entries; then, for groups that still lie in several components, all pairs across components are taken, each in the first group that has both where that is known. Pairs that a parity
 sketch (a lower bound of the difference) excludes are left out; links are verified on the shingles
 of the texts.
 """
@@ -41,12 +40,11 @@ from novalake.llm.lm_scoring import word_hashes
 WORDS = 5
 NUMERATOR, DENOMINATOR = 80, 100
 BUCKET_BYTES = 24 << 20
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 SEEN_SETS = 500_000
 MAX_SLACK = 64
 SPREAD = 255
 FIRST_GROUPS = 6
-ROUNDS = 2
 
 U = np.uint64
 
@@ -365,64 +363,47 @@ def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v").mapInArrow(keep, "u bigint, v bigint")
 
 
-def _with_center(members: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each group's center with its members in other components. The center is the member that
-    shares most entries; after the first turn, one outside that member's component."""
-    best = F.max(F.struct("weight", "set_id", "label"))
-    center = members.groupBy("group_id").agg(best.alias("c")).select(
-        "group_id", F.col("c.set_id").alias("center"), F.col("c.label").alias("center_label"))
-    if turn:
-        other = members.join(center, "group_id").filter("label <> center_label")
-        by_turn = F.max(F.struct(F.xxhash64("set_id", F.lit(turn)).alias("weight"), "set_id", "label"))
-        center = other.groupBy("group_id").agg((best if turn == 1 else by_turn).alias("c")).select(
-            "group_id", F.col("c.set_id").alias("center"), F.col("c.label").alias("center_label"))
-    pairs = members.join(center, "group_id").filter("label <> center_label")
+def _with_center(members: DataFrame) -> DataFrame:
+    """Pairs of each group's center, the member that shares most entries, with its other members."""
+    center = members.groupBy("group_id").agg(F.max(F.struct("weight", "set_id")).alias("c")).select(
+        "group_id", F.col("c.set_id").alias("center"))
+    pairs = members.join(center, "group_id").filter("set_id <> center")
     return pairs.select(F.least("set_id", "center").alias("u"), F.greatest("set_id", "center").alias("v"))
 
 
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Adds ``label``, the component so far, and leaves only groups that lie in several."""
-    if labels is None:
-        return members.withColumn("label", F.col("set_id"))
-    named = members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+def _split_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``group_id, set_id, label`` of the groups of three and more that lie in several components."""
+    named = members.filter("size > 2").select("group_id", "set_id").join(
+        labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     named = staged(named.withColumn("label", F.coalesce("label", "set_id")), "jaccard-members")
     split = named.groupBy("group_id").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b")
-    return named.join(split.select("group_id"), "group_id", "left_semi")
+    return staged(named.join(split.select("group_id"), "group_id", "left_semi"), "jaccard-members")
 
 
 def _needed(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """``group_id, set_id, size``: members of groups, without the hottest entries each set can spare."""
+    """``group_id, set_id, size, weight``: members of groups, without the hottest entries each set can spare. The
+    weight is the size of all groups of the set together."""
     members = groups.select("group_id", "band", "entries", F.size("members").alias("size"),
                             F.explode("members").alias("set_id"))
     spare = sets.select("set_id", F.col("band").alias("own"), "spare", "spare_below")
     allowed = F.when(F.col("band") == F.col("own"), F.col("spare")).when(
         F.col("band") == F.col("own") - 1, F.col("spare_below")).otherwise(0)
     hottest = Window.partitionBy("set_id", "band").orderBy(F.desc("size"), "group_id")
-    kept = members.join(spare, "set_id").withColumn("spent", F.sum("entries").over(hottest)).filter(
-        F.col("spent") > allowed)
-    return staged(kept.select("group_id", "set_id", "size"), "jaccard-members")
+    counted = members.join(spare, "set_id").withColumn("spent", F.sum("entries").over(hottest)).withColumn(
+        "weight", F.sum("size").over(Window.partitionBy("set_id")))
+    kept = counted.filter(F.col("spent") > allowed)
+    return staged(kept.select("group_id", "set_id", "size", "weight"), "jaccard-members")
 
 
 def _linked_sets(groups: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame | None:
     """``node, label``: the components of the sets that link with others."""
     members = _needed(groups, sets)
-    weights = members.groupBy("set_id").agg(F.sum("size").alias("weight"))
-    members = staged(members.select("group_id", "set_id").join(weights, "set_id"), "jaccard-members")
-    links = labels = tried = None
-    for turn in range(ROUNDS):
-        pairs = _with_center(_labelled(members, labels), turn)
-        if tried is not None:
-            pairs = staged(pairs.distinct(), "jaccard-pairs").join(tried, ["u", "v"], "left_anti")
-        pairs = staged(_possible(pairs, sets), "jaccard-pairs")
-        if pairs.isEmpty():
-            break
-        new = _verified(pairs, sets, docs)
-        tried = pairs if tried is None else tried.union(pairs)
-        links = new if links is None else links.union(new)
-        labels = components(links)
-    if links is None:
+    tried = staged(_possible(_with_center(members), sets), "jaccard-pairs")
+    if tried.isEmpty():
         return None
-    apart = staged(_labelled(members, labels).select("group_id", "set_id", "label"), "jaccard-members")
+    links = _verified(tried, sets, docs)
+    labels = components(links)
+    apart = _split_groups(members, labels)
     of_set = apart.groupBy("set_id").agg(F.slice(F.sort_array(F.collect_set("group_id")), 1, FIRST_GROUPS).alias("groups"))
     apart = apart.join(of_set, "set_id").join(sets.select("set_id", "n", "sketch"), "set_id")
     more = staged(apart.select("group_id", "set_id", "label", "n", "sketch", "groups").groupBy("group_id")
