@@ -1,13 +1,12 @@
 """Times the headline queries; prints one JSON line.
 
 BENCH_SF_DIR picks the data, BENCH_CPUS the cores, BENCH_RUNS the timed runs per query (after one
-untimed run; the long ones are timed once). Nested alert records, landing files and a first night of the lake are written before
+untimed run; the long ones are timed once). Nested alert records and landing files are written before
 the clock starts; what is timed reads stored tables, and its result is materialised in full.
 """
 
 from __future__ import annotations
 
-import itertools
 import json
 import os
 import statistics
@@ -18,7 +17,7 @@ from pyspark.sql import SparkSession
 from novalake.fixtures import alerts, listed_alerts
 from novalake.operators.dedupe import latest_per_key
 from novalake.plans import silver
-from novalake.plans.refresh import backfill, refresh_day
+from novalake.plans.refresh import backfill
 from novalake.plans.silver import BATCH
 from novalake.queries import all_queries
 from novalake.session import build_session, new_stage_path
@@ -28,7 +27,7 @@ REGISTERED = ["anti_join_history", "merge_upsert", "upsert_moves_rows", "split_p
               "landing_partition_scan", "landing_ingest", "bronze_append", "clustered_write"]
 
 # Many jobs each: timed once, without a run before.
-LONG = ("upsert_moves_rows", "landing_ingest", "lake_backfill", "refresh_next_day")
+LONG = ("upsert_moves_rows", "landing_ingest", "lake_backfill")
 
 
 def noop(df) -> None:
@@ -62,10 +61,6 @@ def timed_steps(spark: SparkSession, sf_dir: str, cpus: int) -> dict:
     steps |= {name: (lambda name=name: noop(queries[name](spark, sf_dir))) for name in REGISTERED}
     steps["lake_backfill"] = lambda: backfill(
         spark, landing, new_stage_path(spark, "lake"), "2024-01-01", "2024-01-30")
-    root = new_stage_path(spark, "lake")
-    refresh_day(spark, landing, root, "2024-01-01")
-    nights = (f"2024-01-{day:02d}" for day in itertools.count(2))
-    steps["refresh_next_day"] = lambda: refresh_day(spark, landing, root, next(nights))
     return steps
 
 
