@@ -3,8 +3,10 @@
 All counts come from all training documents. The words that make up a ten-thousandth of the corpus
 each, at most ten thousand, go to every task. The other words of a text are asked for in the bucket
 that counts them: a block of documents sends its distinct words with the documents they are in, and
-gets back a sum for each document. Byte contexts that make up less than a 2**-16 share of the corpus
-are left to the shorter contexts, so the trees have a bounded size whatever the corpus.
+gets back a sum for each document. Bytes with their contexts likewise: every counted context stays in
+the trees, which are cut by the last three bytes of the context into buckets. The nodes of up to two bytes
+of context go to every task, as do the scores of the bytes after contexts that make up a 2**-20 share
+of the corpus each; the others are asked for by bucket.
 """
 
 from __future__ import annotations
@@ -17,13 +19,17 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from novalake.llm.common import pack_longs, slices, staged, texts_of, unpack_longs
-from novalake.llm.context_tree import DEPTH, ContextTree, grams
+from novalake.llm.context_tree import TOP, LogTable, Top, grams, low_bytes, lower_tree, nodes_of, parents
 
 HOT_WORDS = 10_000
-CONTEXTS = 1 << 16
+HOT_GRAMS = 1 << 20
 HELD = 1 << 20  # distinct words or contexts a task holds before it hands them on
 WORDS_PER_BUCKET = 2_000_000
+BYTES_PER_BUCKET = 16 << 20
+GRAMS_PER_BUCKET = 250_000
 END = -1
+WORDS, GRAMS = 0, 1
+MIX = 2654435769
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -93,28 +99,56 @@ def corpus_counts(training: DataFrame) -> DataFrame:
     return staged(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
 
 
-def _tree(counts: DataFrame) -> ContextTree | None:
-    """For each depth the bytes after contexts that are at least a 2**-16 share: at most 2**16 contexts,
-    with all bytes that were seen after them."""
-    bytes_ = counts.filter("kind = 1").select("key", "n")
-    total = bytes_.agg(F.sum("n")).first()[0]
-    if not total:
-        return None
-    levels = []
-    for depth in range(DEPTH + 1):
-        code = F.col("key").bitwiseAND(F.lit((1 << 8 * (depth + 1)) - 1))
-        level = bytes_.groupBy(code.alias("code")).agg(F.sum("n").alias("n"))
-        level = level.withColumn("context", F.shiftright("code", 8))
-        common = level.groupBy("context").agg(F.sum("n").alias("seen")).filter(F.col("seen") * CONTEXTS >= total)
-        got = level.join(common.select("context"), "context", "left_semi").toPandas().sort_values("code")
-        levels.append((got["code"].to_numpy(np.uint64), got["n"].to_numpy(np.int64)))
-    return ContextTree(levels)
+def _bucket_of(codes: np.ndarray, buckets: int) -> np.ndarray:
+    """Where the last ``TOP + 1`` bytes of the context of each number are counted, as :func:`_gram_bucket`."""
+    suffix = (codes >> np.uint64(8)) & np.uint64((1 << 8 * (TOP + 1)) - 1)
+    mixed = (suffix * np.uint64(MIX) & np.uint64(0xFFFFFFFF)) >> np.uint64(8)
+    return (mixed % np.uint64(buckets)).astype(np.int64)
+
+
+def _gram_bucket(buckets: int) -> Column:
+    suffix = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * (TOP + 1)) - 1))
+    mixed = F.shiftright((suffix * F.lit(MIX)).bitwiseAND(F.lit(0xFFFFFFFF)), 8)
+    return (mixed % F.lit(buckets)).cast("int")
+
+
+def _sorted_counts(counts: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    keys = counts["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], counts["n"].to_numpy(np.int64)[order]
+
+
+def _upper_sums(counts: pd.DataFrame) -> pd.DataFrame:
+    """What the contexts of a bucket add to the nodes at ``TOP``."""
+    codes, n = _sorted_counts(counts)
+    below = lower_tree(codes, n).below
+    keys, zeros, ones = nodes_of(*low_bytes(codes, n, TOP + 1))
+    up, zeros, ones, split = parents(keys, TOP, zeros, ones, below)
+    return pd.DataFrame({"node": up.view(np.int64), "zeros": zeros, "ones": ones, "split": split})
+
+
+def _model(grams_: DataFrame, total: int) -> tuple[Top, LogTable]:
+    """Nodes of short contexts, and the scores of the most frequent bytes with their contexts."""
+    sums = grams_.groupBy("bucket").applyInPandas(_upper_sums, "node bigint, zeros double, ones double, split double")
+    sums = sums.groupBy("node").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "split"))).toPandas()
+    top = Top(sums["node"].to_numpy(np.int64).view(np.uint64),
+              *(sums[c].to_numpy(float) for c in ("zeros", "ones", "split")))
+    shared = grams_.sparkSession.sparkContext.broadcast(top)
+
+    def hot(counts: pd.DataFrame) -> pd.DataFrame:
+        codes, n = _sorted_counts(counts)
+        often = codes[n * HOT_GRAMS >= total]
+        logs = lower_tree(codes, n, shared.value).log10(often) if len(often) else np.zeros(0)
+        return pd.DataFrame({"key": often.view(np.int64), "log": logs})
+
+    got = grams_.groupBy("bucket").applyInPandas(hot, "key bigint, log double").toPandas()
+    return top, LogTable(got["key"].to_numpy(np.int64).view(np.uint64), got["log"].to_numpy(float))
 
 
 DOCS = ("docs binary, no_id binary, held array<boolean>, tokens array<bigint>, known array<bigint>, "
         "base array<double>, score array<double>")
-BLOCK = f"bucket int, block bigint, words binary, per_word binary, rows binary, times binary, {DOCS}"
-SUMS = f"block bigint, at binary, sums binary, hits binary, {DOCS}"
+BLOCK = f"bucket int, block bigint, kind int, words binary, per_word binary, rows binary, times binary, {DOCS}"
+SUMS = f"block bigint, kind int, at binary, sums binary, hits binary, {DOCS}"
 DOC_FIELDS = ["docs", "no_id", "held", "tokens", "known", "base", "score"]
 
 
@@ -130,23 +164,27 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
                        F.coalesce(F.col(text), F.lit("")).alias("body"))
     counts = corpus_counts(slim.filter(~F.col("held")).select("body"))
     words = counts.filter("kind = 0").select("key", "n")
-    n_words, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    ends = counts.filter("kind = 2").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    sizes = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()}
+    (n_words, distinct), (n_grams, distinct_grams), (ends, _) = (
+        (sizes[kind]["n"], sizes[kind]["rows"]) if kind in sizes else (0, 0) for kind in range(3))
     total, types = n_words + ends, distinct + (ends > 0)
     norm = float(np.log10(total + 0.5 * (types + 1)))
     hot = words.filter(F.col("n") * HOT_WORDS >= n_words).toPandas().sort_values("key")
     hot_keys = hot["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hot_keys)
-    model = spark.sparkContext.broadcast(
-        (hot_keys[order], hot["n"].to_numpy(np.int64)[order], _tree(counts)))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(4 * partitions, int(n_words // WORDS_PER_BUCKET))
+    buckets = max(4 * partitions, n_words // WORDS_PER_BUCKET, n_grams // BYTES_PER_BUCKET,
+                  distinct_grams // GRAMS_PER_BUCKET)
+    grams_ = counts.filter("kind = 1").withColumn("bucket", _gram_bucket(buckets))
+    top, table = _model(grams_, n_grams) if n_grams else (None, None)
+    model = spark.sparkContext.broadcast((hot_keys[order], hot["n"].to_numpy(np.int64)[order], table))
+    upper = spark.sparkContext.broadcast(top)
 
     blocks = slim.withColumn("part", F.spark_partition_id()).mapInArrow(
         _ask(model, ends, buckets), BLOCK)
-    cold = words.filter(F.col("n") * HOT_WORDS < n_words)
-    cold = cold.withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
-    sums = blocks.groupBy("bucket").cogroup(cold.groupBy("bucket")).applyInPandas(_answer, SUMS)
+    cold = words.filter(F.col("n") * HOT_WORDS < n_words).withColumn("kind", F.lit(WORDS))
+    cold = cold.withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int")).unionByName(grams_)
+    sums = blocks.groupBy("bucket").cogroup(cold.groupBy("bucket")).applyInPandas(_answer(upper), SUMS)
     parts = sums.groupBy("block").applyInPandas(
         _collect, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, logs double, score double")
     return parts.select(
@@ -156,14 +194,14 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
 
 def _ask(model, ends: int, buckets: int):
     """Blocks of documents: what is known of them here, and the words to be asked for by bucket."""
-    nothing = dict.fromkeys(("words", "per_word", "rows", "times", *DOC_FIELDS))
+    nothing = dict.fromkeys(("kind", "words", "per_word", "rows", "times", *DOC_FIELDS))
 
     def run(batches):
-        hot_keys, hot_counts, tree = model.value
+        hot_keys, hot_counts, table = model.value
         hot_logs, end_log, n_block = np.log10(hot_counts + 0.5), np.log10(ends + 0.5), 0
         schema = pa.schema([
-            ("bucket", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("per_word", pa.binary()),
-            ("rows", pa.binary()), ("times", pa.binary()), ("docs", pa.binary()), ("no_id", pa.binary()),
+            ("bucket", pa.int32()), ("block", pa.int64()), ("kind", pa.int32()), ("words", pa.binary()),
+            ("per_word", pa.binary()), ("rows", pa.binary()), ("times", pa.binary()), ("docs", pa.binary()), ("no_id", pa.binary()),
             ("held", pa.list_(pa.bool_())), ("tokens", pa.list_(pa.int64())), ("known", pa.list_(pa.int64())),
             ("base", pa.list_(pa.float64())), ("score", pa.list_(pa.float64()))])
         for batch in slices(batches, "body"):
@@ -181,23 +219,28 @@ def _ask(model, ends: int, buckets: int):
             base = np.bincount(rows[found], hot_logs[at[found]], len(bodies)) + end_log
             known = np.bincount(rows[found], minlength=len(bodies)) + (ends > 0)
             codes, sizes = grams(bodies)
-            logs = tree.scores(codes) if tree else np.full(len(codes), 8 * np.log10(0.5))
+            logs = table.find(codes) if table else np.full(len(codes), 8 * np.log10(0.5))
+            rare = np.flatnonzero(np.isnan(logs))
+            logs[rare] = 0
             scores = np.add.reduceat(logs, np.cumsum(sizes) - sizes)
             found_ids, no_id = pack_longs(batch.column("doc"))
             out = [nothing | {
                 "bucket": block % buckets, "block": block, "docs": found_ids, "no_id": no_id,
                 "held": batch.column("held").to_pylist(), "tokens": lengths + 1, "known": known,
                 "base": base, "score": scores}]
-            out += _questions(hashes[~found], rows[~found], block, buckets, nothing)
+            cold = hashes[~found]
+            out += _questions(cold, rows[~found], (cold.view(np.int64) % buckets).astype(np.int64), block,
+                              nothing | {"kind": WORDS})
+            of_gram = np.repeat(np.arange(len(bodies)), sizes)[rare]
+            out += _questions(codes[rare], of_gram, _bucket_of(codes[rare], buckets), block, nothing | {"kind": GRAMS})
             yield pa.RecordBatch.from_pylist(out, schema)
     return run
 
 
-def _questions(hashes: np.ndarray, rows: np.ndarray, block: int, buckets: int, nothing: dict) -> list[dict]:
-    """A row for each bucket: distinct words, for each the documents with it and how often."""
+def _questions(hashes: np.ndarray, rows: np.ndarray, bucket: np.ndarray, block: int, nothing: dict) -> list[dict]:
+    """A row for each bucket: distinct words (or bytes with contexts), for each the documents with it and how often."""
     if not len(hashes):
         return []
-    bucket = (hashes.view(np.int64) % buckets).astype(np.int64)
     order = np.lexsort((rows, hashes, bucket))
     bucket, hashes, rows = bucket[order], hashes[order], rows[order]
     new = np.append(True, (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1]))
@@ -214,38 +257,51 @@ def _questions(hashes: np.ndarray, rows: np.ndarray, block: int, buckets: int, n
     return out
 
 
-def _answer(blocks: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-    """For each block of a bucket: documents with words of the bucket, sums of logarithms, known words."""
-    keys = counts["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    keys, n = keys[order], counts["n"].to_numpy(np.int64)[order]
-    out = []
-    for r in blocks.itertuples():
-        if r.words is None:
-            out.append((r.block, None, None, None, *(getattr(r, f) for f in DOC_FIELDS)))
-            continue
-        words = np.frombuffer(r.words, np.uint64)
-        count = np.zeros(len(words), np.int64)
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
-            count = np.where(keys[at] == words, n[at], 0)
-        count = np.repeat(count, np.frombuffer(r.per_word, np.uint32))
-        times = np.frombuffer(r.times, np.uint32)
-        rows, at = np.unique(np.frombuffer(r.rows, np.uint32), return_inverse=True)
-        sums = np.bincount(at, times * np.log10(count + 0.5), len(rows))
-        hits = np.bincount(at, times * (count > 0), len(rows)).astype(np.uint32)
-        out.append((r.block, rows.tobytes(), sums.tobytes(), hits.tobytes(), *[None] * len(DOC_FIELDS)))
-    return pd.DataFrame(out, columns=["block", "at", "sums", "hits", *DOC_FIELDS])
+def _answer(upper):
+    """For each block of a bucket: documents with words (bytes) of the bucket, sums of logarithms, known words."""
+    def run(blocks: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        words, n_words = _sorted_counts(counts[counts["kind"] == WORDS])
+        asked = [np.frombuffer(w, np.uint64) for w in blocks.loc[blocks["kind"] == GRAMS, "words"]]
+        if asked:
+            asked = np.unique(np.concatenate(asked))
+            gram_logs = lower_tree(*_sorted_counts(counts[counts["kind"] == GRAMS]), upper.value).log10(asked)
+        out = []
+        for r in blocks.itertuples():
+            if r.words is None:
+                out.append((r.block, None, None, None, None, *(getattr(r, f) for f in DOC_FIELDS)))
+                continue
+            mine, per_word = np.frombuffer(r.words, np.uint64), np.frombuffer(r.per_word, np.uint32)
+            times = np.frombuffer(r.times, np.uint32)
+            rows, at = np.unique(np.frombuffer(r.rows, np.uint32), return_inverse=True)
+            hits = None
+            if r.kind == GRAMS:
+                logs = np.repeat(gram_logs[np.searchsorted(asked, mine)], per_word)
+            else:
+                count = np.zeros(len(mine), np.int64)
+                if len(words):
+                    found = np.minimum(np.searchsorted(words, mine), len(words) - 1)
+                    count = np.where(words[found] == mine, n_words[found], 0)
+                count = np.repeat(count, per_word)
+                logs = np.log10(count + 0.5)
+                hits = np.bincount(at, times * (count > 0), len(rows)).astype(np.uint32).tobytes()
+            sums = np.bincount(at, times * logs, len(rows))
+            out.append((r.block, r.kind, rows.tobytes(), sums.tobytes(), hits, *[None] * len(DOC_FIELDS)))
+        return pd.DataFrame(out, columns=["block", "kind", "at", "sums", "hits", *DOC_FIELDS])
+    return run
 
 
 def _collect(parts: pd.DataFrame) -> pd.DataFrame:
     """The answers to one block, added up for each of its documents."""
     mine = parts[parts["docs"].notna()].iloc[0]
     logs, known = np.array(mine["base"], float), np.array(mine["known"], np.int64)
-    for r in parts[parts["at"].notna()].sort_values("at").itertuples():
+    score = np.array(mine["score"], float)
+    for r in parts[parts["at"].notna()].sort_values(["kind", "at", "sums"]).itertuples():
         rows = np.frombuffer(r.at, np.uint32)
-        logs[rows] += np.frombuffer(r.sums, np.float64)
-        known[rows] += np.frombuffer(r.hits, np.uint32)
+        if r.kind == GRAMS:
+            score[rows] += np.frombuffer(r.sums, np.float64)
+        else:
+            logs[rows] += np.frombuffer(r.sums, np.float64)
+            known[rows] += np.frombuffer(r.hits, np.uint32)
     return pd.DataFrame({
         "doc_id": unpack_longs(mine["docs"], mine["no_id"]), "held_out": mine["held"], "n_tokens": mine["tokens"],
-        "n_known": known, "logs": logs, "score": mine["score"]})
+        "n_known": known, "logs": logs, "score": score})

@@ -300,3 +300,23 @@ def test_scores_of_awkward_rows(awkward, make_docs):
     assert lm_scoring.score(make_docs([])).count() == 0
     alone = lm_scoring.score(make_docs([(1, "only one, held out?"), (4, None)])).toPandas()
     check_scores(alone, [(1, "only one, held out?"), (4, None)])
+
+
+def test_rare_contexts_count_in_large_tables(spark, make_docs, monkeypatch):
+    """Over 65,536 bytes of training text, and words that are seen in a few documents only."""
+    draw = np.random.default_rng(5)
+    words = ["".join(draw.choice(list("abcdeé "), 9)) for _ in range(4_000)]
+    rows = [(i, " ".join(draw.choice(words, 60)) + f" rare{i % 50}") for i in range(300)]
+    rows += [(1_000, ""), (1_001, None), (1_002, "ÿÿzzqx#")]
+    texts = [(t or "").encode() for _, t in rows]
+    training = [t for (i, _), t in zip(rows, texts) if zlib.crc32(str(i).encode()) % 5 != 1]
+    codes = context_tree.grams(training)[0]
+    assert len(codes) > 1 << 16
+    tree = context_tree.ContextTree([
+        np.unique(codes & np.uint64((1 << 8 * (d + 1)) - 1), return_counts=True) for d in range(context_tree.DEPTH + 1)])
+    expected = {i: tree.log10(context_tree.grams([t])[0]).sum() for (i, _), t in zip(rows, texts)}
+    for hot in (lm_scoring.HOT_GRAMS, 1 << 10):  # all scores from the cache, and most by bucket
+        monkeypatch.setattr(lm_scoring, "HOT_GRAMS", hot)
+        got = lm_scoring.score(make_docs(rows)).toPandas().set_index("doc_id")["score"]
+        assert np.allclose(got.loc[list(expected)], list(expected.values()), rtol=1e-9)
+    check_scores(lm_scoring.score(make_docs(rows)).toPandas(), rows)
