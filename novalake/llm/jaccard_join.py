@@ -451,13 +451,12 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     """One document of each component, with its columns as they are: the one with the least id (null last),
     among those the first in the table. Documents without words all stay.
 
-    ``docs`` must be a stored table: its rows are told apart by their places, which only a scan
-    gives in the same way each time.
+    The rows are written once with their places: another scan may cut the files of ``docs`` elsewhere.
     """
     row = "row"
     while row in docs.columns:
         row += "_"
-    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    placed = staged(docs.withColumn(row, F.monotonically_increasing_id()), "jaccard-rows")
     joined = join(placed, text, row).select(F.col("doc_id").alias("place"), "component_id")
     ids = placed.select(F.col(row).alias("place"), F.col(key).alias("id"))
     first = joined.join(ids, "place").groupBy("component_id").agg(

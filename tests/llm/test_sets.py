@@ -132,6 +132,29 @@ def test_repeated_ids_and_empty_tables_in_keep_one(awkward, make_docs):
     assert jaccard_join.keep_one(make_docs([])).count() == 0
 
 
+def test_keep_one_when_scans_cut_the_files_in_other_ways(spark, make_docs, near_copies, monkeypatch):
+    """The split size follows the cores there are at each scan; here it changes between two steps."""
+    rows = [(i, t) for i, t in enumerate(near_copies)]
+    docs = make_docs(rows, 6)
+    key = "spark.sql.files.maxPartitionBytes"
+    before, join = spark.conf.get(key), jaccard_join.join
+
+    def join_then_cut_finer(*args):
+        out = jaccard_join.staged(join(*args), "test-joined")
+        spark.conf.set(key, "2000")
+        return out
+
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    monkeypatch.setattr(jaccard_join, "join", join_then_cut_finer)
+    try:
+        kept = [r.doc_id for r in jaccard_join.keep_one(docs).select("doc_id").collect()]
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    _, roots = joined([r[1] for r in rows])
+    assert sorted(kept) == sorted({root: i for (i, _), root in reversed(list(zip(rows, roots)))}.values())
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     draw = random.Random(4)
     path = list(range(60))
