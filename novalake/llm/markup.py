@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 ARTICLE, MAIN, REST, NOISE = "article", "main", "rest", "noise"
@@ -24,7 +25,7 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary "
     "table tbody td tfoot th thead tr ul".split())
 NOISE_ELEMENTS = frozenset(
-    "script style noscript template iframe nav footer aside form button select textarea menu dialog head title "
+    "script style noscript template iframe nav footer aside button select textarea menu dialog head title "
     "svg canvas object audio video map".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 NOISE_WORDS = frozenset(
@@ -46,21 +47,33 @@ class Block:
 
 
 def _is_noise(name: str, rest: str, inside: bool) -> bool:
+    """By what the element is or says of itself; nothing inside it is main text."""
     if name in NOISE_ELEMENTS or name == "header" and not inside:
         return True
     if not rest.strip() or name in ("html", "body", "article", "main"):
-        found = ATTRIBUTE.findall(rest) if name == "article" else []
-        return any(k.lower() in ("class", "id") and {"comment", "comments"} & set(re.split(r"[\W_]+", (a or b or c).lower()))
-                   for k, a, b, c, _ in found)
+        return False
     for key, double, single, bare, hidden in ATTRIBUTE.findall(rest):
         key, value = key.lower(), (double or single or bare).lower()
         if hidden or key == "aria-hidden" and value == "true" or key == "role" and value in NOISE_ROLES:
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-        if key in ("class", "id"):
-            words = set(re.split(r"[\W_]+", value))
-            if words & NOISE_WORDS or "header" in words and not inside:
+    return False
+
+
+def _looks_noisy(name: str, rest: str, inside: bool) -> bool:
+    """By the words of its class or id, or as a form: this counts unless most of the page is inside."""
+    if name == "form":
+        return True
+    if not rest.strip() or name in ("html", "body", "main"):
+        return False
+    for key, double, single, bare, _ in ATTRIBUTE.findall(rest):
+        if key.lower() in ("class", "id"):
+            words = set(re.split(r"[\W_]+", (double or single or bare).lower()))
+            if name == "article":
+                if words & {"comment", "comments"}:
+                    return True
+            elif words & NOISE_WORDS or "header" in words and not inside:
                 return True
     return False
 
@@ -68,8 +81,11 @@ def _is_noise(name: str, rest: str, inside: bool) -> bool:
 class _Reader:
     def __init__(self):
         self.blocks: list[Block] = []
-        self.stack: list[tuple[str, str]] = []
+        self.stack: list[tuple[str, str, tuple[int, ...]]] = []
         self.part = REST
+        self.noisy: tuple[int, ...] = ()  # the elements around that look like noise
+        self.around: list[tuple[int, ...]] = []  # the same for each block
+        self.opened = 0
         self.parts: list[str] = []
         self.links = self.link_chars = 0
 
@@ -85,12 +101,13 @@ class _Reader:
             body = " ".join(html.unescape(raw).split())
             if body:
                 self.blocks.append(Block(body, self.part, self.link_chars / len(raw)))
+                self.around.append(self.noisy)
         self.parts, self.link_chars = [], 0
 
     def _close(self, at: int) -> None:
-        self.links -= sum(name == "a" for name, _ in self.stack[at:])
+        self.links -= sum(name == "a" for name, *_ in self.stack[at:])
         del self.stack[at:]
-        self.part = self.stack[-1][1] if self.stack else REST
+        _, self.part, self.noisy = self.stack[-1] if self.stack else ("", REST, ())
 
     def open(self, name: str, rest: str) -> None:
         if name in BLOCK:
@@ -106,16 +123,19 @@ class _Reader:
                 break
         if name in EMPTY:
             return
-        part = self.part
+        part, noisy = self.part, self.noisy
         if part != NOISE:
+            if _looks_noisy(name, rest, part == ARTICLE):
+                self.opened += 1
+                noisy = (*noisy, self.opened)
             if _is_noise(name, rest, part == ARTICLE):
                 part = NOISE
             elif name == ARTICLE or name == MAIN and part != ARTICLE:
                 part = name
         if not rest.endswith("/") or name in BLOCK:
-            self.stack.append((name, part))
+            self.stack.append((name, part, noisy))
             self.links += name == "a"
-            self.part = part
+            self.part, self.noisy = part, noisy
 
     def close(self, name: str) -> None:
         if name in BLOCK:
@@ -126,6 +146,18 @@ class _Reader:
                 break
 
 
+    def judge(self) -> None:
+        """What looks like noise is noise, but for elements around more than half of the page's text."""
+        total, inside = 0, Counter()
+        for block, noisy in zip(self.blocks, self.around):
+            if block.part != NOISE:
+                total += len(block.text)
+                inside.update(dict.fromkeys(noisy, len(block.text)))
+        for block, noisy in zip(self.blocks, self.around):
+            if any(2 * inside[n] <= total for n in noisy):
+                block.part = NOISE
+
+
 def read_blocks(page: str) -> list[Block]:
     """The visible blocks of a page in their order. A page that breaks off ends where it does."""
     reader, at, end = _Reader(), 0, len(page)
@@ -153,4 +185,5 @@ def read_blocks(page: str) -> list[Block]:
             closing = re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I).search(page, at)
             at = closing.start() if closing else end
     reader.flush()
+    reader.judge()
     return reader.blocks

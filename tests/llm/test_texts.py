@@ -123,6 +123,32 @@ def test_repeats_within_a_host_go_where_structure_is_silent(spark):
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
+def test_copies_and_quotations_stay(spark):
+    """The same page under two addresses, and a passage that two of many pages share."""
+    quote = "<p>A long passage that two articles of the host quote</p>"
+    rows = [(i, f"http://a.b/{i}", PAGES[0][2].replace("0", f"0{i}") + (quote if i < 2 else "")) for i in range(8)]
+    rows += [(20, "http://a.b/0?utm_source=x", rows[0][2]), (30, "http://q/1", "<p>All of the text of a mirrored page</p>"),
+             (31, "http://q/1?print", "<p>All of the text of a mirrored page</p>")]
+    rows += [(40 + i, "http://z/" + str(i), f"<p>{'Same article with another date. ' * 9}</p><p>Day {i}</p>") for i in range(4)]
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).toPandas()
+    got = got.set_index("page_id")["text"]
+    passage = "\nA long passage that two articles of the host quote"
+    for i in range(8):
+        assert got[i] == f"short0{i}\nUnique text number 0{i} of this page" + (passage if i < 2 else "")
+    assert got[20] == got[0] and got[30] == got[31] == "All of the text of a mirrored page"
+    assert all(got[40 + i].endswith(f"Day {i}") and got[40 + i].startswith("Same article") for i in range(4))
+
+
+@pytest.mark.parametrize("around", ["<div class='layout sidebar-right'>", "<div id='has-sidebar'>", "<form action=x>"])
+def test_most_of_the_page_is_no_noise(around):
+    text = "The whole article is in here, whatever the layout is called"
+    for page in (f"{around}<article><p>{text}</article><div class=ad>Buy</div>", f"{around}<p>{text}<div class=ad>Buy</div>"):
+        blocks = markup.read_blocks(page)
+        assert [blocks[n].text for n in html_text.chosen(blocks)[0]] == [text]
+    blocks = markup.read_blocks(f"{around}<p>Short</div></form><p>{text}")
+    assert [blocks[n].text for n in html_text.chosen(blocks)[0]] == [text]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 3), min_size=1, max_size=9), min_size=1, max_size=5))
 def test_sharded_suffixes_find_all_repeats(pages):
