@@ -1,4 +1,4 @@
-"""Main text of web pages: the structure decides where it can, repetition within the host where not.
+"""Main text of web pages: the structure says what may be main text, repetition within the host what is not.
 
 Pages become streams of block numbers; pages of a host with equal streams are one content. The streams
 of a host are joined, and long stretches of blocks that stand on a tenth of its contents, and three at
@@ -7,9 +7,10 @@ the ``DEPTH`` blocks that follow, which is enough to cover longer repeats piece
 fewer contents have end a suffix. Equal suffixes are one row with counts of their contents before any
 shard sees them, so a block that stands on every page of a big host is no burden.
 
-A block in an article element is main text, one in a menu, footer, advert or the like is not. Others
-(on pages without article or main element, and lists of links inside) are removed where
-long repeats cover them, unless those cover nearly all of the page: then it is a copy.
+A block in an article element may be main text, one in a menu, footer, advert or the like is not. On pages
+without article or main element, all others may be. Those are removed where long repeats cover them, unless
+those cover nearly all of the page: then it is a copy. In an article or main element, where the structure
+speaks for a block, the repeats must stand on half of the contents (lists of links apart).
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ LONG = 20  # characters a repeat must have
 LINKED = 0.5
 LEAST = 3  # contents a repeat must stand on
 SHARE = 0.1  # and of the contents of the host
+INSIDE = 0.5  # and for blocks in an article or main element
 COPY = 0.9  # share of the characters of a page that make a repeat a copy
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)"
@@ -36,7 +38,7 @@ STREAM = "page bigint, host string, blocks array<bigint>, sizes array<int>, unsu
 
 
 def chosen(blocks: list[Block]) -> tuple[list[int], set[int]]:
-    """Numbers of the blocks that may be main text, and which of them repetition decides."""
+    """Numbers of the blocks that may be main text, and which of them the structure does not speak for."""
     for part in (ARTICLE, MAIN):
         inside = [n for n, b in enumerate(blocks) if b.part == part]
         if inside:
@@ -68,27 +70,31 @@ def _streams(pages: DataFrame) -> DataFrame:
 
 
 def _suffixes(contents: DataFrame) -> DataFrame:
-    """``content, host, least, nth, suffix, sizes, again``: from each block that stands on ``least`` contents of the
+    """``content, host, least, inside, nth, suffix, sizes, again``: from each block that stands on ``least`` contents of the
     host, it and those after it, up to ``DEPTH`` or to the first that fewer have. ``again`` of its first blocks
     begin the suffix before it too, among those of the content in order."""
-    hosts = contents.groupBy("host").agg(F.greatest(F.lit(LEAST), F.ceil(F.count("*") * SHARE)).cast("int").alias("least"))
+    hosts = contents.groupBy("host").agg(*(
+        F.greatest(F.lit(LEAST), F.ceil(F.count("*") * share)).cast("int").alias(name)
+        for name, share in (("least", SHARE), ("inside", INSIDE))))
     shared = contents.select("host", F.explode(F.array_distinct("blocks")).alias("block")).groupBy("host", "block").count()
     shared = shared.filter(F.col("count") >= LEAST).join(hosts, "host").filter("count >= least")
     places = contents.select("content", "host", F.posexplode("blocks").alias("nth", "block"), "sizes").select(
         "content", "host", "nth", "block", F.expr("sizes[nth]").alias("size"))
-    runs = places.join(shared.select("host", "block", "least"), ["host", "block"]).groupBy("content", "host").agg(
-        F.first("least").alias("least"), F.sort_array(F.collect_list(F.struct("nth", "block", "size"))).alias("run"))
+    runs = places.join(shared.select("host", "block", "least", "inside"), ["host", "block"]).groupBy("content", "host").agg(
+        F.first("least").alias("least"), F.first("inside").alias("inside"),
+        F.sort_array(F.collect_list(F.struct("nth", "block", "size"))).alias("run"))
 
     def cut(batches):
         for batch in batches:
             out = []
-            for content, host, least, run in zip(*(batch.column(n).to_pylist() for n in ("content", "host", "least", "run"))):
+            columns = (batch.column(n).to_pylist() for n in ("content", "host", "least", "inside", "run"))
+            for content, host, least, inside, run in zip(*columns):
                 mine = []
                 for n, first in enumerate(run):
                     stop = n + 1
                     while stop < len(run) and stop < n + DEPTH and run[stop]["nth"] == run[stop - 1]["nth"] + 1:
                         stop += 1
-                    mine.append({"content": content, "host": host, "least": least, "nth": first["nth"],
+                    mine.append({"content": content, "host": host, "least": least, "inside": inside, "nth": first["nth"],
                                  "suffix": [r["block"] for r in run[n:stop]], "sizes": [r["size"] for r in run[n:stop]]})
                 mine.sort(key=lambda x: x["suffix"])
                 for x, before in zip(mine, [{"suffix": []}, *mine]):
@@ -98,10 +104,10 @@ def _suffixes(contents: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema)
 
-    schema = pa.schema([("content", pa.int64()), ("host", pa.string()), ("least", pa.int32()), ("nth", pa.int32()),
-                        ("suffix", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("again", pa.int32())])
-    return staged(runs.mapInArrow(cut, "content bigint, host string, least int, nth int, suffix array<bigint>, "
-                                  "sizes array<int>, again int"), "page-suffixes")
+    schema = pa.schema([("content", pa.int64()), ("host", pa.string()), ("least", pa.int32()),
+                        ("inside", pa.int32()), ("nth", pa.int32()), ("suffix", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("again", pa.int32())])
+    return staged(runs.mapInArrow(cut, "content bigint, host string, least int, inside int, nth int, "
+                                  "suffix array<bigint>, sizes array<int>, again int"), "page-suffixes")
 
 
 def repeated_prefixes(suffixes: list[np.ndarray], low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -139,25 +145,28 @@ def _prefixes(suffixes: list[np.ndarray], enough) -> np.ndarray:
 
 
 def _sorted_shard(rows: pd.DataFrame) -> pd.DataFrame:
-    common = frequent_prefixes(list(rows["suffix"]), np.stack(list(rows["on"])), rows["least"].iloc[0])
-    return pd.DataFrame({"host": rows["host"], "suffix_id": rows["suffix_id"], "common": common.astype(np.int32)})
+    suffixes, on = list(rows["suffix"]), np.stack(list(rows["on"]))
+    common, inside = (frequent_prefixes(suffixes, on, rows[n].iloc[0]) for n in ("least", "inside"))
+    return pd.DataFrame({"host": rows["host"], "suffix_id": rows["suffix_id"], "common": common.astype(np.int32),
+                         "common_inside": inside.astype(np.int32)})
 
 
 def _removed(streams: DataFrame) -> DataFrame:
-    """``page, covered``: the numbers of unsure blocks that lie in long repeats."""
+    """``page, covered``: the numbers of blocks that may be main text and lie in long repeats."""
     contents = staged(streams.filter(F.size("blocks") > 0).drop("page").dropDuplicates(["host", "content"]), "page-contents")
     suffixes = _suffixes(contents).withColumn("suffix_id", F.xxhash64("suffix"))
     distinct = suffixes.groupBy("host", "suffix_id").agg(
         F.first("suffix").alias("suffix"), F.first("least").alias("least"),
-        F.array(*(F.sum((F.col("again") <= d).cast("bigint")) for d in range(DEPTH))).alias("on"))
+        F.first("inside").alias("inside"), F.array(*(F.sum((F.col("again") <= d).cast("bigint")) for d in range(DEPTH))).alias("on"))
     shards = distinct.groupBy("host", F.element_at("suffix", 1)).applyInPandas(
-        _sorted_shard, "host string, suffix_id bigint, common int")
-    unsure = contents.filter(F.exists("unsure", lambda x: x)).select("host", "content", "unsure", "kept", "sizes")
-    mine = suffixes.join(unsure.select("host", "content"), ["host", "content"], "left_semi")
-    long = mine.join(shards, ["host", "suffix_id"]).filter(
-        F.expr("aggregate(slice(sizes, 1, common), 0, (a, x) -> a + x)") >= LONG)
-    covered = long.select("host", "content", F.explode(F.expr("sequence(nth, nth + common - 1)")).alias("nth"))
-    covered = covered.join(unsure, ["host", "content"]).filter(F.expr("unsure[nth]"))
+        _sorted_shard, "host string, suffix_id bigint, common int, common_inside int")
+    found = suffixes.join(shards, ["host", "suffix_id"])
+    long = found.filter(F.expr("aggregate(slice(sizes, 1, common), 0, (a, x) -> a + x)") >= LONG)
+    often = F.expr("aggregate(slice(sizes, 1, common_inside), 0, (a, x) -> a + x)") >= LONG
+    long = long.withColumn("often", F.when(often, F.col("common_inside")).otherwise(0))
+    covered = long.select("host", "content", F.posexplode(F.expr("sequence(nth, nth + common - 1)")).alias("at", "nth"), "often")
+    covered = covered.join(contents.select("host", "content", "unsure", "kept", "sizes"), ["host", "content"])
+    covered = covered.filter(F.expr("kept[nth] and (unsure[nth] or at < often)"))
     covered = covered.groupBy("host", "content").agg(
         F.collect_set("nth").alias("covered"), F.first("sizes").alias("sizes"), F.first("kept").alias("kept"))
     gone = F.expr("aggregate(covered, 0L, (a, n) -> a + sizes[n])")
@@ -184,8 +193,7 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page
             texts = []
             for body, covered in zip(texts_of(batch, "body"), batch.column("covered").to_pylist()):
                 blocks = read_blocks(body)
-                kept, unsure = chosen(blocks)
-                gone = unsure & set(covered or ())
+                kept, gone = chosen(blocks)[0], set(covered or ())
                 texts.append("\n".join(blocks[n].text for n in kept if n not in gone))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),

@@ -192,6 +192,21 @@ def test_pages_query(spark):
         assert row["text"] == "\n".join(b.text for b in markup.read_blocks(pages[page]) if b.part == "article")
 
 
+def test_repeats_inside_the_articles_of_the_table_go(spark):
+    """A line put into each article of the given pages goes again where the host has three contents or more."""
+    pages = pd.read_parquet(f"{SF}/pages.parquet")
+    line = "Subscribe to our letter for more of this"
+    host = pages["url"].str.extract(html_text.HOST)[0].str.lower()
+    large = host.map(host.groupby(host).size()) >= 3
+    assert large.any() and pages["html"].str.contains("</article>").all()
+    pages["changed"] = pages["html"].str.replace("</article>", f"<p>{line}</p></article>")
+    got = html_text.main_text(spark.createDataFrame(pages[["page_id", "url", "changed"]]), page="changed").toPandas()
+    got = got.set_index("page_id")["text"]
+    for page, html, goes in zip(pages["page_id"], pages["html"], large):
+        text = "\n".join(b.text for b in markup.read_blocks(html) if b.part == "article")
+        assert got[page] == (text if goes else f"{text}\n{line}")
+
+
 def test_language_query(spark):
     sf = "/root/testdata/sf0.01"
     docs = pd.read_parquet(f"{sf}/documents.parquet").set_index("doc_id")
