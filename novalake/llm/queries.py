@@ -14,6 +14,7 @@ from novalake.llm.pii import KINDS, find, train
 from novalake.llm.posting_lists import nearest
 from novalake.llm.sharding import shard
 from novalake.llm.token_store import read_back, write_store
+from novalake.llm.top_scores import top_scores
 from novalake.session import new_stage_path
 
 SHARDS = 24
@@ -89,6 +90,10 @@ def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(read_table(spark, sf_dir, "documents"))
 
 
+def op11_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_scores(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
@@ -100,10 +105,12 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_context_tree": op10_context_tree,
+    "op11_top_scores": op11_top_scores,
 }
 
 # The other operators hold trained models, tokenizers, hashes that SQL lacks, or an approximate result.
 ORACLE = {
     "op5_decontamination": sql.DECONTAMINATION,
     "op9_jaccard_join": sql.JACCARD_JOIN,
+    "op11_top_scores": sql.TOP_SCORES,
 }

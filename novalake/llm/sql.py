@@ -43,3 +43,11 @@ links AS (SELECT a, b FROM pairs JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.
 reach AS (SELECT doc_id, doc_id AS m FROM d UNION SELECT reach.doc_id, b FROM reach JOIN links ON m = a)
 SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(m) AS component_id
 FROM d JOIN reach ON d.doc_id = reach.doc_id LEFT JOIN n ON d.doc_id = n.doc_id GROUP BY d.doc_id"""
+
+TOP_SCORES = """WITH v AS (SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score,
+    row_number() OVER (PARTITION BY q.r ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS rank
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM s WHERE rank <= 20"""
