@@ -13,6 +13,7 @@ from novalake.llm.packing import pack_documents
 from novalake.llm.pii import KINDS, find, train
 from novalake.llm.posting_lists import nearest
 from novalake.llm.sharding import shard
+from novalake.llm.source_divergence import divergence
 from novalake.llm.token_store import read_back, write_store
 from novalake.llm.top_scores import top_scores
 from novalake.session import new_stage_path
@@ -94,6 +95,10 @@ def op11_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_scores(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
@@ -106,6 +111,7 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_context_tree": op10_context_tree,
     "op11_top_scores": op11_top_scores,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 # The other operators hold trained models, tokenizers, hashes that SQL lacks, or an approximate result.
@@ -113,4 +119,5 @@ ORACLE = {
     "op5_decontamination": sql.DECONTAMINATION,
     "op9_jaccard_join": sql.JACCARD_JOIN,
     "op11_top_scores": sql.TOP_SCORES,
+    "op12_source_divergence": sql.SOURCE_DIVERGENCE,
 }

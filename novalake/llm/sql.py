@@ -51,3 +51,30 @@ s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c
     row_number() OVER (PARTITION BY q.r ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS rank
   FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM s WHERE rank <= 20"""
+
+_TERM = _words(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+SOURCE_DIVERGENCE = rf"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    {_TERM} AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT t.lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY t.lang, source, term),
+full_c AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n
+  FROM g JOIN kept ON g.lang = kept.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+p AS (SELECT lang, source, term, n, 1 + CAST(1000000000 AS HUGEINT) * (n + 2)
+    // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p FROM full_c JOIN v USING (lang)),
+l AS (SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (sum(n) + 2)
+    // (sum(sum(n)) OVER (PARTITION BY lang) + 2 * any_value(v)) AS q FROM full_c JOIN v USING (lang) GROUP BY lang, term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10"""
