@@ -12,6 +12,7 @@ from novalake.llm.html_text import main_text
 from novalake.llm.packing import pack_documents
 from novalake.llm.pii import KINDS, find, train
 from novalake.llm.posting_lists import nearest
+from novalake.llm.prefix_trie import trie
 from novalake.llm.sharding import shard
 from novalake.llm.source_divergence import divergence
 from novalake.llm.token_store import read_back, write_store
@@ -99,6 +100,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(read_table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_packing": op2_packing,
@@ -112,6 +117,7 @@ QUERIES = {
     "op10_context_tree": op10_context_tree,
     "op11_top_scores": op11_top_scores,
     "op12_source_divergence": op12_source_divergence,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 # The other operators hold trained models, tokenizers, hashes that SQL lacks, or an approximate result.
@@ -120,4 +126,5 @@ ORACLE = {
     "op9_jaccard_join": sql.JACCARD_JOIN,
     "op11_top_scores": sql.TOP_SCORES,
     "op12_source_divergence": sql.SOURCE_DIVERGENCE,
+    "op13_prefix_trie": sql.PREFIX_TRIE,
 }

