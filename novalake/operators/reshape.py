@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+AUDIT = "_created_ts"
+
 
 def explode_fields(
     df: DataFrame, array: str, fields: Sequence[str], keep: Sequence[Column | str] = ()
@@ -67,5 +70,6 @@ def drop_prefixed(df: DataFrame, prefix: str = "cutout") -> DataFrame:
     return df.drop(*(c for c in df.columns if c.startswith(prefix)))
 
 
-def with_audit(df: DataFrame, column: str = "_created_ts") -> DataFrame:
-    return df.select("*", F.current_timestamp().alias(column))
+def with_audit(df: DataFrame, column: str = AUDIT, at: dt.datetime | None = None) -> DataFrame:
+    """Adds the time of the write, or the one given."""
+    return df.select("*", (F.lit(at) if at else F.current_timestamp()).alias(column))

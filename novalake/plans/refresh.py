@@ -1,19 +1,24 @@
-"""Daily refresh and backfill of the lake, tables in dependency order."""
+"""Daily refresh and backfill of the lake: each table when those it needs are built, the others meanwhile."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from contextlib import ExitStack
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from novalake.operators.combine import match_keys
 from novalake.operators.dedupe import dedupe_by_key
+from novalake.operators.reshape import AUDIT
 from novalake.plans import silver
+from novalake.plans.flow import AT_ONCE, build_all
 from novalake.session import utc
 from novalake.sources.landing import batch_of, valid_records
+from novalake.sources.ledger import Ledger, fingerprint
 from novalake.sources.tables import (
     TableSpec,
     ensure_namespace,
@@ -68,6 +73,11 @@ ALERT_ONLY: dict[str, Callable[..., DataFrame]] = {
     "forced_photometry": silver.forced_photometry,
 }
 
+# What each table needs before it may be built.
+NEEDS: dict[str, tuple[str, ...]] = (
+    {"alert": ()} | {name: ("alert",) for name in ALERT_ONLY} | {"detection": ("alert", "reference")}
+)
+
 
 def prepare_layers(spark: SparkSession, root: str, bronze: str | None = None, other: str | None = None):
     """Namespaces of both layers; a custom name is used as given."""
@@ -75,7 +85,9 @@ def prepare_layers(spark: SparkSession, root: str, bronze: str | None = None, ot
         ensure_namespace(spark, layer_schema(custom, layer), f"{root.rstrip('/')}/{layer}")
 
 
-def upsert_detections(rows: DataFrame, root: str, per: Sequence[str], keep_richer: bool) -> None:
+def upsert_detections(
+    rows: DataFrame, root: str, per: Sequence[str], keep_richer: bool, stamp: dt.datetime | None = None
+) -> None:
     """Upserts detections; by default a history row replaces whatever is stored.
 
     A history row lacks the columns only a current row has, so the upsert may
@@ -84,31 +96,47 @@ def upsert_detections(rows: DataFrame, root: str, per: Sequence[str], keep_riche
     """
     spec = SILVER["detection"]
     if not keep_richer:
-        upsert_table(rows, root, spec, latest=per)
+        upsert_table(rows, root, spec, latest=per, stamp=stamp)
         return
     spark, path = rows.sparkSession, spec.path(root)
     with ExitStack() as kept:
         if table_exists(spark, path):
             staged = kept.enter_context(held(rows, "detections"))
             stored = read_table(spark, path, rows.schema)
+            if stamp:  # rows of a broken attempt at this batch are no stored rows
+                stored = stored.where(~F.col(AUDIT).eqNullSafe(F.lit(stamp)))
             rows = staged.where(CURRENT).unionByName(
                 match_keys(staged.where(~F.col(CURRENT)), stored, spec.keys, "left_anti")
             )
-        upsert_table(rows, root, spec, latest=[CURRENT, *per])
+        upsert_table(rows, root, spec, latest=[CURRENT, *per], stamp=stamp)
 
 
-def _refresh_silver(
-    alerts: DataFrame, root: str, per: Sequence[str], keep_richer: bool
-) -> None:
-    """All silver tables from one stored batch of alerts. The reference rows of a batch cover its alerts,
-    so detection joins those, and not a table that grows with the years."""
-    with held(silver.reference(alerts, per), "references") as references:
-        upsert_table(references, root, SILVER["reference"], latest=per, staged=True)
-        for name, plan in ALERT_ONLY.items():
-            if name != "reference":
-                upsert_table(plan(alerts, per), root, SILVER[name], latest=per)
-        rows = silver.detection(alerts, references, per, origin=CURRENT)
-        upsert_detections(rows, root, per, keep_richer)
+Step = Callable[[dt.datetime | None], None]
+
+
+def _silver_steps(
+    alerts: Callable[[], DataFrame], root: str, per: Sequence[str], keep_richer: bool, kept: ExitStack
+) -> dict[str, Step]:
+    """How each silver table is written from one stored batch of alerts. The reference rows of a batch cover its
+    alerts, so detection joins those, and not a table that grows with the years."""
+    references: list[DataFrame] = []
+
+    def reference_rows() -> DataFrame:
+        if not references:
+            references.append(kept.enter_context(held(silver.reference(alerts(), per), "references")))
+        return references[0]
+
+    def reference(stamp: dt.datetime | None) -> None:
+        upsert_table(reference_rows(), root, SILVER["reference"], latest=per, staged=True, stamp=stamp)
+
+    def detection(stamp: dt.datetime | None) -> None:
+        rows = silver.detection(alerts(), reference_rows(), per, origin=CURRENT)
+        upsert_detections(rows, root, per, keep_richer, stamp)
+
+    def other(name: str, stamp: dt.datetime | None) -> None:
+        upsert_table(ALERT_ONLY[name](alerts(), per), root, SILVER[name], latest=per, stamp=stamp)
+
+    return {name: partial(other, name) for name in ALERT_ONLY} | {"reference": reference, "detection": detection}
 
 
 def refresh_day(
@@ -117,12 +145,18 @@ def refresh_day(
     root: str,
     date: str = DEFAULT_DATE,
     keep_richer: bool = False,
+    at_once: int = AT_ONCE,
 ) -> None:
     """Upserts one observation date into bronze and every silver table."""
-    with utc(spark):
-        upsert_table(valid_records(batch_of(landing, date)), root, BRONZE_ALERT)
-        alerts = batch_of(read_table(spark, BRONZE_ALERT.path(root), landing.schema), date)
-        _refresh_silver(alerts, root, (), keep_richer)
+    def bronze(stamp: dt.datetime | None) -> None:
+        upsert_table(valid_records(batch_of(landing, date)), root, BRONZE_ALERT, stamp=stamp)
+
+    def stored_alerts() -> DataFrame:
+        return batch_of(read_table(spark, BRONZE_ALERT.path(root), landing.schema), date)
+
+    with utc(spark), ExitStack() as kept:
+        steps = {"alert": bronze} | _silver_steps(stored_alerts, root, (), keep_richer, kept)
+        build_all(spark, NEEDS, {name: partial(step, None) for name, step in steps.items()}, at_once)
 
 
 def backfill(
@@ -132,22 +166,39 @@ def backfill(
     first: str = FIRST_DATE,
     last: str | None = None,
     keep_richer: bool = False,
+    at_once: int = AT_ONCE,
 ) -> None:
     """A range of dates in one pass per table; same tables as the loop over days.
 
     Rows meet only rows of their own date, and per key the latest date wins. The alerts are staged
     once, without repeats within a date; all tables read that copy, column by column. It goes with the run.
+
+    A run that stops is taken up by the next call with the same dates and the same landing files: tables that its
+    ledger has as done are left as they are, one that was being written is written again, as if for the first time.
     """
     per, keys = silver.BATCH, [*silver.BATCH, "candid"]
-    with utc(spark):
-        alerts = valid_records(batch_of(landing, first, last or "9999-12-31"))
+    with utc(spark), ExitStack() as kept:
+        batch = batch_of(landing, first, last or "9999-12-31")
+        mark = fingerprint(batch, keys)
+        ledger = Ledger(spark, root, f"{first}_{last or 'open'}_{mark}{'_richer' * keep_richer}")
+        alerts = valid_records(batch)
         if has_duplicates(alerts, keys):
             alerts = dedupe_by_key(alerts, keys)
-        with held(alerts, "backfill") as alerts:
+        alerts = kept.enter_context(held(alerts, "backfill"))
+
+        def bronze(stamp: dt.datetime | None) -> None:
             newest = alerts
             if has_duplicates(alerts, ["candid"]):  # the ids alone tell which row is the newest
                 last_date = alerts.groupBy(F.col("candid").alias("_id")).agg(F.max(per[0]).alias("_date"))
                 same = (F.col("candid") == F.col("_id")) & (F.col(per[0]) == F.col("_date"))
                 newest = alerts.join(last_date, same, "left_semi")
-            upsert_table(newest, root, BRONZE_ALERT, staged=True)
-            _refresh_silver(alerts, root, per, keep_richer)
+            upsert_table(newest, root, BRONZE_ALERT, staged=True, stamp=stamp)
+
+        def marked(name: str, step: Step) -> None:
+            if not ledger.is_done(name):
+                step(ledger.begin(name))
+                ledger.finish(name)
+
+        steps = {"alert": bronze} | _silver_steps(lambda: alerts, root, per, keep_richer, kept)
+        build_all(spark, NEEDS, {name: partial(marked, name, step) for name, step in steps.items()}, at_once)
+        ledger.close()

@@ -30,6 +30,7 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = dict(ENGINE_CONF)
+    conf["spark.scheduler.mode"] = "FAIR"  # tables built at the same time share the cores
     conf["spark.serializer"] = "org.apache.spark.serializer.KryoSerializer"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -6,6 +6,7 @@ row-level operations, :func:`merge_into` does the upsert there instead.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Sequence
 from contextlib import ExitStack, contextmanager
@@ -20,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from novalake.operators.combine import match_keys, merge_upsert
 from novalake.operators.dedupe import dedupe_by_key
-from novalake.operators.reshape import with_audit
+from novalake.operators.reshape import AUDIT, with_audit
 from novalake.session import drop_path, new_stage_path
 
 # Wanted size of a table file; folder name of a NULL partition.
@@ -70,7 +71,8 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}{where}")
 
 
-def _fs_path(spark: SparkSession, path: str):
+def fs_path(spark: SparkSession, path: str):
+    """A path's file system, and the path for it."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
@@ -78,7 +80,7 @@ def _fs_path(spark: SparkSession, path: str):
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a write to the folder was ever committed; leftovers of a failed
     first write do not count."""
-    fs, folder = _fs_path(spark, path)
+    fs, folder = fs_path(spark, path)
     if not fs.exists(folder):
         return False
     names = (status.getPath().getName() for status in fs.listStatus(folder))
@@ -260,7 +262,7 @@ def has_duplicates(df: DataFrame, keys: Sequence[str]) -> bool:
 def _note_moves(spark: SparkSession, path: str, folders: list[str]) -> str:
     """Notes, before a write, the folders that will be stale after it."""
     note = f"{path}/{PENDING}/{uuid.uuid4().hex}"
-    fs, file = _fs_path(spark, note)
+    fs, file = fs_path(spark, note)
     out = fs.create(file)
     out.write(bytearray("\n".join(folders).encode()))
     out.close()
@@ -280,7 +282,7 @@ def finish_moves(spark: SparkSession, root: str, spec: TableSpec, null_safe: boo
     come to its end, the rows are nowhere else and the folder stays.
     """
     path = spec.path(root)
-    fs, folder = _fs_path(spark, f"{path}/{PENDING}")
+    fs, folder = fs_path(spark, f"{path}/{PENDING}")
     if not fs.exists(folder):
         return
     for status in fs.listStatus(folder):
@@ -328,6 +330,7 @@ def upsert_table(
     audit: bool = True,
     evolve: bool = False,
     staged: bool = False,
+    stamp: dt.datetime | None = None,
 ) -> None:
     """Upserts a batch into a table, rewriting only the partitions it touches.
 
@@ -344,23 +347,27 @@ def upsert_table(
 
     A batch whose columns differ from the table's is refused, since rewriting a partition could lose
     columns; ``evolve`` reads every file's schema and keeps the columns of both.
+
+    ``stamp`` is the audit time of the batch. Stored rows that bear it come from an earlier, broken attempt at the
+    same batch and are replaced, whatever their keys.
     """
     path = spec.path(root)
     if table_exists(source.sparkSession, path):
         finish_moves(source.sparkSession, root, spec, null_safe)
     with ExitStack() as kept:
         batch = _unique_batch(kept, source, spec, latest, null_safe, staged)
-        _upsert(batch, path, spec, null_safe, audit, evolve)
+        _upsert(batch, path, spec, null_safe, audit, evolve, stamp)
 
 
 def _upsert(
-    stored: DataFrame, path: str, spec: TableSpec, null_safe: bool, audit: bool, evolve: bool
+    stored: DataFrame, path: str, spec: TableSpec, null_safe: bool, audit: bool, evolve: bool,
+    stamp: dt.datetime | None = None,
 ) -> None:
     spark, keys, parts = stored.sparkSession, list(spec.keys), list(spec.partition_by)
     columns = [*parts, *spec.order_by]
     batch = stored.drop(*spec.unstored)
     if audit:
-        batch = with_audit(batch)
+        batch = with_audit(batch, at=stamp)
     size = stored_bytes(stored)
     if not table_exists(spark, path):
         write_clustered(batch, path, parts, spec.order_by, size=size, keys=stored)
@@ -388,13 +395,14 @@ def _upsert(
     stale = _file_folders(in_folders(emptied)) if emptied else []
     touched = in_folders(new | old)
     note = _note_moves(spark, path, stale) if stale else None
+    earlier = touched.where(~F.col(AUDIT).eqNullSafe(F.lit(stamp))) if stamp and audit else touched
     write_clustered(
-        merge_upsert(touched, batch, keys, null_safe), path, parts, spec.order_by, dynamic=True,
+        merge_upsert(earlier, batch, keys, null_safe), path, parts, spec.order_by, dynamic=True,
         size=size + stored_bytes(touched), keys=touched.select(*columns).unionByName(stored.select(*columns)),
     )
     _delete_folders(spark, stale)
     if note:
-        fs, file = _fs_path(spark, note)
+        fs, file = fs_path(spark, note)
         fs.delete(file, False)
 
 
