@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from pathlib import Path
 
 import numpy as np
@@ -10,10 +11,13 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from novalake.session import new_stage_path
 
 BATCH_BYTES = 4 << 20
+# At most so many bytes of flags, one bit a row, go out at once.
+FLAG_BYTES = 32 << 20
 
 
 def shared_code(spark: SparkSession) -> None:
@@ -66,3 +70,46 @@ def pack_longs(array: pa.Array) -> tuple[bytes, bytes]:
 
 def unpack_longs(values: bytes, missing: bytes) -> pd.arrays.IntegerArray:
     return pd.arrays.IntegerArray(np.frombuffer(values, np.int64).copy(), np.frombuffer(missing, bool).copy())
+
+
+def rows_at(placed: DataFrame, places: DataFrame, row: str) -> DataFrame:
+    """The rows of ``placed`` whose ``row`` is among ``places`` (one column).
+
+    ``row`` is a monotonically increasing id stored with the rows, so its upper bits name a partition of the
+    write and the lower ones count the rows in it. What crosses a shuffle is places; the rows themselves are filtered as they are
+    scanned, by one bit for each row of their partition. The bits go out in blocks of FLAG_BYTES at most (or one
+    partition's); beyond one block, each is for the row groups of its own partitions.
+    """
+    part, bits = "_part", "_bits"
+    while {part, bits} & set(placed.columns):
+        part, bits = part + "_", bits + "_"
+
+    def flagged(table: pa.Table) -> pa.Table:
+        nth = table["nth"].to_numpy()
+        found = np.zeros(int(nth.max()) + 1, np.uint8)
+        found[nth] = 1
+        return pa.table({part: table[part][:1], bits: [np.packbits(found, bitorder="little").tobytes()]})
+
+    at = F.col(places.columns[0])
+    split = places.select(F.shiftright(at, 33).alias(part), at.bitwiseAND((1 << 33) - 1).alias("nth"))
+    flags = staged(split.groupBy(part).applyInArrow(lambda t: flagged(t), f"{part} bigint, {bits} binary"), "flags")
+    blocks, held = [], 0
+    for number, size in flags.select(part, F.octet_length(bits)).orderBy(part).collect():
+        if not blocks or held + size > FLAG_BYTES:
+            blocks.append([number, number])
+            held = 0
+        blocks[-1][1] = number
+        held += size
+    if not blocks:
+        return placed.limit(0)
+    nth = F.col(row).bitwiseAND((1 << 33) - 1)
+    byte = F.conv(F.hex(F.substr(F.col(bits), (F.floor(nth / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    asked = byte.bitwiseAND(F.expr(f"shiftleft(1, cast(`{row}` & 7 as int))")) != 0
+
+    def block(first: int, last: int) -> DataFrame:
+        mine = placed.filter(F.col(row).between(first << 33, ((last + 1) << 33) - 1))
+        theirs = F.broadcast(flags.filter(F.col(part).between(first, last)))
+        return mine.join(theirs, F.shiftright(F.col(row), 33) == F.col(part)).filter(asked).select(
+            *(F.col(f"`{c}`") for c in placed.columns))
+
+    return reduce(DataFrame.union, [block(*b) for b in blocks])

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from novalake.llm.common import pack_longs, slices, staged, texts_of, unpack_longs
+from novalake.llm.common import pack_longs, rows_at, slices, staged, texts_of, unpack_longs
 from novalake.llm.components import components
 from novalake.llm.lm_scoring import word_hashes
 
@@ -45,6 +45,7 @@ SEEN_SETS = 500_000
 MAX_SLACK = 64
 SPREAD = 255
 FIRST_GROUPS = 6
+BLOCK_SETS = 512
 
 U = np.uint64
 
@@ -200,9 +201,9 @@ def possible(sizes_a, sizes_b, sketches_a: list[bytes], sketches_b: list[bytes])
     return out
 
 
-INDEXED = ("bucket int, keys binary, owners binary, bands binary, docs binary, no_id binary, sizes binary, "
+INDEXED = ("bucket int, keys binary, owners binary, bands binary, docs binary, no_id binary, places binary, sizes binary, "
            "sets binary, spare binary, sketches array<binary>")
-ROWS = {"doc_id": "bigint", "n": "bigint", "set_id": "bigint", "sketch": "binary", "band": "int", "spare": "int",
+ROWS = {"doc_id": "bigint", "place": "bigint", "n": "bigint", "set_id": "bigint", "sketch": "binary", "band": "int", "spare": "int",
         "spare_below": "int", "members": "array<bigint>", "group_id": "bigint", "entries": "bigint"}
 GROUPED = ", ".join(f"{n} {t}" for n, t in ROWS.items())
 
@@ -210,7 +211,7 @@ GROUPED = ", ".join(f"{n} {t}" for n, t in ROWS.items())
 def _index(docs: DataFrame, buckets: int, most: int) -> DataFrame:
     schema = pa.schema([
         ("bucket", pa.int32()), *((n, pa.binary()) for n in (
-            "keys", "owners", "bands", "docs", "no_id", "sizes", "sets", "spare")),
+            "keys", "owners", "bands", "docs", "no_id", "places", "sizes", "sets", "spare")),
         ("sketches", pa.list_(pa.binary()))])
     empty = dict.fromkeys(schema.names)
 
@@ -233,6 +234,7 @@ def _index(docs: DataFrame, buckets: int, most: int) -> DataFrame:
             own_spare[1:, list(new.values())] = spare
             rows = [empty | {
                 "bucket": ids[0] % buckets, "docs": found, "no_id": no_id,
+                "places": batch.column("place").to_numpy(zero_copy_only=False).tobytes(),
                 "sizes": np.array([len(s) for s in sets], np.int64).tobytes(), "sets": np.array(ids, U).tobytes(),
                 "spare": own_spare.tobytes(), "sketches": [sketch(s) if new.get(i) == n else None for n, (i, s) in enumerate(zip(ids, sets))]}]
             if new:
@@ -259,7 +261,7 @@ def _group(blocks: pd.DataFrame) -> pd.DataFrame:
         sizes = np.frombuffer(r.sizes, np.int64)
         ids = pd.arrays.IntegerArray(np.frombuffer(r.sets, np.int64).copy(), sizes == 0)
         parts.append(pd.DataFrame({
-            "doc_id": unpack_longs(r.docs, r.no_id), "n": sizes, "set_id": ids, "sketch": list(r.sketches),
+            "doc_id": unpack_longs(r.docs, r.no_id), "place": np.frombuffer(r.places, np.int64), "n": sizes, "set_id": ids, "sketch": list(r.sketches),
             **dict(zip(("band", "spare", "spare_below"), np.frombuffer(r.spare, np.int32).reshape(3, -1)))}))
     entries = blocks[blocks["keys"].notna()]
     if len(entries):
@@ -289,44 +291,42 @@ def _group(blocks: pd.DataFrame) -> pd.DataFrame:
 
 
 def _across(members: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one group that lie in different components and may link. ``groups`` has the first few groups
-    of each member: a pair is taken in the first one both have, or wherever it meets if there is none."""
-    members = members.sort_values("set_id")
+    """Pairs of one group that lie in different components and may link, between two blocks of its members (or within
+    one). ``groups`` has the first few groups of each member: a pair is taken in the first one both have, or wherever
+    it meets if there is none."""
+    members = members.sort_values(["block", "set_id"])
     group = members["group_id"].iloc[0]
     ids, sizes = members["set_id"].to_numpy(np.int64), members["n"].to_numpy(np.int64)
     labels, groups = members["label"].to_numpy(np.int64), [frozenset(g.tolist()) for g in members["groups"]]
     sketches = [np.frombuffer(s, U) for s in members["sketch"]]
     size = min(map(len, sketches))
     bits = np.stack([_folded(s, size) for s in sketches])
+    one, other = members[["one", "other"]].iloc[0]
+    ends = int((members["block"] == one).sum())  # where the second block begins, if there are two
+    if one != other and ends == len(ids):
+        return pd.DataFrame({"u": [], "v": []}, dtype=np.int64)
     found = []
-    for a in range(len(ids) - 1):
-        fits = DENOMINATOR * np.minimum(sizes[a], sizes[a + 1:]) >= NUMERATOR * np.maximum(sizes[a], sizes[a + 1:])
-        rest = np.flatnonzero(fits & (labels[a + 1:] != labels[a])) + a + 1
+    for a in range(ends):
+        first = a + 1 if one == other else ends
+        fits = DENOMINATOR * np.minimum(sizes[a], sizes[first:]) >= NUMERATOR * np.maximum(sizes[a], sizes[first:])
+        rest = np.flatnonzero(fits & (labels[first:] != labels[a])) + first
         if len(rest):
             apart = np.bitwise_count(bits[rest] ^ bits[a]).sum(axis=1)
             for b in rest[apart <= most_difference(sizes[a] + sizes[rest])].tolist():
                 both = groups[a] & groups[b]
                 if not both or min(both) == group:
-                    found.append((ids[a], ids[b]))
+                    found.append((min(ids[a], ids[b]), max(ids[a], ids[b])))
     found = np.array(found, np.int64).reshape(-1, 2)
     return pd.DataFrame({"u": found[:, 0], "v": found[:, 1]})
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` of sets that link, by the shingles of a document of each."""
+    """The pairs ``u, v`` of sets that link, by the shingles of a document of each. Only the texts of these documents
+    cross a shuffle."""
     needed = pairs.select(F.col("u").alias("set_id")).union(pairs.select("v")).distinct()
-    first = sets.join(needed, "set_id").select(F.col("doc_id").alias("wanted"), "set_id")
-    chosen = docs.join(first.select("wanted").distinct(), F.col("doc").eqNullSafe(F.col("wanted")), "left_semi")
-
-    def identify(batches):
-        for batch in slices(batches, "body", SLICE_BYTES):
-            texts = texts_of(batch, "body")
-            ids = [xxh3_64_intdigest(shingles(t).tobytes()) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(ids, U).view(np.int64)), pa.array(texts)], ["set_id", "text"])
-
-    texts = chosen.select("body").mapInArrow(identify, "set_id bigint, text string")
-    texts = staged(texts.groupBy("set_id").agg(F.first("text").alias("text")), "jaccard-texts")
+    first = staged(sets.join(needed, "set_id").select("set_id", "place"), "jaccard-wanted")
+    chosen = rows_at(docs, first.select("place"), "place")
+    texts = staged(chosen.join(first, "place").select("set_id", F.col("body").alias("text")), "jaccard-texts")
 
     def check(batches):
         held: dict[int, np.ndarray] = {}
@@ -380,6 +380,15 @@ def _split_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
     return staged(named.join(split.select("group_id"), "group_id", "left_semi"), "jaccard-members")
 
 
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Members of a group dealt into blocks of about BLOCK_SETS, each with every block: a task has two blocks."""
+    sizes = members.groupBy("group_id").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("parts"))
+    dealt = members.join(sizes, "group_id").withColumn("block", F.pmod(F.xxhash64("set_id"), "parts"))
+    met = dealt.select("*", F.explode(F.expr("sequence(0L, parts - 1)")).alias("met"))
+    return met.select("group_id", "set_id", "label", "n", "sketch", "groups", "block", F.least("block", "met").alias("one"),
+                      F.greatest("block", "met").alias("other"))
+
+
 def _needed(groups: DataFrame, sets: DataFrame) -> DataFrame:
     """``group_id, set_id, size, weight``: members of groups, without the hottest entries each set can spare. The
     weight is the size of all groups of the set together."""
@@ -395,18 +404,16 @@ def _needed(groups: DataFrame, sets: DataFrame) -> DataFrame:
     return staged(kept.select("group_id", "set_id", "size", "weight"), "jaccard-members")
 
 
-def _linked_sets(groups: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame | None:
+def _linked_sets(groups: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     """``node, label``: the components of the sets that link with others."""
     members = _needed(groups, sets)
     tried = staged(_possible(_with_center(members), sets), "jaccard-pairs")
-    if tried.isEmpty():
-        return None
     links = _verified(tried, sets, docs)
     labels = components(links)
     apart = _split_groups(members, labels)
     of_set = apart.groupBy("set_id").agg(F.slice(F.sort_array(F.collect_set("group_id")), 1, FIRST_GROUPS).alias("groups"))
     apart = apart.join(of_set, "set_id").join(sets.select("set_id", "n", "sketch"), "set_id")
-    more = staged(apart.select("group_id", "set_id", "label", "n", "sketch", "groups").groupBy("group_id")
+    more = staged(_in_blocks(apart).groupBy("group_id", "one", "other")
                   .applyInPandas(_across, "u bigint, v bigint").distinct(), "jaccard-pairs")
     more = staged(more.join(tried, ["u", "v"], "left_anti"), "jaccard-pairs")
     return labels if more.isEmpty() else components(links.union(_verified(more, sets, docs)))
@@ -418,8 +425,14 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     Rows with equal sets are one node, so copies are never paired. A document without words is alone:
     its component is its own id. Null ids do not take part in the least id of a component.
     """
-    spark = docs.sparkSession
-    slim = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("body"))
+    slim = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("body"),
+                       F.monotonically_increasing_id().alias("place"))
+    return _join(staged(slim, "jaccard-rows"))
+
+
+def _join(slim: DataFrame) -> DataFrame:
+    """From stored ``doc``, ``body`` and ``place``."""
+    spark = slim.sparkSession
     size, longest = slim.agg(F.sum(F.octet_length("body")), F.max(F.octet_length("body"))).first()
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(2 * partitions, int((size or 0) // BUCKET_BYTES))
@@ -427,7 +440,7 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     grouped = staged(grouped, "jaccard-index")
     rows = grouped.filter("group_id is null").drop("members", "group_id", "entries")
     sets = staged(rows.filter("set_id is not null").groupBy("set_id").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("band").alias("band"),
+        F.min("doc_id").alias("doc_id"), F.min("place").alias("place"), F.first("n").alias("n"), F.first("band").alias("band"),
         F.max("spare").alias("spare"), F.max("spare_below").alias("spare_below"),
         F.first("sketch", ignorenulls=True).alias("sketch")), "jaccard-sets")
     groups = staged(grouped.filter("group_id is not null").groupBy("group_id").agg(
@@ -435,8 +448,6 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
         "jaccard-groups")
 
     labels = _linked_sets(groups, sets, slim)
-    if labels is None:
-        labels = spark.createDataFrame([], "node bigint, label bigint")
     of_set = sets.select("set_id", "doc_id").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     of_set = staged(of_set.withColumn("label", F.coalesce("label", "set_id")), "jaccard-labels")
     least = of_set.groupBy("label").agg(F.min("doc_id").alias("component_id"))
@@ -457,9 +468,10 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     while row in docs.columns:
         row += "_"
     placed = staged(docs.withColumn(row, F.monotonically_increasing_id()), "jaccard-rows")
-    joined = join(placed, text, row).select(F.col("doc_id").alias("place"), "component_id")
+    at = F.col(row)
+    slim = placed.select(at.alias("doc"), F.col(text).alias("body"), at.alias("place"))
+    joined = _join(slim).select(F.col("doc_id").alias("place"), "component_id")
     ids = placed.select(F.col(row).alias("place"), F.col(key).alias("id"))
     first = joined.join(ids, "place").groupBy("component_id").agg(
         F.min(F.struct(F.col("id").isNull(), "id", "place")).getField("place").alias("place"))
-    kept = staged(first.select(F.col("place").alias(row)), "jaccard-kept")
-    return placed.join(kept, row, "left_semi").drop(row)
+    return rows_at(placed, first.select("place"), row).drop(row)

@@ -12,9 +12,10 @@ import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from llm.conftest import AWKWARD, EXTRA
-from novalake.llm import decontamination, jaccard_join
+from novalake.llm import common, decontamination, jaccard_join
 from novalake.llm.components import components
 from novalake.llm.fm_index import FMIndex, suffix_array
 from novalake.llm.queries import op5_decontamination, op9_jaccard_join
@@ -137,7 +138,7 @@ def test_keep_one_when_scans_cut_the_files_in_other_ways(spark, make_docs, near_
     rows = [(i, t) for i, t in enumerate(near_copies)]
     docs = make_docs(rows, 6)
     key = "spark.sql.files.maxPartitionBytes"
-    before, join = spark.conf.get(key), jaccard_join.join
+    before, join = spark.conf.get(key), jaccard_join._join
 
     def join_then_cut_finer(*args):
         out = jaccard_join.staged(join(*args), "test-joined")
@@ -145,7 +146,7 @@ def test_keep_one_when_scans_cut_the_files_in_other_ways(spark, make_docs, near_
         return out
 
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    monkeypatch.setattr(jaccard_join, "join", join_then_cut_finer)
+    monkeypatch.setattr(jaccard_join, "_join", join_then_cut_finer)
     try:
         kept = [r.doc_id for r in jaccard_join.keep_one(docs).select("doc_id").collect()]
     finally:
@@ -240,3 +241,24 @@ def test_empty_benchmark_and_documents(spark, make_docs, awkward):
     nothing = spark.createDataFrame([], "item_id bigint, text string")
     assert decontamination.drop_contaminated(awkward, nothing).count() == len(AWKWARD)
     assert decontamination.drop_contaminated(make_docs([]), nothing).count() == 0
+
+
+def test_groups_in_many_blocks_and_unlike_centers(spark, make_docs, near_copies, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 2)
+    with_center = jaccard_join._with_center  # as if no center of three and more were like any member
+    monkeypatch.setattr(jaccard_join, "_with_center", lambda members: with_center(members.filter("size = 2")))
+    ids = list(range(len(near_copies)))
+    check_join(jaccard_join.join(make_docs(list(enumerate(near_copies)))).toPandas(), ids, near_copies)
+
+
+def test_rows_at_places_in_several_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "FLAG_BYTES", 20)
+    path = str(tmp_path / "placed")
+    rows = spark.range(0, 3000, 1, 7).select("id", F.lit("x").alias("_part"), F.monotonically_increasing_id().alias("row"))
+    rows.write.parquet(path)
+    placed = spark.read.parquet(path)
+    for wanted in ("id % 7 = 3", "id = 2999", "id < 5 or id > 2990", "id < 0", "true"):
+        places = placed.filter(wanted).select("row")
+        got = common.rows_at(placed, places, "row")
+        assert got.columns == placed.columns
+        assert sorted(r.id for r in got.collect()) == sorted(r.id for r in placed.filter(wanted).collect())
