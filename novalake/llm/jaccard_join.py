@@ -45,7 +45,7 @@ SEEN_SETS = 500_000
 MAX_SLACK = 64
 SPREAD = 255
 FIRST_GROUPS = 6
-BLOCK_SETS = 512
+BLOCK_SETS, BUCKET_SETS = 512, 16_384
 
 U = np.uint64
 
@@ -291,31 +291,33 @@ def _group(blocks: pd.DataFrame) -> pd.DataFrame:
 
 
 def _across(members: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one group that lie in different components and may link, between two blocks of its members (or within
+    """Pairs of each group that lie in different components and may link, between two blocks of its members (or within
     one). ``groups`` has the first few groups of each member: a pair is taken in the first one both have, or wherever
-    it meets if there is none."""
-    members = members.sort_values(["block", "set_id"])
-    group = members["group_id"].iloc[0]
-    ids, sizes = members["set_id"].to_numpy(np.int64), members["n"].to_numpy(np.int64)
-    labels, groups = members["label"].to_numpy(np.int64), [frozenset(g.tolist()) for g in members["groups"]]
-    sketches = [np.frombuffer(s, U) for s in members["sketch"]]
-    size = min(map(len, sketches))
-    bits = np.stack([_folded(s, size) for s in sketches])
-    one, other = members[["one", "other"]].iloc[0]
-    ends = int((members["block"] == one).sum())  # where the second block begins, if there are two
-    if one != other and ends == len(ids):
-        return pd.DataFrame({"u": [], "v": []}, dtype=np.int64)
+    it meets if there is none. A call has many groups, one after the other."""
+    members = members.sort_values(["group_id", "one", "other", "block", "set_id"])
+    keys = members[["group_id", "one", "other"]].to_numpy(np.int64)
+    starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
+    ids, sizes, labels, blocks = (members[c].to_numpy(np.int64) for c in ("set_id", "n", "label", "block"))
+    sketches, groups = members["sketch"].tolist(), members["groups"].tolist()
     found = []
-    for a in range(ends):
-        first = a + 1 if one == other else ends
-        fits = DENOMINATOR * np.minimum(sizes[a], sizes[first:]) >= NUMERATOR * np.maximum(sizes[a], sizes[first:])
-        rest = np.flatnonzero(fits & (labels[first:] != labels[a])) + first
-        if len(rest):
-            apart = np.bitwise_count(bits[rest] ^ bits[a]).sum(axis=1)
-            for b in rest[apart <= most_difference(sizes[a] + sizes[rest])].tolist():
-                both = groups[a] & groups[b]
-                if not both or min(both) == group:
-                    found.append((min(ids[a], ids[b]), max(ids[a], ids[b])))
+    for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)]):
+        group, one, other = keys[begin].tolist()
+        middle = begin + int(np.count_nonzero(blocks[begin:end] == one))  # where the second block begins, if there are two
+        if (labels[begin:end] == labels[begin]).all() or one != other and middle in (begin, end):
+            continue
+        parts = [np.frombuffer(s, U) for s in sketches[begin:end]]
+        size = min(map(len, parts))
+        bits = np.stack([_folded(s, size) for s in parts])
+        for a in range(begin, middle):
+            first = a + 1 if one == other else middle
+            small, large = np.minimum(sizes[a], sizes[first:end]), np.maximum(sizes[a], sizes[first:end])
+            rest = np.flatnonzero((DENOMINATOR * small >= NUMERATOR * large) & (labels[first:end] != labels[a])) + first
+            if len(rest):
+                apart = np.bitwise_count(bits[rest - begin] ^ bits[a - begin]).sum(axis=1)
+                for b in rest[apart <= most_difference(sizes[a] + sizes[rest])].tolist():
+                    both = set(groups[a]) & set(groups[b])
+                    if not both or min(both) == group:
+                        found.append((min(ids[a], ids[b]), max(ids[a], ids[b])))
     found = np.array(found, np.int64).reshape(-1, 2)
     return pd.DataFrame({"u": found[:, 0], "v": found[:, 1]})
 
@@ -381,12 +383,18 @@ def _split_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _in_blocks(members: DataFrame) -> DataFrame:
-    """Members of a group dealt into blocks of about BLOCK_SETS, each with every block: a task has two blocks."""
-    sizes = members.groupBy("group_id").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("parts"))
+    """Members of a group dealt into blocks of about BLOCK_SETS, each with every block; a bucket has some pairs of blocks,
+    of about BUCKET_SETS members together."""
+    sizes = members.groupBy("group_id").agg(F.count("*").alias("had"))
+    sizes = staged(sizes.withColumn("parts", F.ceil(F.col("had") / BLOCK_SETS)), "jaccard-sizes")
+    rows = sizes.agg(F.coalesce(F.sum(F.col("had") * F.col("parts")), F.lit(0))).first()[0]
+    buckets = 1 + rows // BUCKET_SETS
     dealt = members.join(sizes, "group_id").withColumn("block", F.pmod(F.xxhash64("set_id"), "parts"))
     met = dealt.select("*", F.explode(F.expr("sequence(0L, parts - 1)")).alias("met"))
-    return met.select("group_id", "set_id", "label", "n", "sketch", "groups", "block", F.least("block", "met").alias("one"),
-                      F.greatest("block", "met").alias("other"))
+    met = met.select("group_id", "set_id", "label", "n", "sketch", "groups", "block", F.least("block", "met").alias("one"),
+                     F.greatest("block", "met").alias("other"))
+    bucket = F.pmod(F.xxhash64("group_id", "one", "other"), F.lit(buckets))
+    return met.withColumn("bucket", bucket).repartition(buckets, "bucket")
 
 
 def _needed(groups: DataFrame, sets: DataFrame) -> DataFrame:
@@ -413,7 +421,7 @@ def _linked_sets(groups: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFra
     apart = _split_groups(members, labels)
     of_set = apart.groupBy("set_id").agg(F.slice(F.sort_array(F.collect_set("group_id")), 1, FIRST_GROUPS).alias("groups"))
     apart = apart.join(of_set, "set_id").join(sets.select("set_id", "n", "sketch"), "set_id")
-    more = staged(_in_blocks(apart).groupBy("group_id", "one", "other")
+    more = staged(_in_blocks(apart).groupBy("bucket")
                   .applyInPandas(_across, "u bigint, v bigint").distinct(), "jaccard-pairs")
     more = staged(more.join(tried, ["u", "v"], "left_anti"), "jaccard-pairs")
     return labels if more.isEmpty() else components(links.union(_verified(more, sets, docs)))
