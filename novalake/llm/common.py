@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from novalake.session import new_stage_path
 
 BATCH_BYTES = 4 << 20
-# At most so many bytes of flags, one bit a row, go out at once.
+# At most so many bytes of flags, one bit for a row, go out at once.
 FLAG_BYTES = 32 << 20
 
 
@@ -72,44 +72,78 @@ def unpack_longs(values: bytes, missing: bytes) -> pd.arrays.IntegerArray:
     return pd.arrays.IntegerArray(np.frombuffer(values, np.int64).copy(), np.frombuffer(missing, bool).copy())
 
 
-def rows_at(placed: DataFrame, places: DataFrame, row: str) -> DataFrame:
-    """The rows of ``placed`` whose ``row`` is among ``places`` (one column).
-
-    ``row`` is a monotonically increasing id stored with the rows, so its upper bits name a partition of the
-    write and the lower ones count the rows in it. What crosses a shuffle is places; the rows themselves are filtered as they are
-    scanned, by one bit for each row of their partition. The bits go out in blocks of FLAG_BYTES at most (or one
-    partition's); beyond one block, each is for the row groups of its own partitions.
-    """
-    part, bits = "_part", "_bits"
-    while {part, bits} & set(placed.columns):
-        part, bits = part + "_", bits + "_"
-
-    def flagged(table: pa.Table) -> pa.Table:
-        nth = table["nth"].to_numpy()
-        found = np.zeros(int(nth.max()) + 1, np.uint8)
-        found[nth] = 1
-        return pa.table({part: table[part][:1], bits: [np.packbits(found, bitorder="little").tobytes()]})
-
-    at = F.col(places.columns[0])
-    split = places.select(F.shiftright(at, 33).alias(part), at.bitwiseAND((1 << 33) - 1).alias("nth"))
-    flags = staged(split.groupBy(part).applyInArrow(lambda t: flagged(t), f"{part} bigint, {bits} binary"), "flags")
-    blocks, held = [], 0
-    for number, size in flags.select(part, F.octet_length(bits)).orderBy(part).collect():
-        if not blocks or held + size > FLAG_BYTES:
-            blocks.append([number, number])
-            held = 0
-        blocks[-1][1] = number
-        held += size
-    if not blocks:
-        return placed.limit(0)
-    nth = F.col(row).bitwiseAND((1 << 33) - 1)
-    byte = F.conv(F.hex(F.substr(F.col(bits), (F.floor(nth / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    asked = byte.bitwiseAND(F.expr(f"shiftleft(1, cast(`{row}` & 7 as int))")) != 0
-
-    def block(first: int, last: int) -> DataFrame:
-        mine = placed.filter(F.col(row).between(first << 33, ((last + 1) << 33) - 1))
-        theirs = F.broadcast(flags.filter(F.col(part).between(first, last)))
-        return mine.join(theirs, F.shiftright(F.col(row), 33) == F.col(part)).filter(asked).select(
-            *(F.col(f"`{c}`") for c in placed.columns))
-
-    return reduce(DataFrame.union, [block(*b) for b in blocks])
+def _is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is stored files, with columns chosen at most: then a row of a file is a row of ``df``."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "SubqueryAlias"):
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation"
+
+
+class Places:
+    """Numbers that stand for the rows of a table, the same in every scan however files are cut: the number of a
+    Parquet file in the upper bits, the row in it in the lower 33. A plan that is no scan is stored first."""
+
+    def __init__(self, docs: DataFrame):
+        self.columns = docs.columns
+        if not _is_scan(docs):
+            docs = staged(docs, "placed")
+        path, number, row = ("_path", "_file", "_row")
+        while {path, number, row} & set(docs.columns):
+            path, number, row = path + "_", number + "_", row + "_"
+        self.path, self.number, self.row = path, number, row
+        self.docs = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(row))
+        files = docs.select(F.col("_metadata.file_path").alias(path)).distinct()
+        # a row for each file, as in the listing that the driver holds anyway
+        self.names = sorted(r[0] for r in files.collect())
+        self.files = docs.sparkSession.createDataFrame(
+            [(n, name) for n, name in enumerate(self.names)], f"{number} bigint, {path} string")
+
+    def rows(self, place: str, first: int = 0, last: int | None = None) -> DataFrame:
+        """All rows, or those of some neighbouring files, with their place."""
+        docs = self.docs
+        if last is not None:
+            docs = docs.filter(F.col(self.path).between(self.names[first], self.names[last]))
+        placed = docs.join(F.broadcast(self.files), self.path)
+        at = F.shiftleft(F.col(self.number), 33) + F.col(self.row)
+        return placed.select(*(F.col(f"`{c}`") for c in self.columns), at.alias(place))
+
+    def rows_at(self, places: DataFrame, place: str) -> DataFrame:
+        """The rows whose place is among ``places`` (one column).
+
+        What crosses a shuffle is places; the rows themselves are filtered as they are scanned, by one bit for each row of
+        their file. The bits go out in blocks of FLAG_BYTES at most (or one file's), each for the scan of its files.
+        """
+        part, bits = "_part", "_bits"
+        while {part, bits} & {*self.columns, place}:
+            part, bits = part + "_", bits + "_"
+
+        def flagged(table: pa.Table) -> pa.Table:
+            nth = table["nth"].to_numpy()
+            found = np.zeros(int(nth.max()) + 1, np.uint8)
+            found[nth] = 1
+            return pa.table({part: table[part][:1], bits: [np.packbits(found, bitorder="little").tobytes()]})
+
+        at = F.col(places.columns[0])
+        split = places.select(F.shiftright(at, 33).alias(part), at.bitwiseAND((1 << 33) - 1).alias("nth"))
+        flags = staged(split.groupBy(part).applyInArrow(lambda t: flagged(t), f"{part} bigint, {bits} binary"), "flags")
+        blocks, held = [], 0
+        for number, size in flags.select(part, F.octet_length(bits)).orderBy(part).collect():
+            if not blocks or held + size > FLAG_BYTES:
+                blocks.append([number, number])
+                held = 0
+            blocks[-1][1] = number
+            held += size
+        if not blocks:
+            return self.rows(place).limit(0)
+        nth = F.col(place).bitwiseAND((1 << 33) - 1)
+        byte = F.conv(F.hex(F.substr(F.col(bits), (F.floor(nth / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        asked = byte.bitwiseAND(F.expr(f"shiftleft(1, cast(`{place}` & 7 as int))")) != 0
+
+        def block(first: int, last: int) -> DataFrame:
+            theirs = F.broadcast(flags.filter(F.col(part).between(first, last)))
+            mine = self.rows(place, first, last)
+            return mine.join(theirs, F.shiftright(F.col(place), 33) == F.col(part)).filter(asked).select(
+                *(F.col(f"`{c}`") for c in mine.columns))
+
+        return reduce(DataFrame.union, [block(*b) for b in blocks])

@@ -24,6 +24,7 @@ of the texts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import exp
 
 import numpy as np
@@ -32,8 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
+from zstandard import ZstdCompressor, ZstdDecompressor
 
-from novalake.llm.common import pack_longs, rows_at, slices, staged, texts_of, unpack_longs
+from novalake.llm.common import Places, pack_longs, slices, staged, texts_of, unpack_longs
 from novalake.llm.components import components
 from novalake.llm.lm_scoring import word_hashes
 
@@ -322,22 +324,34 @@ def _across(members: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"u": found[:, 0], "v": found[:, 1]})
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+TextsAt = Callable[[DataFrame], DataFrame]
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, texts_at: TextsAt) -> DataFrame:
     """The pairs ``u, v`` of sets that link, by the shingles of a document of each. Only the texts of these documents
-    cross a shuffle."""
+    cross a shuffle, compressed."""
     needed = pairs.select(F.col("u").alias("set_id")).union(pairs.select("v")).distinct()
-    first = staged(sets.join(needed, "set_id").select("set_id", "place"), "jaccard-wanted")
-    chosen = rows_at(docs, first.select("place"), "place")
-    texts = staged(chosen.join(first, "place").select("set_id", F.col("body").alias("text")), "jaccard-texts")
+    chosen = texts_at(sets.join(needed, "set_id").select("place"))
+
+    def identify(batches):
+        squeeze = ZstdCompressor().compress
+        for batch in slices(batches, "body", SLICE_BYTES):
+            texts = texts_of(batch, "body")
+            ids = [xxh3_64_intdigest(shingles(t).tobytes()) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, U).view(np.int64)), pa.array(
+                [squeeze(t.encode("utf-8", "surrogatepass")) for t in texts], pa.binary())], ["set_id", "text"])
+
+    texts = staged(chosen.select("body").mapInArrow(identify, "set_id bigint, text binary"), "jaccard-texts")
 
     def check(batches):
         held: dict[int, np.ndarray] = {}
+        expand = ZstdDecompressor().decompress
 
         def of(i, text):
             if i not in held:
                 if len(held) > 500:
                     held.clear()
-                held[i] = shingles(text)
+                held[i] = shingles(expand(text).decode("utf-8", "surrogatepass"))
             return held[i]
 
         for batch in slices(batches, "text_u", SLICE_BYTES):
@@ -382,19 +396,18 @@ def _split_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
     return staged(named.join(split.select("group_id"), "group_id", "left_semi"), "jaccard-members")
 
 
-def _in_blocks(members: DataFrame) -> DataFrame:
+def _in_blocks(members: DataFrame) -> tuple[DataFrame, int]:
     """Members of a group dealt into blocks of about BLOCK_SETS, each with every block; a bucket has some pairs of blocks,
-    of about BUCKET_SETS members together."""
+    of about BUCKET_SETS members together. And the number of buckets."""
     sizes = members.groupBy("group_id").agg(F.count("*").alias("had"))
     sizes = staged(sizes.withColumn("parts", F.ceil(F.col("had") / BLOCK_SETS)), "jaccard-sizes")
     rows = sizes.agg(F.coalesce(F.sum(F.col("had") * F.col("parts")), F.lit(0))).first()[0]
     buckets = 1 + rows // BUCKET_SETS
     dealt = members.join(sizes, "group_id").withColumn("block", F.pmod(F.xxhash64("set_id"), "parts"))
     met = dealt.select("*", F.explode(F.expr("sequence(0L, parts - 1)")).alias("met"))
-    met = met.select("group_id", "set_id", "label", "n", "sketch", "groups", "block", F.least("block", "met").alias("one"),
+    met = met.select("group_id", "set_id", "label", "block", F.least("block", "met").alias("one"),
                      F.greatest("block", "met").alias("other"))
-    bucket = F.pmod(F.xxhash64("group_id", "one", "other"), F.lit(buckets))
-    return met.withColumn("bucket", bucket).repartition(buckets, "bucket")
+    return met.withColumn("bucket", F.pmod(F.xxhash64("group_id", "one", "other"), F.lit(buckets))), buckets
 
 
 def _needed(groups: DataFrame, sets: DataFrame) -> DataFrame:
@@ -412,19 +425,20 @@ def _needed(groups: DataFrame, sets: DataFrame) -> DataFrame:
     return staged(kept.select("group_id", "set_id", "size", "weight"), "jaccard-members")
 
 
-def _linked_sets(groups: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+def _linked_sets(groups: DataFrame, sets: DataFrame, texts_at: TextsAt) -> DataFrame:
     """``node, label``: the components of the sets that link with others."""
     members = _needed(groups, sets)
     tried = staged(_possible(_with_center(members), sets), "jaccard-pairs")
-    links = _verified(tried, sets, docs)
+    links = _verified(tried, sets, texts_at)
     labels = components(links)
     apart = _split_groups(members, labels)
     of_set = apart.groupBy("set_id").agg(F.slice(F.sort_array(F.collect_set("group_id")), 1, FIRST_GROUPS).alias("groups"))
-    apart = apart.join(of_set, "set_id").join(sets.select("set_id", "n", "sketch"), "set_id")
-    more = staged(_in_blocks(apart).groupBy("bucket")
+    dealt, buckets = _in_blocks(apart)
+    dealt = dealt.join(of_set, "set_id").join(sets.select("set_id", "n", "sketch"), "set_id")
+    more = staged(dealt.repartition(buckets, "bucket").groupBy("bucket")
                   .applyInPandas(_across, "u bigint, v bigint").distinct(), "jaccard-pairs")
     more = staged(more.join(tried, ["u", "v"], "left_anti"), "jaccard-pairs")
-    return labels if more.isEmpty() else components(links.union(_verified(more, sets, docs)))
+    return labels if more.isEmpty() else components(links.union(_verified(more, sets, texts_at)))
 
 
 def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -433,14 +447,17 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     Rows with equal sets are one node, so copies are never paired. A document without words is alone:
     its component is its own id. Null ids do not take part in the least id of a component.
     """
-    slim = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("body"),
-                       F.monotonically_increasing_id().alias("place"))
-    return _join(staged(slim, "jaccard-rows"))
+    return _join(Places(docs.select(F.col(key).alias("doc"), F.col(text).alias("body"))), "body", "place", "doc").drop("place")
 
 
-def _join(slim: DataFrame) -> DataFrame:
-    """From stored ``doc``, ``body`` and ``place``."""
+def _join(docs: Places, text: str, at: str, key: str) -> DataFrame:
+    """``at`` is a name for the rows' places. It may be the key as well: a row is then known by its place."""
+    slim = docs.rows(at).select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("body"), F.col(at).alias("place"))
     spark = slim.sparkSession
+
+    def texts_at(places: DataFrame) -> DataFrame:
+        return docs.rows_at(places, at).select(F.col(text).alias("body"))
+
     size, longest = slim.agg(F.sum(F.octet_length("body")), F.max(F.octet_length("body"))).first()
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(2 * partitions, int((size or 0) // BUCKET_BYTES))
@@ -455,7 +472,7 @@ def _join(slim: DataFrame) -> DataFrame:
         F.first("members").alias("members"), F.first("band").alias("band"), F.sum("entries").alias("entries")),
         "jaccard-groups")
 
-    labels = _linked_sets(groups, sets, slim)
+    labels = _linked_sets(groups, sets, texts_at)
     of_set = sets.select("set_id", "doc_id").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     of_set = staged(of_set.withColumn("label", F.coalesce("label", "set_id")), "jaccard-labels")
     least = of_set.groupBy("label").agg(F.min("doc_id").alias("component_id"))
@@ -463,23 +480,21 @@ def _join(slim: DataFrame) -> DataFrame:
     return rows.join(of_set, "set_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        "set_id")
+        "set_id", "place")
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One document of each component, with its columns as they are: the one with the least id (null last),
     among those the first in the table. Documents without words all stay.
 
-    The rows are written once with their places: another scan may cut the files of ``docs`` elsewhere.
+    Rows are told apart by their places in the stored files, the same in every scan.
     """
-    row = "row"
-    while row in docs.columns:
-        row += "_"
-    placed = staged(docs.withColumn(row, F.monotonically_increasing_id()), "jaccard-rows")
-    at = F.col(row)
-    slim = placed.select(at.alias("doc"), F.col(text).alias("body"), at.alias("place"))
-    joined = _join(slim).select(F.col("doc_id").alias("place"), "component_id")
-    ids = placed.select(F.col(row).alias("place"), F.col(key).alias("id"))
+    at = "place"
+    while at in docs.columns:
+        at += "_"
+    places = Places(docs)
+    joined = _join(places, text, at, at).select("place", "component_id")
+    ids = places.rows(at).select(F.col(at).alias("place"), F.col(key).alias("id"))
     first = joined.join(ids, "place").groupBy("component_id").agg(
         F.min(F.struct(F.col("id").isNull(), "id", "place")).getField("place").alias("place"))
-    return rows_at(placed, first.select("place"), row).drop(row)
+    return places.rows_at(first.select("place"), at).drop(at)

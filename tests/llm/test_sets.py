@@ -254,11 +254,15 @@ def test_groups_in_many_blocks_and_unlike_centers(spark, make_docs, near_copies,
 def test_rows_at_places_in_several_blocks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(common, "FLAG_BYTES", 20)
     path = str(tmp_path / "placed")
-    rows = spark.range(0, 3000, 1, 7).select("id", F.lit("x").alias("_part"), F.monotonically_increasing_id().alias("row"))
-    rows.write.parquet(path)
-    placed = spark.read.parquet(path)
-    for wanted in ("id % 7 = 3", "id = 2999", "id < 5 or id > 2990", "id < 0", "true"):
-        places = placed.filter(wanted).select("row")
-        got = common.rows_at(placed, places, "row")
-        assert got.columns == placed.columns
-        assert sorted(r.id for r in got.collect()) == sorted(r.id for r in placed.filter(wanted).collect())
+    spark.range(0, 3000, 1, 7).select("id", F.lit("x").alias("_part"), F.lit("y").alias("_file")).write.parquet(path)
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    stored = spark.read.parquet(path)
+    for docs in (stored, stored.select("_part", "id"), stored.union(stored.limit(0)), spark.createDataFrame([(5, "z")], "id bigint, _part string")):
+        places = common.Places(docs)
+        for wanted in ("id % 7 = 3", "id = 2999", "id < 5 or id > 2990", "id < 0", "true"):
+            found = common.staged(places.rows("row").filter(wanted).select("row"), "wanted")
+            spark.conf.set(key, "1000")  # a later scan cuts the files otherwise
+            got = places.rows_at(found, "row")
+            spark.conf.set(key, before)
+            assert got.columns == [*docs.columns, "row"]
+            assert sorted(r.id for r in got.collect()) == sorted(r.id for r in docs.filter(wanted).collect())
