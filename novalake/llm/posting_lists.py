@@ -7,8 +7,10 @@ walk over a graph of them that fits into memory. A query takes the lists whose c
 a ratio of the nearest one's distance; the ratio is fitted so that enough of the true neighbours
 of some sampled queries, found by brute force over all rows, lie in the lists it takes.
 
-For the walk, vectors get one more component, so that all have the length of the longest: the nearest
-by distance are then those with the largest inner product.
+For the walk, rows get one more component, so that all have the length of the longest. Queries are brought to that
+length as they are and get a zero there: the nearest by distance are then those with the largest inner product. How many
+lists a query may take follows from the ratio and the sampled queries, up to all lists. A query that finds too few
+rows takes all lists.
 """
 
 from __future__ import annotations
@@ -26,11 +28,11 @@ from novalake.llm.common import staged
 
 SAMPLE = 20_000
 SAMPLE_FLOATS = 1 << 24
-LIST_SIZE = 512
+LISTS_SHARE = 1.0  # lists wanted: the square root of so many times the rows
 MOST_LISTS = 4_096
 DEGREE = 16
 REPLICAS, NEAR = 4, 1.1
-PROBES, LEAST_PROBES = 512, 8
+LEAST_PROBES = 8
 FIT_QUERIES = 96
 FIT_RECALL = 0.96
 PART_ROWS, PART_QUERIES = 4_096, 4_096
@@ -71,7 +73,7 @@ def balanced_centroids(x: np.ndarray, lists: int) -> np.ndarray:
                 continue
         if len(part):
             out.append(part.mean(0))
-    return np.array(out[:MOST_LISTS], np.float32)
+    return np.array(out, np.float32)
 
 
 @dataclass
@@ -102,6 +104,16 @@ class CentroidGraph:
         rest = np.sqrt(np.maximum(self.longest**2 - (x.astype(np.float64) ** 2).sum(1), 0))
         return np.hstack([x, rest[:, None].astype(np.float32)])
 
+    def aimed(self, x: np.ndarray) -> np.ndarray:
+        """Queries among the lifted rows: as long as the longest, with nothing in the last component."""
+        lengths = np.sqrt((x.astype(np.float64) ** 2).sum(1, keepdims=True))
+        return np.hstack([(x * (self.longest / lengths)).astype(np.float32), np.zeros((len(x), 1), np.float32)])
+
+    def all_apart(self, points: np.ndarray) -> np.ndarray:
+        """Distances of points to all centroids."""
+        square = (points**2).sum(1)[:, None] + (self.centers**2).sum(1) - 2 * points @ self.centers.T
+        return np.sqrt(np.maximum(square, 0))
+
     def walk(self, points: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``width`` nearest centroids met by a best-first walk, and their distances, for many
         points at once; a column holds one point's step."""
@@ -140,12 +152,21 @@ class CentroidGraph:
         difference = self.centers[nodes] - points[:, None, :]
         return np.einsum("ijk,ijk->ij", difference, difference)
 
-    def lists(self, x: np.ndarray, width: int, ratio: float, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs: centroids within ``ratio`` of the nearest one's distance, ``least`` at least."""
+    def lists(self, x: np.ndarray, width: int, ratio: float, least: int = 1,
+              asks: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) pairs: of the ``width`` nearest centroids those within ``ratio`` of the nearest one's distance,
+        ``least`` at least. A walk that is to find a quarter of all centroids would meet all of them: then they
+        are compared one by one."""
         parts = []
         for start in range(0, len(x), 512):
-            at, apart = self.walk(self.lifted(x[start : start + 512]), width)
-            take = (at >= 0) & ((apart <= ratio * apart[:, :1]) | (np.arange(at.shape[1]) < least))
+            points = self.aimed(x[start : start + 512]) if asks else self.lifted(x[start : start + 512])
+            if 4 * width >= len(self.centers):
+                apart = self.all_apart(points)
+                at = np.argsort(apart, axis=1, kind="stable")[:, :width]
+                apart = np.take_along_axis(apart, at, 1)
+            else:
+                at, apart = self.walk(points, width)
+            take = (at >= 0) & ((apart <= ratio * apart[:, :1]) | (np.arange(at.shape[1]) < least) | np.isinf(ratio))
             row, column = np.nonzero(take)
             parts.append(np.stack((row + start, at[row, column])))
         both = np.concatenate(parts, axis=1) if parts else np.zeros((2, 0), np.int64)
@@ -213,7 +234,7 @@ def distinct_vectors(vectors: DataFrame, count: int) -> DataFrame:
         F.sort_array(F.collect_list("vec_id")).alias("members"))
 
 
-def _in_lists(rows: DataFrame, graph, width: int, ratio: float, least: int = 1) -> DataFrame:
+def _in_lists(rows: DataFrame, graph, width: int, ratio: float, least: int = 1, asks: bool = False) -> DataFrame:
     """Adds ``list`` to rows with ``vector``, one row for each list."""
     schema = StructType([*rows.schema.fields, StructField("list", IntegerType())])
 
@@ -221,7 +242,7 @@ def _in_lists(rows: DataFrame, graph, width: int, ratio: float, least: int = 1)
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
-                row, found = graph.value.lists(matrix(part.column("vector").to_pylist()), width, ratio, least)
+                row, found = graph.value.lists(matrix(part.column("vector").to_pylist()), width, ratio, least, asks)
                 yield part.take(pa.array(row)).append_column("list", pa.array(found, pa.int32()))
 
     return rows.mapInArrow(run, schema)
@@ -247,24 +268,26 @@ def _true_neighbours(rows: DataFrame, queries: pd.DataFrame, count: int) -> dict
     return {q: matrix(part["vector"]) for q, part in got.groupby("query_id")}
 
 
-def fit_ratio(graph: CentroidGraph, queries: pd.DataFrame, near: dict[int, np.ndarray]) -> float:
-    """The ratio for which ``FIT_RECALL`` of the true neighbours lie in a list that is taken."""
-    needed = []
+def fit_ratio(graph: CentroidGraph, queries: pd.DataFrame, near: dict[int, np.ndarray]) -> tuple[float, int]:
+    """The ratio for which ``FIT_RECALL`` of the true neighbours lie in a list that is taken; and twice the most lists that
+    one of the queries takes by it."""
+    needed, ratios = [], []
     for query, vector in zip(queries["vec_id"], queries["vector"]):
         if query not in near:
             continue
-        at, apart = graph.walk(graph.lifted(matrix([vector])), PROBES)
-        ratio = np.full(len(graph.centers), np.inf)
-        ratio[at[0][at[0] >= 0]] = (apart[0] / max(float(apart[0, 0]), 1e-12))[at[0] >= 0]
+        apart = graph.all_apart(graph.aimed(matrix([vector])))[0]
+        ratio = apart / max(float(apart.min()), 1e-12)
         row, found = graph.lists(near[query], REPLICAS, NEAR)
         least = np.full(len(near[query]), np.inf)
         np.minimum.at(least, row, ratio[found])
         needed.append(least)
+        ratios.append(ratio)
     if not needed:
-        return 1.0
+        return np.inf, len(graph.centers)
     needed = np.sort(np.concatenate(needed))
-    wanted = needed[min(len(needed) - 1, int(np.ceil(FIT_RECALL * len(needed))))]
-    return float(min(wanted, 1e6)) + 1e-6
+    wanted = float(needed[min(len(needed) - 1, int(np.ceil(FIT_RECALL * len(needed))))]) * (1 + 1e-5)
+    most = max(int((r <= wanted).sum()) for r in ratios)
+    return wanted, min(len(graph.centers), max(LEAST_PROBES, 2 * most))
 
 
 def nearest(vectors: DataFrame, is_query: Column, count: int, key: str = "vec_id",
@@ -295,18 +318,19 @@ def nearest(vectors: DataFrame, is_query: Column, count: int, key: str = "vec_id
     base = CentroidGraph(np.zeros((0, 0)), np.zeros((0, 0)), longest)
     points = base.lifted(matrix(sample["vector"]))
     points = points[np.lexsort(points.T)]
-    graph = CentroidGraph.of(balanced_centroids(points, max(1, min(MOST_LISTS, n // LIST_SIZE, len(points)))), longest)
+    wanted = min(MOST_LISTS, round((n * LISTS_SHARE) ** 0.5), len(points))
+    graph = CentroidGraph.of(balanced_centroids(points, max(1, wanted)), longest)
 
     few = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_QUERIES).toPandas()
-    ratio = fit_ratio(graph, few, _true_neighbours(distinct, few, count))
+    ratio, probes = fit_ratio(graph, few, _true_neighbours(distinct, few, count))
 
-    shared = spark.sparkContext.broadcast(graph)  # MOST_LISTS centroids at most
+    shared = spark.sparkContext.broadcast(graph)  # a centroid for each list, of at most SAMPLE vectors
     indexed = staged(_in_lists(distinct, shared, REPLICAS, NEAR), "posting-lists")
-    found = staged(_searched(indexed, _in_lists(queries, shared, PROBES, ratio, LEAST_PROBES), count), "neighbours")
+    found = staged(_searched(indexed, _in_lists(queries, shared, probes, ratio, LEAST_PROBES, asks=True), count), "neighbours")
     reached = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= min(count, n - 1))
     short = queries.join(reached, F.col("vec_id") == F.col("query_id"), "left_anti")
-    if n > 1 and not short.isEmpty():  # as many as there are must be found: look into more lists
-        again = _searched(indexed, _in_lists(short, shared, PROBES, float("inf")), count)
+    if n > 1 and not short.isEmpty():  # as many as there are must be found: look into all lists
+        again = _searched(indexed, _in_lists(short, shared, len(graph.centers), float("inf"), asks=True), count)
         found = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(again)
     return found.select("query_id", "rank", "vec_id", "score")
 

@@ -65,6 +65,42 @@ def test_recall_on_clustered_vectors_with_a_hot_one(spark):
     assert hits / (10 * len(expected)) >= 0.9
 
 
+@pytest.mark.parametrize("varied", [False, True])
+def test_two_thousand_lists(spark, monkeypatch, varied):
+    """Many small lists, vectors of one length or of very different ones, and queries that equal a centroid."""
+    monkeypatch.setattr(posting_lists, "LISTS_SHARE", 200.0)
+    made = []
+    of = posting_lists.balanced_centroids
+    monkeypatch.setattr(posting_lists, "balanced_centroids", lambda x, n: made.append(of(x, n)) or made[-1])
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(200, 16))[draw.integers(0, 200, 20_000)] + 0.4 * draw.normal(size=(20_000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if varied:
+        x *= np.exp(draw.normal(size=(20_000, 1)))
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>").repartition(4)
+    got = posting_lists.nearest(df, F.col("vec_id") % 100 == 0, 20).toPandas()
+    assert len(made[0]) >= 1_900
+    assert (got.groupby("query_id").size() == 20).all() and got["query_id"].nunique() == 200
+    full = x.astype(np.float64)
+    hits = 0
+    for query, part in got.groupby("query_id"):
+        scores = full @ full[query]
+        scores[query] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20]) & set(part["vec_id"]))
+    assert hits / (20 * 200) >= 0.9
+
+
+def test_no_centroid_is_dropped_and_all_lists_are_taken_for_an_infinite_ratio():
+    draw = np.random.default_rng(1)
+    points = draw.normal(size=(3_000, 4)).astype(np.float32)
+    centers = posting_lists.balanced_centroids(points, 500)
+    assert len(centers) >= 500
+    graph = posting_lists.CentroidGraph.of(centers, float(np.linalg.norm(centers, axis=1).max()))
+    row, found = graph.lists(centers[:3, :3], len(centers), float("inf"), asks=True)
+    assert np.bincount(row).tolist() == [len(centers)] * 3
+
+
 def test_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]),
