@@ -28,7 +28,7 @@ from novalake.llm.common import staged
 
 SAMPLE = 20_000
 SAMPLE_FLOATS = 1 << 24
-LISTS_SHARE = 1.0  # lists wanted: the square root of so many times the rows
+LISTS_SHARE = 0.25  # lists wanted: the square root of so many times the rows
 MOST_LISTS = 4_096
 DEGREE = 16
 REPLICAS, NEAR = 4, 1.1
