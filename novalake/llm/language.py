@@ -3,7 +3,8 @@
 Features are hashed 1- to 3-grams of the lower-case text, weighted by TF-IDF with document
 frequencies counted over all training documents. The weights are learned by follow-the-regularised-
 leader with elastic-net penalties on a bounded, stratified sample of whole documents; a part of the
-sample that the learner does not see sets the temperature of the probabilities.
+sample that the learner does not see sets the temperature of the probabilities. A row is predicted from its text alone, so repeated
+rows get the same answer.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from novalake.llm.common import slices, texts_of
@@ -143,31 +144,46 @@ def _document_frequencies(training: DataFrame) -> tuple[int, np.ndarray]:
 
 def train(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id",
           per_language: int = SAMPLE_PER_LANGUAGE, most: int = SAMPLE_DOCS) -> Model:
-    """Learns from documents with text and label that are not held out. About ``per_language``
-    whole documents of each language, ``most`` in all, go to the learner; document frequencies
-    come from all. Without any such document every prediction is ``und``."""
+    """Learns from documents with text and label that are not held out. ``per_language`` whole documents of each
+    language, or an equal share of ``most`` if that is less, go to the learner: those with the least hash, each text
+    once a language however often it is repeated. Document frequencies come from all rows. Without any such document
+    every prediction is ``und``."""
     training = docs.filter(~held_out(key)).select(
         F.col(text).alias("body"), F.col(label).alias("label")
     ).filter(F.col("body").isNotNull() & F.col("label").isNotNull())
-    counts = dict(training.groupBy("label").count().collect())
-    languages = sorted(counts)
+    digest = F.xxhash64("body")
+    texts = dict(training.groupBy("label").agg(F.approx_count_distinct(digest)).collect())
+    languages = sorted(texts)
     if not languages:
         return Model([], np.zeros(BUCKETS), np.zeros((0, BUCKETS)))
     n, frequencies = _document_frequencies(training.select("body"))
     idf = np.log((1 + n) / (1 + frequencies)) + 1
 
-    shares = F.create_map(*(F.lit(x) for c in languages for x in (c, min(1.0, per_language / counts[c]))))
-    drawn = F.pmod(F.xxhash64("body"), F.lit(1 << 30)) < shares[F.col("label")] * (1 << 30)
+    share = max(1, min(per_language, most // len(languages)))
+    rates = F.create_map(*(F.lit(x) for c in languages for x in (c, min(1.0, 2 * share / max(1, texts[c])))))
+    drawn = training.withColumn("digest", digest).filter(
+        F.pmod("digest", F.lit(1 << 30)) < rates[F.col("label")] * (1 << 30))
 
     def featured(batches):
+        seen = set()  # of a sample, so small; copies in other tasks are dropped below
         for batch in slices(batches, "body"):
-            rows = [ngrams(b) for b in texts_of(batch, "body")]
+            keys = list(zip(batch.column("label").to_pylist(), batch.column("digest").to_pylist()))
+            rows = []
+            for key, body in zip(keys, texts_of(batch, "body")):
+                if key not in seen:
+                    seen.add(key)
+                    rows.append((*key, *(a.astype(np.int32) for a in ngrams(body))))
             yield pa.RecordBatch.from_arrays([
-                batch.column("label"), pa.array([r[0].astype(np.int32) for r in rows], pa.list_(pa.int32())),
-                pa.array([r[1].astype(np.int32) for r in rows], pa.list_(pa.int32()))], ["label", "at", "counts"])
-
-    sample = training.filter(drawn).mapInArrow(featured, "label string, at array<int>, counts array<int>")
-    got = sample.limit(most).toPandas()
+                pa.array(column, kind) for column, kind in zip(
+                    zip(*rows) if rows else [()] * 4,
+                    (pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())))],
+                ["label", "digest", "at", "counts"])
+
+    sample = drawn.mapInArrow(featured, "label string, digest bigint, at array<int>, counts array<int>")
+    # the low bits of the hash, which the draw is by, order it too
+    nth = F.row_number().over(Window.partitionBy("label").orderBy(F.pmod("digest", F.lit(1 << 30)), "digest"))
+    sample = sample.dropDuplicates(["label", "digest"]).withColumn("nth", nth).filter(F.col("nth") <= share)
+    got = sample.select("label", "at", "counts").toPandas()
     rows = [(at, weighted(at, c, idf)) for at, c in zip(got["at"], got["counts"])]
     labels = np.array([languages.index(x) for x in got["label"]], np.int64)
     order = np.lexsort(([float(v.sum()) for _, v in rows], [len(a) for a, _ in rows], labels))
