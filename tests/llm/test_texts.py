@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from functools import lru_cache
@@ -21,19 +22,22 @@ from novalake.llm.queries import op3_personal_data, op4_html_text, op8_language,
 
 SF = "/root/testdata/sf0.001"
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 
 def base(text):
     found = [(m.start(), "email", m.end()) for m in EMAIL.finditer(text)]
-    for m in pii.IP.finditer(text):
+    for m in IP.finditer(text):
         if all(int(p) <= 255 for p in m[0].split(".")):
             found.append((m.start(), "ip", m.end()))
-    for m in pii.CARD.finditer(text):
+    for m in CARD.finditer(text):
         digits = [int(c) for c in m[0] if c.isdigit()]
         total = sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits)))
         if 12 <= len(digits) <= 19 and total % 10 == 0:
             found.append((m.start(), "card", m.end()))
-    for m in pii.PHONE.finditer(text):
+    for m in PHONE.finditer(text):
         if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
             found.append((m.start(), "phone", m.end()))
     return sorted(found, key=lambda s: (s[0], pii.KINDS.index(s[1])))
@@ -83,6 +87,47 @@ def test_trees_leave_ordinary_numbers_alone(detector):
         assert detector.spans(text) == [], text
 
 
+def quadratic_spans(detector, text):
+    """Each proposal compared with every span."""
+    def apart(spans, start, end):
+        return all(e <= start or end <= s for s, _, e in spans)
+
+    base, added = pii.base_spans(text), []
+    free = [s for s in pii.proposals(text) if apart(base, s[0], s[2])]
+    likely = [detector.trees.probability(np.array([pii.features(text, *s)]))[0] for s in free]
+    for p, n in sorted((-p, n) for n, p in enumerate(likely)):
+        start, kind, end = free[n]
+        if -p >= detector.least[pii.KINDS.index(kind)] and apart(added, start, end):
+            added.append(free[n])
+    return sorted(base + added, key=lambda s: (s[0], pii.KINDS.index(s[1])))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from([
+    "call 212-555-0123 ", "(386) 555-1832", "+1 (212) 555-0123 ", "john.smith [at] example [dot] com ", "a.b@c.org ",
+    "10.0.0.1", "10[.]0[.]0[.]1 ", "4111 1111 1111 1111 ", "4111.1111.1111.1111", " at ", "7", " ", "\n", "é", ":"]), max_size=25))
+def test_spans_are_those_of_the_plain_way(detector, parts):
+    text = "".join(parts)
+    assert detector.spans(text) == quadratic_spans(detector, text)
+
+
+def test_long_texts_take_time_with_their_length(detector):
+    begun = time.monotonic()
+    lines = "call 212-555-0123 or (386) 555-1832, mail a.b@c.org\n" * 20_000  # 1 MB of proposals
+    assert len(detector.spans(lines)) >= 20_000
+    for text in ("a" * 500_000 + " " + "a" * 400_000 + "@b.c", "7" * 1_000_000 + ".", "1." * 500_000, "@" * 1_000_000):
+        pii.base_spans(text)
+    assert time.monotonic() - begun < 60
+
+
+def test_a_long_text_does_not_take_all_examples(make_docs):
+    mail = "write to some{0}.one{0}@example{0}.org or 10.0.0.{0}"
+    docs = make_docs([(0, "\n".join(f"+1 212 555 0{n:03}" for n in range(800))),
+                      *((n, mail.format(n)) for n in range(1, 60))])
+    trained = pii.train(docs, max_examples=600)
+    assert trained.trees is not None and min(trained.least[:2]) < 2
+
+
 def test_redaction_keeps_rows_and_columns(spark, awkward, make_docs, detector):
     got = pii.redact(awkward, detector)
     assert got.schema == awkward.schema and got.count() == len(AWKWARD)
@@ -233,6 +278,60 @@ def test_language_of_awkward_rows(make_docs, awkward):
     assert language.predict(make_docs([]), model).count() == 0
 
 
+def test_every_language_is_learned(make_docs):
+    """Fifteen languages, one with almost all rows, and another whose rows are mostly copies of one text."""
+    draw = np.random.default_rng(3)
+    vocabulary = {f"l{n:02}": ["".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(40)]
+                  for n in range(15)}
+    rows = []
+    for lang, words in vocabulary.items():
+        for _ in range(600 if lang == "l00" else 20):
+            rows.append((" ".join(draw.choice(words, 12)), lang))
+    rows += [(rows[-1][0], "l14")] * 500
+    docs = make_docs([(n, text, lang) for n, (text, lang) in enumerate(rows)])
+    model = language.train(docs, most=150)
+    assert model.languages == sorted(vocabulary)
+    for lang, words in vocabulary.items():
+        assert model.predict(" ".join(words[:15]))[0] == lang
+
+
+def plain_ftrl(rows, labels, classes, alpha, beta, l1, l2, epochs):
+    """One weight after the other."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(key):
+        if abs(z[key]) <= l1:
+            return 0.0
+        return -math.copysign(abs(z[key]) - l1, z[key]) / ((beta + math.sqrt(n[key])) / alpha + l2)
+
+    order = np.random.default_rng(8)
+    for _ in range(epochs):
+        for r in order.permutation(len(rows)):
+            at, values = rows[r]
+            w = {(c, i): weight((c, i)) for c in range(classes) for i in at}
+            score = [sum(w[c, i] * v for i, v in zip(at, values)) for c in range(classes)]
+            total = sum(math.exp(s) for s in score)
+            for c in range(classes):
+                miss = math.exp(score[c]) / total - (labels[r] == c)
+                for i, v in zip(at, values):
+                    g, key = miss * v, (c, i)
+                    z[key] += g - (math.sqrt(n[key] + g * g) - math.sqrt(n[key])) / alpha * w[key]
+                    n[key] += g * g
+    return {k: weight(k) for k in list(z)}
+
+
+def test_learner_against_a_plain_loop():
+    draw = np.random.default_rng(4)
+    rows = [(np.sort(draw.choice(12, 4, replace=False)), draw.random(4)) for _ in range(60)]
+    labels = np.array([int(at[0]) % 3 for at, _ in rows])
+    got = language.fit(rows, labels, 3, alpha=0.4, beta=1.0, l1=0.05, l2=0.1, epochs=3)
+    want = plain_ftrl(rows, labels, 3, 0.4, 1.0, 0.05, 0.1, 3)
+    assert any(w == 0 for w in want.values()) and any(w != 0 for w in want.values())
+    for (c, i), w in want.items():
+        assert got[c, i] == pytest.approx(w, abs=1e-9)
+    assert np.count_nonzero(got) == sum(w != 0 for w in want.values())
+
+
 def test_temperature_sharpens_and_softens():
     draw = np.random.default_rng(2)
     labels = draw.integers(0, 3, 400)
