@@ -13,8 +13,10 @@ from novalake.queries.shown import comparable
 from novalake.queries.silver_tables import ORACLE as SILVER_ORACLE
 from novalake.queries.silver_tables import detection_sql
 from novalake.session import new_stage_path, prepare
+from novalake.sources.compaction import compact_table
 from novalake.sources.landing import read_landing, write_landing
 from novalake.sources.tables import (
+    TARGET_FILE_BYTES,
     TableSpec,
     append_evolving,
     create_like,
@@ -22,6 +24,7 @@ from novalake.sources.tables import (
     layer_schema,
     read_evolved,
     read_table,
+    stage,
     table_exists,
     upsert_table,
     with_day,
@@ -56,6 +59,24 @@ def append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_evolved(spark, path).select("event_id", "event_type", "value", "props")
 
 
+def compact_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events appended thirty times, then compacted: each type's rows, and its files before and after."""
+    events, path = _events(spark, sf_dir), new_stage_path(spark, "compact")
+    for n in range(30):
+        append_evolving(events.where(f"event_id % 30 = {n}"), path, ["event_type"])
+
+    def files(name: str) -> DataFrame:
+        kept = read_table(spark, path).select("event_type", "_metadata.file_path")
+        return kept.groupBy("event_type").agg(F.count_distinct("file_path").alias(name))
+
+    before = stage(files("files_before"), "files")
+    compact_table(spark, path, TARGET_FILE_BYTES, ["event_id"])
+    rows = read_table(spark, path).groupBy("event_type").agg(
+        F.count("*").alias("n_events"), F.sum("event_id").alias("sum_id"), F.sum("user_id").alias("sum_user"),
+        F.count("props").alias("n_props"))
+    return rows.join(before, "event_type").join(files("files_after"), "event_type")
+
+
 def layer_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table in the schema its layer names, created on demand."""
     layer = layer_schema(" novalake_bronze ", "default")
@@ -204,6 +225,7 @@ def lake_refresh_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "create_empty_like": create_empty_like,
     "append_evolve": append_evolve,
+    "compact_appends": compact_appends,
     "layer_routing": layer_routing,
     "merge_upsert": merged,
     "merge_null_keys": merge_null_keys,
@@ -240,6 +262,9 @@ ORACLE = {
     "append_evolve": """SELECT event_id, event_type, value, CAST(NULL AS VARCHAR) AS props FROM events
 WHERE event_id % 2 = 0 UNION ALL BY NAME
 SELECT event_id, event_type, props FROM events WHERE event_id % 2 = 1""",
+    "compact_appends": """SELECT event_type, count(*) AS n_events, CAST(sum(event_id) AS BIGINT) AS sum_id,
+  CAST(sum(user_id) AS BIGINT) AS sum_user, count(props) AS n_props,
+  count(DISTINCT event_id % 30) AS files_before, CAST(1 AS BIGINT) AS files_after FROM events GROUP BY event_type""",
     "layer_routing": "SELECT event_id, user_id, event_type FROM events",
     "merge_upsert": _merge_sql("o_custkey", "s.o_orderkey = t.o_orderkey"),
     "merge_null_keys": _merge_sql(_nulls, "s.o_orderkey = t.o_orderkey AND s.o_custkey = t.o_custkey"),

@@ -23,6 +23,8 @@ from novalake.operators.combine import match_keys, merge_upsert
 from novalake.operators.dedupe import dedupe_by_key
 from novalake.operators.reshape import AUDIT, with_audit
 from novalake.session import drop_path, new_stage_path
+from novalake.sources.compaction import finish_compactions
+from novalake.sources.files import fs_path
 
 # Wanted size of a table file; folder name of a NULL partition.
 TARGET_FILE_BYTES = 536870912
@@ -71,12 +73,6 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}{where}")
 
 
-def fs_path(spark: SparkSession, path: str):
-    """A path's file system, and the path for it."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a write to the folder was ever committed; leftovers of a failed
     first write do not count."""
@@ -207,6 +203,7 @@ def create_like(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 def append_evolving(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Appends rows that may bring new columns; read with :func:`read_evolved`. Rows of a partition
     are brought together first, else each task would add a file to each partition."""
+    finish_compactions(df.sparkSession, path)
     together = df.hint("rebalance", *partition_by) if partition_by else df
     together.write.mode("append").partitionBy(*partition_by).parquet(path)
 
@@ -353,6 +350,7 @@ def upsert_table(
     """
     path = spec.path(root)
     if table_exists(source.sparkSession, path):
+        finish_compactions(source.sparkSession, path)
         finish_moves(source.sparkSession, root, spec, null_safe)
     with ExitStack() as kept:
         batch = _unique_batch(kept, source, spec, latest, null_safe, staged)
