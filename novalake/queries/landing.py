@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from novalake.fixtures import candidate_alerts, landing_records, table
 from novalake.operators.reshape import drop_prefixed, stack_branches
@@ -23,6 +24,7 @@ from novalake.sources.landing import (
     valid_records,
     write_landing,
 )
+from novalake.sources.lines import ingest_lines, read_lines
 from novalake.sources.manifest import parse_manifest, read_files, read_manifest, verify_checksums
 from novalake.sources.payload import payload_rows, split_payload, with_payload_key, write_payloads
 from novalake.sources.tables import read_evolved
@@ -77,6 +79,28 @@ def tolerant_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def torn_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines, many of them damaged: what is kept, and what is rejected and why."""
+    folder, kept, refused = (new_stage_path(spark, name) for name in ("lines", "kept", "rejects"))
+    line = F.concat(
+        F.when(F.col("event_id") % 7 != 1, F.concat(F.lit('{"event_id":'), "event_id", F.lit(","))).otherwise(F.lit("{")),
+        F.lit('"user_id":'), F.when(F.col("event_id") % 7 == 2, F.lit('"none"')).otherwise(F.col("user_id").cast("string")),
+        F.lit(',"event_type":"'), "event_type", F.lit('"}'))
+    damaged = (
+        F.when(F.col("event_id") % 7 == 0, F.substr(line, F.lit(1), F.length(line) - F.lit(3)))
+        .when(F.col("event_id") % 7 == 3, F.concat(line, line))
+        .when(F.col("event_id") % 7 == 4, F.concat(F.lit("["), line, F.lit("]")))
+        .otherwise(line))
+    table(spark, sf_dir, "events").select(damaged.alias("value")).where("value IS NOT NULL").write.text(folder)
+    schema = StructType.fromDDL("event_id bigint, user_id bigint, event_type string")
+    counts = ingest_lines(read_lines(spark, folder, schema, "event_id", "part-*"), kept, refused).first().asDict()
+    rows = stack_branches([
+        spark.read.parquet(kept).select(F.lit("kept").alias("kind"), "event_id", "user_id", F.lit(None).cast("string").alias("line")),
+        spark.read.parquet(refused).select("reason", F.lit(None).cast("bigint"), F.lit(None).cast("bigint"), "line"),
+    ])
+    return rows.select("*", *(F.lit(n).cast("bigint").alias(name) for name, n in counts.items()))
+
+
 def drop_prefixed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_prefixed(landing_records(spark, sf_dir))
     return comparable(kept.select(
@@ -229,6 +253,7 @@ QUERIES = {
     "landing_round_robin": landing_round_robin,
     "archive_scan": archive_scan,
     "tolerant_read": tolerant_read,
+    "torn_lines": torn_lines,
     "drop_prefixed_columns": drop_prefixed_columns,
     "valid_record_filter": valid_record_filter,
     "valid_rows": valid_rows,
@@ -268,6 +293,17 @@ ORACLE = {
     "landing_round_robin": f"""WITH {A} SELECT observation_date, count(*) AS n_alerts,
   CAST(sum(candid) AS BIGINT) AS sum_candid, true AS few_files FROM a GROUP BY observation_date""",
     "archive_scan": f"WITH {A} SELECT objectid, candid, round(jd, 6) AS jd FROM a",
+    "torn_lines": """WITH l AS (SELECT event_id, user_id, CASE WHEN event_id % 7 <> 1 THEN '{"event_id":' || event_id || ',' ELSE '{' END
+    || '"user_id":' || CASE WHEN event_id % 7 = 2 THEN '"none"' ELSE CAST(user_id AS VARCHAR) END
+    || ',"event_type":"' || event_type || '"}' AS line FROM events),
+r AS (SELECT CASE event_id % 7 WHEN 0 THEN 'torn' WHEN 1 THEN 'no key' WHEN 2 THEN 'wrong type' WHEN 3 THEN 'torn'
+    WHEN 4 THEN 'no record' ELSE 'kept' END AS kind,
+  CASE WHEN event_id % 7 > 4 THEN event_id END AS event_id, CASE WHEN event_id % 7 > 4 THEN user_id END AS user_id,
+  CASE event_id % 7 WHEN 0 THEN line[:-4] WHEN 3 THEN line || line WHEN 4 THEN '[' || line || ']' WHEN 5 THEN NULL WHEN 6 THEN NULL
+    ELSE line END AS line FROM l WHERE line IS NOT NULL)
+SELECT *, count(*) FILTER (kind = 'kept') OVER () AS n_kept, count(*) FILTER (kind = 'torn') OVER () AS n_torn,
+  count(*) FILTER (kind = 'no record') OVER () AS n_no_record, count(*) FILTER (kind = 'wrong type') OVER () AS n_wrong_type,
+  count(*) FILTER (kind = 'no key') OVER () AS n_no_key FROM r""",
     "tolerant_read": f"""SELECT 'read' AS kind, {DAY.replace('k %', 'o_orderkey %')} AS observation_date,
   o_orderkey AS candid FROM orders
 UNION ALL SELECT DISTINCT 'skipped', DATE '2024-01-31', CAST(NULL AS BIGINT) FROM documents""",
