@@ -18,6 +18,7 @@ from novalake.sources.tables import (
     read_table,
     table_exists,
     upsert_table,
+    within_key_range,
     with_day,
     write_clustered,
 )
@@ -273,3 +274,44 @@ def test_a_local_session_without_shared_folder_gets_its_own(spark):
 
     first = shared_dir(Bare)
     assert first.startswith("file:///") and shared_dir(Bare) == first
+
+
+def scanned_rows(df):
+    """Rows the scans of an executed plan brought in."""
+    def scans(node):
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            return scans(node.executedPlan())
+        if node.nodeName().startswith(("ShuffleQueryStage", "BroadcastQueryStage")):
+            return scans(node.plan())
+        if node.nodeName().startswith("Scan parquet"):
+            return [node.metrics().apply("numOutputRows").value()]
+        children = node.children()
+        return [n for i in range(children.size()) for n in scans(children.apply(i))]
+
+    df.collect()
+    return scans(df._jdf.queryExecution().executedPlan())
+
+
+def test_old_rows_are_looked_for_in_the_batchs_range_of_keys(spark, root):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.floor(F.col("id") / 1000).cast("int"))
+    stored = spark.range(20_000).select("id", day.cast("timestamp").alias("ts"), F.lit("a").alias("v"))
+    upsert_table(stored, root, SPEC)
+    table = read_table(spark, SPEC.path(root))
+    moved = spark.range(7_000, 7_010).select("id", F.lit("2024-03-01").cast("timestamp").alias("ts"), F.lit("b").alias("v"))
+    held = tables._rows_to_replace(table, with_day(moved, "ts"), SPEC, False)
+    rows = scanned_rows(held)
+    assert held.count() == 10 and sum(rows) <= 1_010  # one day of twenty, and the batch
+    upsert_table(moved, root, SPEC)
+    got = read_table(spark, SPEC.path(root))
+    assert got.count() == 20_000 and got.where("v = 'b' AND ts_day = '2024-03-01'").count() == 10
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_key_range_holds_every_match(spark, null_safe):
+    rows = spark.sql("SELECT * FROM VALUES (1, 'a', 1.5D), (5, 'b', 2D), (NULL, 'c', 3D), (9, NULL, NULL), (NULL, NULL, NULL) t(i, s, d)")
+    for n, batch_rows in enumerate((rows, rows.where("i IS NULL"), rows.where("i = 5"), rows.limit(0))):
+        condition = within_key_range(batch_rows, ["i", "s", "d"], null_safe)
+        match = lambda df: sorted(map(str, tables.match_keys(df, batch_rows, ["i", "s", "d"], "left_semi", null_safe).collect()))
+        assert match(rows.where(condition)) == match(rows), n
+    assert rows.where(within_key_range(rows.where("i = 5"), ["i"], null_safe)).count() == (3 if null_safe else 1)
+    assert rows.where(within_key_range(rows.where("i = 5"), ["d"], null_safe)).count() == 5
