@@ -18,11 +18,22 @@ from novalake.session import new_stage_path
 BATCH_BYTES = 4 << 20
 # At most so many bytes of flags, one bit for a row, go out at once.
 FLAG_BYTES = 32 << 20
+# Workers live from stage to stage. With these they give large pieces of memory back when they are freed.
+WORKER_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(8 << 20),
+}
 
 
 def shared_code(spark: SparkSession) -> None:
-    """Python workers look for this package where the driver has it, besides their own paths."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    """Python workers look for this package where the driver has it, besides their own paths, and keep no more
+    memory than they use."""
+    environment = spark.sparkContext.environment
+    environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
