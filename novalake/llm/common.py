@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import reduce
 from pathlib import Path
@@ -51,6 +52,14 @@ def staged(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back_memory() -> None:
+    """Returns freed memory of this process to the machine, after a step that needed much more than those that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str,
            limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that ``column`` has about ``limit`` bytes in each (one row at least)."""

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from novalake.llm.common import slices, texts_of
+from novalake.llm.common import give_back_memory, slices, texts_of
 
 BUCKETS = 1 << 14
 SAMPLE_PER_LANGUAGE = 1_200
@@ -183,15 +183,20 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "
     # the low bits of the hash, which the draw is by, order it too
     nth = F.row_number().over(Window.partitionBy("label").orderBy(F.pmod("digest", F.lit(1 << 30)), "digest"))
     sample = sample.dropDuplicates(["label", "digest"]).withColumn("nth", nth).filter(F.col("nth") <= share)
-    got = sample.select("label", "at", "counts").toPandas()
-    rows = [(at, weighted(at, c, idf)) for at, c in zip(got["at"], got["counts"])]
-    labels = np.array([languages.index(x) for x in got["label"]], np.int64)
+    got = sample.select("label", "at", "counts").toArrow()
+    rows = []
+    for at, counts in zip(got["at"], got["counts"]):
+        at = at.values.to_numpy()
+        rows.append((at, weighted(at, counts.values.to_numpy(), idf)))
+    labels = np.array([languages.index(x) for x in got["label"].to_pylist()], np.int64)
     order = np.lexsort(([float(v.sum()) for _, v in rows], [len(a) for a, _ in rows], labels))
     rows, labels = [rows[i] for i in order], labels[order]
     aside = np.arange(len(rows)) % 5 == 4
     learned = [r for r, a in zip(rows, aside) if not a]
     weights = fit(learned, labels[~aside], len(languages))
     scores = np.array([weights[:, at] @ v for (at, v), a in zip(rows, aside) if a])
+    del got, rows, learned
+    give_back_memory()
     return Model(languages, idf, weights, temperature(scores, labels[aside]))
 
 

@@ -285,11 +285,11 @@ def train(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS,
 
     drawn = chosen.mapInArrow(draw, "digest bigint, nth int, label int, x array<double>")
     drawn = drawn.dropDuplicates(["digest", "nth", "label", "x"])
-    got = drawn.orderBy("nth", "digest", "label", "x").limit(max_examples).toPandas()
+    got = drawn.orderBy("nth", "digest", "label", "x").limit(max_examples).toArrow()
     y = got["label"].to_numpy()
     if len(y) < 40 or y.min() == y.max():
         return Detector(None)
-    x = np.stack(got["x"].to_list())
+    x = got["x"].combine_chunks().flatten().to_numpy().reshape(len(y), -1)
     order = np.lexsort((*x.T[::-1], y))  # the same examples in any order give the same trees
     order = order[np.random.default_rng(5).permutation(len(order))]
     x, y = x[order], y[order]
