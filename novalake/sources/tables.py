@@ -25,6 +25,7 @@ from novalake.operators.reshape import AUDIT, with_audit
 from novalake.session import drop_path, new_stage_path
 from novalake.sources.compaction import finish_compactions
 from novalake.sources.files import fs_path
+from novalake.sources.widening import read_widened
 
 # Wanted size of a table file; folder name of a NULL partition.
 TARGET_FILE_BYTES = 536870912
@@ -94,8 +95,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:
-    """All columns any append ever had; NULL where a file lacks one."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """All columns any append ever had, in the widest type one of them had; NULL where a file lacks one."""
+    return read_widened(spark, path)
 
 
 def with_day(df: DataFrame, ts: str | None, day: str = "ts_day") -> DataFrame:
