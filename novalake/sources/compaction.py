@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from novalake.sources.files import fs_path, fs_uri, read_note, write_note
+from novalake.sources.widening import merged_schema
 
 COMPACTING = "_compacting"
 PLAN = "plan.json"
@@ -61,7 +62,7 @@ def compact_table(
         return 0
     names = [fs_uri(spark, name)[1].toString() for group in bins for name in group]
     reader = spark.read.option("recursiveFileLookup", "true")
-    schema = reader.option("mergeSchema", "true").parquet(*names).schema
+    schema = merged_schema(spark, names)
     rows = reader.schema(schema).parquet(*names)
     where = spark.createDataFrame(
         [(name, n) for n, group in enumerate(bins) for name in group], f"_of string, {BIN} int")

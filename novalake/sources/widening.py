@@ -43,16 +43,17 @@ def common_schema(one: StructType, other: StructType, within: str = "") -> Struc
     return StructType(fields + [StructField(f.name, f.dataType, True) for f in theirs.values()])
 
 
-def _merged(spark: SparkSession, files: list[str]) -> StructType:
-    """Schema of some files, oldest first. Files that agree are merged by Spark in one go, the others in halves: a
+def merged_schema(spark: SparkSession, files: list[str]) -> StructType:
+    """Schema of some files, oldest first, without partition columns. Files that agree are merged by Spark in one go, the others in halves: a
     change of type costs about the logarithm of the number of files."""
     try:
-        return spark.read.option("mergeSchema", "true").parquet(*files).schema
+        reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+        return reader.parquet(*files).schema
     except (PySparkException, Py4JJavaError) as error:
         if UNLIKE not in str(error) or len(files) == 1:
             raise
     half = len(files) // 2
-    return common_schema(_merged(spark, files[:half]), _merged(spark, files[half:]))
+    return common_schema(merged_schema(spark, files[:half]), merged_schema(spark, files[half:]))
 
 
 def read_widened(spark: SparkSession, path: str) -> DataFrame:
@@ -66,4 +67,4 @@ def read_widened(spark: SparkSession, path: str) -> DataFrame:
             raise
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     files = listed.load(path).select("path", F.col("modificationTime").alias("at")).orderBy("at", "path").collect()
-    return spark.read.schema(_merged(spark, [f.path for f in files])).parquet(path)
+    return spark.read.schema(merged_schema(spark, [f.path for f in files])).parquet(path)

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql.types import StructType
 
+from novalake.sources.compaction import compact_table
 from novalake.sources.tables import append_evolving, read_evolved
 from novalake.sources.widening import common_schema
 
@@ -32,8 +33,10 @@ def test_three_appends_of_three_types(spark, tmp_path):
         append_evolving(spark.sql(query), path, ["kind"])
     table = read_evolved(spark, path)
     assert dict(table.dtypes) == {"id": "bigint", "v": "double", "s": "struct<x:bigint>", "kind": "string"}
-    got = sorted((r.id, r.v, r.s.x, r.kind) for r in table.collect())
-    assert got == [(1, 0.5, 7, "p"), (3, 1.5, 9, "q"), (5000000000, 2.25, 8, "p")]
+    rows = [(1, 0.5, 7, "p"), (3, 1.5, 9, "q"), (5000000000, 2.25, 8, "p")]
+    assert sorted((r.id, r.v, r.s.x, r.kind) for r in table.collect()) == rows
+    assert compact_table(spark, path, 1 << 20) == 1  # two files of one folder became one
+    assert sorted((r.id, r.v, r.s.x, r.kind) for r in read_evolved(spark, path).collect()) == rows
 
 
 def test_types_without_a_common_one_are_refused(spark, tmp_path):
