@@ -62,29 +62,51 @@ def utc(spark: SparkSession):
 # Temporary folders of local sessions that name none.
 _own_dirs: dict[str, str] = {}
 
+# Folders of cluster sessions in which the driver has found what executors wrote.
+_seen_shared: set[tuple[str, str]] = set()
+PROBE_TASKS = 64
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as named in ``spark.checkpoint.dir``.
+    """The folder all executors share: ``spark.checkpoint.dir``, else what ``setCheckpointDir`` was given, else
+    one in the warehouse, where Spark itself has executors write managed tables.
 
-    Only a local master may fall back to a temporary folder: on a cluster the
-    executors could not read what another machine wrote there.
+    Only a local master may fall back to a temporary folder: executors of a cluster, and of ``local-cluster`` too, may
+    have temporary folders of their own and could not read what another process wrote there.
     """
+    app, master = spark.sparkContext.applicationId, spark.sparkContext.master
     named = spark.conf.get("spark.checkpoint.dir", None)
-    local = spark.sparkContext.master.startswith("local")
-    if named:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(named)
-        if not local and folder.toUri().getScheme() is None:
-            scheme = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
-            if scheme == "file":
-                raise RuntimeError(f"spark.checkpoint.dir is {named}, a folder of each machine's own: "
-                                   "name a shared file system, or file:// for a shared mount")
-        return named.rstrip("/")
-    if not local:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dirs:
-        _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="novalake-")
-    return _own_dirs[app]
+    if master == "local" or master.startswith("local["):
+        if named:
+            return named.rstrip("/")
+        if app not in _own_dirs:
+            _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="novalake-")
+        return _own_dirs[app]
+    if not named:
+        named = spark.sparkContext.getCheckpointDir()
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/novalake-staged"
+    folder = named.rstrip("/")
+    if (app, folder) not in _seen_shared:
+        _require_shared(spark, folder)
+        _seen_shared.add((app, folder))
+    return folder
+
+
+def _require_shared(spark: SparkSession, folder: str) -> None:
+    """Refuses a folder in which the driver does not find a file of each task: tables staged there would lack rows."""
+    path = f"{folder}/probe-{uuid.uuid4().hex}"
+    tasks = min(PROBE_TASKS, spark.sparkContext.defaultParallelism)
+    try:
+        spark.range(0, tasks, 1, tasks).write.parquet(path)
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jvm_path)
+        found = sum(status.getPath().getName().startswith("part-") for status in files)
+    finally:
+        drop_path(spark, path)
+    if found < tasks:
+        raise RuntimeError(f"{folder} is a folder of each machine's own: the driver finds {found} of {tasks} files there "
+                           "that executors wrote; set spark.checkpoint.dir to a folder shared by all of them")
 
 
 def new_stage_path(spark: SparkSession, label: str) -> str:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import Window
@@ -276,6 +277,31 @@ def test_a_local_session_without_shared_folder_gets_its_own(spark):
     assert first.startswith("file:///") and shared_dir(Bare) == first
 
 
+def cluster(spark, app, names, checkpoints=None, written=None):
+    """A session as executors in processes of their own would give it. ``names``: its settings; ``written``: tasks whose
+    files reach the driver's folder."""
+    context = SimpleNamespace(master="local-cluster[3,2,1024]", applicationId=app, defaultParallelism=4,
+                              getCheckpointDir=lambda: checkpoints)
+    made = (lambda *_: spark.range(0, written, 1, written)) if written else spark.range
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, *rest: names.get(key, *rest)), sparkContext=context,
+                           range=made, _jvm=spark._jvm, _jsc=spark._jsc)
+
+
+def test_executors_in_their_own_processes_get_no_temporary_folder(spark, tmp_path):
+    warehouse, named = f"file://{tmp_path}/warehouse", f"{tmp_path}/named"
+    names = {"spark.sql.warehouse.dir": warehouse}
+    assert shared_dir(cluster(spark, "a", names)) == f"{warehouse}/novalake-staged"
+    assert shared_dir(cluster(spark, "b", names, f"file:{tmp_path}/set")) == f"file:{tmp_path}/set"
+    assert shared_dir(cluster(spark, "c", names | {"spark.checkpoint.dir": f"{named}/"})) == named
+    assert list((tmp_path / "named").iterdir()) == []
+
+
+def test_a_folder_that_lacks_files_of_executors_is_refused(spark, tmp_path):
+    names = {"spark.checkpoint.dir": f"file://{tmp_path}/own"}
+    with pytest.raises(RuntimeError, match="finds 1 of 4 files"):
+        shared_dir(cluster(spark, "d", names, written=1))
+
+
 def scanned_rows(df):
     """Rows the scans of an executed plan brought in."""
     def scans(node):
