@@ -13,6 +13,7 @@ from novalake.queries import lake
 
 NAMES = [
     "append_evolve",
+    "archive_scan",
 ]
 
 
