@@ -14,6 +14,7 @@ from novalake.queries import lake
 NAMES = [
     "append_evolve",
     "archive_scan",
+    "bronze_alert",
 ]
 
 
