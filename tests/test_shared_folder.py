@@ -15,6 +15,7 @@ NAMES = [
     "append_evolve",
     "archive_scan",
     "bronze_alert",
+    "bronze_append",
 ]
 
 
