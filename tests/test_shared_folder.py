@@ -16,6 +16,7 @@ NAMES = [
     "archive_scan",
     "bronze_alert",
     "bronze_append",
+    "clustered_write",
 ]
 
 
