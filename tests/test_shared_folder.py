@@ -17,6 +17,7 @@ NAMES = [
     "bronze_alert",
     "bronze_append",
     "clustered_write",
+    "checksum_files",
 ]
 
 
