@@ -18,6 +18,7 @@ NAMES = [
     "bronze_append",
     "clustered_write",
     "checksum_files",
+    "compact_appends",
 ]
 
 
