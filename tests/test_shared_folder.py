@@ -19,6 +19,7 @@ NAMES = [
     "clustered_write",
     "checksum_files",
     "compact_appends",
+    "detection",
 ]
 
 
