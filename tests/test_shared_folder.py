@@ -20,6 +20,7 @@ NAMES = [
     "checksum_files",
     "compact_appends",
     "detection",
+    "create_empty_like",
 ]
 
 
