@@ -21,6 +21,7 @@ NAMES = [
     "compact_appends",
     "detection",
     "create_empty_like",
+    "first_run_create",
 ]
 
 
