@@ -22,6 +22,7 @@ NAMES = [
     "detection",
     "create_empty_like",
     "first_run_create",
+    "lake_bronze_alert",
 ]
 
 
