@@ -23,6 +23,7 @@ NAMES = [
     "create_empty_like",
     "first_run_create",
     "lake_bronze_alert",
+    "lake_backfill",
 ]
 
 
