@@ -24,6 +24,7 @@ NAMES = [
     "first_run_create",
     "lake_bronze_alert",
     "lake_backfill",
+    "lake_crossmatch_gaia",
 ]
 
 
