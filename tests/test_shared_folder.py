@@ -25,6 +25,7 @@ NAMES = [
     "lake_bronze_alert",
     "lake_backfill",
     "lake_crossmatch_gaia",
+    "lake_crossmatch_ss",
 ]
 
 
