@@ -26,6 +26,7 @@ NAMES = [
     "lake_backfill",
     "lake_crossmatch_gaia",
     "lake_crossmatch_ss",
+    "lake_crossmatch_ps1",
 ]
 
 
