@@ -27,6 +27,7 @@ NAMES = [
     "lake_crossmatch_gaia",
     "lake_crossmatch_ss",
     "lake_crossmatch_ps1",
+    "lake_forced_photometry",
 ]
 
 
