@@ -28,6 +28,7 @@ NAMES = [
     "lake_crossmatch_ss",
     "lake_crossmatch_ps1",
     "lake_forced_photometry",
+    "lake_reference",
 ]
 
 
