@@ -29,6 +29,7 @@ NAMES = [
     "lake_crossmatch_ps1",
     "lake_forced_photometry",
     "lake_reference",
+    "lake_non_detection",
 ]
 
 
