@@ -30,6 +30,7 @@ NAMES = [
     "lake_forced_photometry",
     "lake_reference",
     "lake_non_detection",
+    "lake_refresh_two_days",
 ]
 
 
