@@ -31,6 +31,7 @@ NAMES = [
     "lake_reference",
     "lake_non_detection",
     "lake_refresh_two_days",
+    "landing_partition_scan",
 ]
 
 
