@@ -32,6 +32,7 @@ NAMES = [
     "lake_non_detection",
     "lake_refresh_two_days",
     "landing_partition_scan",
+    "landing_ingest",
 ]
 
 
