@@ -33,6 +33,7 @@ NAMES = [
     "lake_refresh_two_days",
     "landing_partition_scan",
     "landing_ingest",
+    "landing_round_robin",
 ]
 
 
