@@ -34,6 +34,7 @@ NAMES = [
     "landing_partition_scan",
     "landing_ingest",
     "landing_round_robin",
+    "nightly_ingest",
 ]
 
 
