@@ -35,6 +35,7 @@ NAMES = [
     "landing_ingest",
     "landing_round_robin",
     "nightly_ingest",
+    "layer_routing",
 ]
 
 
