@@ -25,7 +25,7 @@ from novalake.sources.landing import (
     write_landing,
 )
 from novalake.sources.lines import ingest_lines, read_lines
-from novalake.sources.manifest import parse_manifest, read_files, read_manifest, verify_checksums
+from novalake.sources.manifest import hash_files, parse_manifest, read_manifest, verify_checksums
 from novalake.sources.payload import payload_rows, split_payload, with_payload_key, write_payloads
 from novalake.sources.tables import read_evolved
 
@@ -237,9 +237,9 @@ def checksum_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, manifest = new_stage_path(spark, "files"), new_stage_path(spark, "manifest")
     part = (F.col("doc_id") % 6).cast("int")
     table(spark, sf_dir, "documents").repartitionById(6, part).select("text").write.text(folder)
-    files = read_files(spark, folder, "part-*")
+    files = hash_files(spark, folder, "part-*")
     number = F.regexp_extract("path", "part-([0-9]+)", 1).cast("int")
-    good = F.md5("content")
+    good = F.col("md5")
     wrong = F.when(number % 3 == 0, good).when(number % 3 == 1, F.reverse(good))
     lines = files.select(F.concat(wrong, F.lit("  ./"), F.col("path")).alias("value")).where("value IS NOT NULL")
     lines.coalesce(1).write.text(manifest)

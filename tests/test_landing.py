@@ -17,7 +17,7 @@ from novalake.sources.landing import (
     valid_records,
     write_landing,
 )
-from novalake.sources.manifest import read_files, read_manifest, verify_checksums
+from novalake.sources.manifest import hash_files, read_files, read_manifest, verify_checksums
 from novalake.sources.payload import payload_columns, payload_rows, with_payload_key
 from novalake.sources.tables import read_evolved
 
@@ -104,6 +104,29 @@ def test_checksums_of_real_files(spark, tmp_path):
     }
 
 
+def test_checksums_of_files_beyond_what_a_row_holds(spark, tmp_path):
+    folder = tmp_path / "a b%20"
+    folder.mkdir()
+    (folder / "small 1%.avro.gz").write_bytes(b"\x1f\x8b not unpacked")
+    with (folder / "large.avro").open("wb") as file:  # zeros without room on disk, then two bytes
+        file.seek(2**31)
+        file.write(b"ab")
+    whole = hashlib.md5()
+    for _ in range(2**11):
+        whole.update(bytes(2**20))
+    whole.update(b"ab")
+    got = {r.path.rsplit("/", 1)[1]: r.md5 for r in hash_files(spark, f"file://{folder}").collect()}
+    assert got == {"small 1%.avro.gz": hashlib.md5(b"\x1f\x8b not unpacked").hexdigest(), "large.avro": whole.hexdigest()}
+
+
+def test_checksums_of_a_store_that_only_spark_reads(spark, tmp_path):
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "a.avro").write_bytes(b"aaa")
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.sums.link./in", f"file://{tmp_path}")
+    assert [tuple(r) for r in hash_files(spark, "viewfs://sums/in/x").collect()] == [
+        ("viewfs://sums/in/x/a.avro", hashlib.md5(b"aaa").hexdigest())]
+
+
 def test_bronze_append_keeps_duplicates_and_new_columns(spark):
     path = new_stage_path(spark, "bronze")
     df = spark.createDataFrame([alert(1)], ALERT).select("objectId", "candid", "candidate")
