@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 # Safe to set on any cluster: none of them depends on its size. Executor
@@ -62,8 +65,8 @@ def utc(spark: SparkSession):
 # Temporary folders of local sessions that name none.
 _own_dirs: dict[str, str] = {}
 
-# Folders of cluster sessions in which the driver has found what executors wrote.
-_seen_shared: set[tuple[str, str]] = set()
+# Of cluster sessions and the folders they may use: the first in which the driver has found what executors wrote.
+_seen_shared: dict[tuple[str, ...], str] = {}
 PROBE_TASKS = 64
 
 
@@ -72,7 +75,8 @@ def shared_dir(spark: SparkSession) -> str:
     one in the warehouse, where Spark itself has executors write managed tables.
 
     Only a local master may fall back to a temporary folder: executors of a cluster, and of ``local-cluster`` too, may
-    have temporary folders of their own and could not read what another process wrote there.
+    have temporary folders of their own and could not read what another process wrote there. For the same reason
+    a cluster passes over a folder, named or not, that turns out to be each machine's own.
     """
     app, master = spark.sparkContext.applicationId, spark.sparkContext.master
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -82,15 +86,26 @@ def shared_dir(spark: SparkSession) -> str:
         if app not in _own_dirs:
             _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="novalake-")
         return _own_dirs[app]
-    if not named:
-        named = spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/novalake-staged"
-    folder = named.rstrip("/")
-    if (app, folder) not in _seen_shared:
-        _require_shared(spark, folder)
-        _seen_shared.add((app, folder))
-    return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    given = [named, spark.sparkContext.getCheckpointDir(), warehouse and f"{warehouse.rstrip('/')}/novalake-staged"]
+    folders = [folder.rstrip("/") for folder in given if folder]
+    if (app, *folders) not in _seen_shared:
+        _seen_shared[app, *folders] = _first_shared(spark, folders)
+    return _seen_shared[app, *folders]
+
+
+def _first_shared(spark: SparkSession, folders: list[str]) -> str:
+    refused: list[Exception] = []
+    for folder in folders:
+        try:
+            _require_shared(spark, folder)
+        except (RuntimeError, PySparkException, Py4JJavaError) as error:
+            refused.append(error)
+            continue
+        if refused:
+            warnings.warn(f"tables are staged in {folder}: {refused[0]}")
+        return folder
+    raise refused[0]
 
 
 def _require_shared(spark: SparkSession, folder: str) -> None:

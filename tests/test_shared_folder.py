@@ -65,3 +65,36 @@ def test_query_without_named_folder(spark, con, warehouse, lakes, monkeypatch, n
     monkeypatch.setattr(lake, "_lakes", lakes)
     assert difference(spark, con, QUERIES[name], SQL[name], SF_DIR) is None
     assert (warehouse / "novalake-staged").is_dir()
+
+
+# The same, with a named folder that is each machine's own.
+NAMED_APART = [
+    "archive_scan",
+]
+
+
+@pytest.fixture(scope="module")
+def own_lakes():
+    return {}
+
+
+@pytest.mark.parametrize("name", NAMED_APART)
+@pytest.mark.filterwarnings("ignore:tables are staged in")
+def test_query_with_named_folder_of_each_machine(spark, con, warehouse, own_lakes, monkeypatch, name):
+    own = f"file://{warehouse}/own"
+    given, theirs = {"spark.checkpoint.dir": own, "spark.sql.warehouse.dir": f"file://{warehouse}"}, RuntimeConfig.get
+    tried = session._require_shared
+
+    def refuse(spark, folder):
+        if folder == own:
+            raise RuntimeError(f"{folder} is a folder of each machine's own")
+        tried(spark, folder)
+
+    monkeypatch.setattr(RuntimeConfig, "get", lambda self, key, *rest: given[key] if key in given else theirs(self, key, *rest))
+    monkeypatch.setattr(SparkContext, "getCheckpointDir", lambda self: None)
+    monkeypatch.setattr(spark.sparkContext, "master", "local-cluster[3,2,1024]")
+    monkeypatch.setattr(session, "_seen_shared", {})
+    monkeypatch.setattr(session, "_require_shared", refuse)
+    monkeypatch.setattr(lake, "_lakes", own_lakes)
+    assert difference(spark, con, QUERIES[name], SQL[name], SF_DIR) is None
+    assert not (warehouse / "own").exists()

@@ -302,6 +302,21 @@ def test_a_folder_that_lacks_files_of_executors_is_refused(spark, tmp_path):
         shared_dir(cluster(spark, "d", names, written=1))
 
 
+def test_a_named_folder_of_each_machine_is_passed_over(spark, tmp_path):
+    session = cluster(spark, "e", {"spark.checkpoint.dir": f"file://{tmp_path}/own", "spark.sql.warehouse.dir": f"file://{tmp_path}/house"})
+    session.range = lambda start, end, step, tasks: spark.range(0, 1 if not (tmp_path / "own").exists() else tasks, 1, tasks)
+    with pytest.warns(UserWarning, match="/own is a folder of each machine's own"):
+        assert shared_dir(session) == f"file://{tmp_path}/house/novalake-staged"
+    assert shared_dir(session) == f"file://{tmp_path}/house/novalake-staged"  # tried once
+
+
+def test_a_folder_that_cannot_be_written_is_passed_over(spark, tmp_path):
+    (tmp_path / "file").touch()
+    names = {"spark.checkpoint.dir": f"file://{tmp_path}/file/own", "spark.sql.warehouse.dir": f"file://{tmp_path}/house"}
+    with pytest.warns(UserWarning, match="tables are staged in"):
+        assert shared_dir(cluster(spark, "f", names)) == f"file://{tmp_path}/house/novalake-staged"
+
+
 def scanned_rows(df):
     """Rows the scans of an executed plan brought in."""
     def scans(node):
