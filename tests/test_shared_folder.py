@@ -70,6 +70,7 @@ def test_query_without_named_folder(spark, con, warehouse, lakes, monkeypatch, n
 # The same, with a named folder that is each machine's own.
 NAMED_APART = [
     "archive_scan",
+    "bronze_alert",
 ]
 
 
