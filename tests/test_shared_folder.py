@@ -71,6 +71,7 @@ def test_query_without_named_folder(spark, con, warehouse, lakes, monkeypatch, n
 NAMED_APART = [
     "archive_scan",
     "bronze_alert",
+    "bronze_append",
 ]
 
 
