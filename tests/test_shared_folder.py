@@ -72,6 +72,7 @@ NAMED_APART = [
     "archive_scan",
     "bronze_alert",
     "bronze_append",
+    "clustered_write",
 ]
 
 
