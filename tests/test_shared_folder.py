@@ -73,6 +73,7 @@ NAMED_APART = [
     "bronze_alert",
     "bronze_append",
     "clustered_write",
+    "checksum_files",
 ]
 
 
