@@ -74,6 +74,7 @@ NAMED_APART = [
     "bronze_append",
     "clustered_write",
     "checksum_files",
+    "compact_appends",
 ]
 
 
