@@ -75,6 +75,7 @@ NAMED_APART = [
     "clustered_write",
     "checksum_files",
     "compact_appends",
+    "detection",
 ]
 
 
