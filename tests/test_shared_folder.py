@@ -77,6 +77,7 @@ NAMED_APART = [
     "compact_appends",
     "detection",
     "create_empty_like",
+    "first_run_create",
 ]
 
 
