@@ -79,6 +79,7 @@ NAMED_APART = [
     "create_empty_like",
     "first_run_create",
     "landing_partition_scan",
+    "landing_ingest",
 ]
 
 
