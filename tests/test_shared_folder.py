@@ -81,6 +81,7 @@ NAMED_APART = [
     "landing_partition_scan",
     "landing_ingest",
     "landing_round_robin",
+    "nightly_ingest",
 ]
 
 
