@@ -82,6 +82,7 @@ NAMED_APART = [
     "landing_ingest",
     "landing_round_robin",
     "nightly_ingest",
+    "layer_routing",
 ]
 
 
