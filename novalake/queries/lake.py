@@ -181,9 +181,10 @@ _lakes: dict[tuple[str, str], str] = {}
 
 
 def _filled_lake(spark: SparkSession, sf_dir: str) -> str:
-    """Landing files to bronze and all silver tables; once for a session and its data."""
+    """Landing files to bronze and all silver tables; once for a session and its data, as long as nobody deletes them."""
     built = (spark.sparkContext.applicationId, sf_dir)
-    if built not in _lakes:
+    tables = (BRONZE_ALERT, *SILVER.values())
+    if built not in _lakes or not all(table_exists(spark, spec.path(_lakes[built])) for spec in tables):
         root = new_stage_path(spark, "lake")
         backfill(spark, _landed(spark, sf_dir), root, "2024-01-01", "2024-01-30")
         _lakes[built] = root

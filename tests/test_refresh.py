@@ -13,7 +13,8 @@ from novalake.plans.refresh import (
     refresh_day,
     upsert_detections,
 )
-from novalake.session import new_stage_path
+from novalake.queries import lake
+from novalake.session import drop_path, new_stage_path
 from novalake.sources.landing import batch_of, valid_records
 from novalake.sources.tables import read_table
 
@@ -120,3 +121,17 @@ def test_layers_are_created_on_demand(spark):
     prepare_layers(spark, root, " my_bronze ")
     names = {r[0] for r in spark.sql("SHOW NAMESPACES").collect()}
     assert {"my_bronze", "silver"} <= names
+
+
+def test_a_lake_of_the_queries_that_was_deleted_is_made_again(spark, monkeypatch):
+    def fill(spark, landing, root, first, last):
+        for spec in (BRONZE_ALERT, *SILVER.values()):
+            spark.range(1).write.parquet(spec.path(root))
+
+    monkeypatch.setattr(lake, "_lakes", {})
+    monkeypatch.setattr(lake, "_landed", lambda spark, sf_dir: None)
+    monkeypatch.setattr(lake, "backfill", fill)
+    root = lake._filled_lake(spark, "x")
+    assert lake._filled_lake(spark, "x") == root
+    drop_path(spark, SILVER["reference"].path(root))
+    assert lake._filled_lake(spark, "x") != root
