@@ -84,6 +84,7 @@ NAMED_APART = [
     "nightly_ingest",
     "layer_routing",
     "lake_bronze_alert",
+    "lake_backfill",
 ]
 
 
