@@ -89,6 +89,7 @@ NAMED_APART = [
     "lake_crossmatch_ss",
     "lake_crossmatch_ps1",
     "lake_forced_photometry",
+    "lake_reference",
 ]
 
 
