@@ -128,7 +128,10 @@ def new_stage_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder, dropped when the driver JVM ends, or before by :func:`drop_path`."""
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(jvm_path)  # Hadoop notes only what exists, and drops what is there in the end
+    fs.deleteOnExit(jvm_path)
+    fs.delete(jvm_path, True)
     return path
 
 

@@ -10,6 +10,7 @@ from test_oracle import QUERIES, SF_DIR, SQL
 
 from novalake import session
 from novalake.queries import lake
+from novalake.sources.files import fs_path
 
 NAMES = [
     "append_evolve",
@@ -120,3 +121,12 @@ def test_query_with_named_folder_of_each_machine(spark, con, warehouse, own_lake
     monkeypatch.setattr(lake, "_lakes", own_lakes)
     assert difference(spark, con, QUERIES[name], SQL[name], SF_DIR) is None
     assert not (warehouse / "own").exists()
+
+
+def test_staged_folder_goes_with_the_session(spark):
+    path = session.new_stage_path(spark, "staged")
+    fs, folder = fs_path(spark, path)
+    assert not fs.exists(folder)
+    spark.range(3).write.parquet(path)
+    assert fs.cancelDeleteOnExit(folder)  # it was noted to be dropped
+    session.drop_path(spark, path)
