@@ -11,12 +11,16 @@ The field expressions are SQL over ``k`` (order key), ``c`` (customer key),
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from novalake.schemas import ALERT, CANDIDATE, FORCED, HISTORY, LANDING
 from novalake.session import prepare
+from novalake.sources.landing import dealt_by_date
+from novalake.sources.tables import estimated_bytes
 
 JD = "(2460310.5::DOUBLE + (k % 30) + (k % 8640) / 8640::DOUBLE)"
 DAY = "(DATE '2024-01-01' + CAST(k % 30 AS INTEGER))"
@@ -142,20 +146,31 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidate_alerts(spark, sf_dir).unionByName(history_packets(spark, sf_dir))
 
 
-def listed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One alert per order, each with a list of four history elements (one twice)."""
+def listed_alerts(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """One alert per order, each with a list of four history elements (one twice).
+
+    ``dealt`` brings the nights together for :func:`write_landing` while the rows are still those of the orders,
+    a hundredth of an alert in bytes.
+    """
     orders = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey AS k", "o_custkey AS c", "o_totalprice AS price"
+        "o_orderkey AS k", "o_custkey AS c", "o_totalprice AS price", f"{DAY} AS observation_date"
     )
-    element = _record_sql(HISTORY_SQL, HISTORY)
-    numbers = "array(1L, 2L, 3L, 2L)"
+    if dealt:
+        orders = dealt_by_date(orders, estimated_bytes(_listed(orders)), "k")
+    return _listed(orders)
+
+
+def _listed(orders: DataFrame) -> DataFrame:
+    def element(n: int) -> Column:
+        return _record({name: re.sub(r"\bn\b", f"{n}L", sql) for name, sql in HISTORY_SQL.items()}, HISTORY)
+
     return orders.select(
         F.expr(OBJECT_ID).alias("objectId"),
         F.col("k").alias("candid"),
         _record(CANDIDATE_SQL, CANDIDATE).alias("candidate"),
-        F.expr(f"transform({numbers}, n -> {element})").alias("prv_candidates"),
+        F.array(*map(element, (1, 2, 3, 2))).alias("prv_candidates"),
         F.array(_record(LISTED_FORCED_SQL, FORCED)).alias("fp_hists"),
-        F.expr(DAY).alias("observation_date"),
+        "observation_date",
     )
 
 

@@ -16,7 +16,7 @@ from novalake.operators.dedupe import dedupe_by_key
 from novalake.operators.reshape import AUDIT
 from novalake.plans import silver
 from novalake.plans.flow import AT_ONCE, build_all
-from novalake.session import utc
+from novalake.session import tidy, utc
 from novalake.sources.landing import batch_of, valid_records
 from novalake.sources.ledger import Ledger, fingerprint
 from novalake.sources.tables import (
@@ -26,6 +26,7 @@ from novalake.sources.tables import (
     held,
     layer_schema,
     read_table,
+    scans_parquet,
     table_exists,
     upsert_table,
 )
@@ -154,7 +155,7 @@ def refresh_day(
     def stored_alerts() -> DataFrame:
         return batch_of(read_table(spark, BRONZE_ALERT.path(root), landing.schema), date)
 
-    with utc(spark), ExitStack() as kept:
+    with utc(spark), tidy(spark), ExitStack() as kept:
         steps = {"alert": bronze} | _silver_steps(stored_alerts, root, (), keep_richer, kept)
         build_all(spark, NEEDS, {name: partial(step, None) for name, step in steps.items()}, at_once)
 
@@ -170,21 +171,24 @@ def backfill(
 ) -> None:
     """A range of dates in one pass per table; same tables as the loop over days.
 
-    Rows meet only rows of their own date, and per key the latest date wins. The alerts are staged
-    once, without repeats within a date; all tables read that copy, column by column. It goes with the run.
+    Rows meet only rows of their own date, and per key the latest date wins. All tables read the alerts column by column:
+    from the landing files where these are Parquet and no alert comes twice within a date, else from a copy that is staged
+    once, without repeats, and goes with the run.
 
     A run that stops is taken up by the next call with the same dates and the same landing files: tables that its
     ledger has as done are left as they are, one that was being written is written again, as if for the first time.
     """
     per, keys = silver.BATCH, [*silver.BATCH, "candid"]
-    with utc(spark), ExitStack() as kept:
+    with utc(spark), tidy(spark), ExitStack() as kept:
         batch = batch_of(landing, first, last or "9999-12-31")
         mark = fingerprint(batch, keys)
         ledger = Ledger(spark, root, f"{first}_{last or 'open'}_{mark}{'_richer' * keep_richer}")
         alerts = valid_records(batch)
-        if has_duplicates(alerts, keys):
+        repeated = has_duplicates(alerts, keys)
+        if repeated:
             alerts = dedupe_by_key(alerts, keys)
-        alerts = kept.enter_context(held(alerts, "backfill"))
+        if repeated or not scans_parquet(alerts):
+            alerts = kept.enter_context(held(alerts, "backfill"))
 
         def bronze(stamp: dt.datetime | None) -> None:
             newest = alerts

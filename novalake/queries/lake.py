@@ -172,8 +172,8 @@ def clustered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, alerts = new_stage_path(spark, "landing"), listed_alerts(spark, sf_dir)
-    write_landing(alerts, path)
+    path, alerts = new_stage_path(spark, "landing"), listed_alerts(spark, sf_dir, dealt=True)
+    write_landing(alerts, path, dealt=True)
     return read_landing(spark, path, "parquet", alerts.schema)
 
 

@@ -51,15 +51,28 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 @contextmanager
-def utc(spark: SparkSession):
-    """UTC for the jobs inside; afterwards the caller's time zone holds again."""
-    key = "spark.sql.session.timeZone"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "UTC")
+def _setting(spark: SparkSession, key: str, value: str):
+    """A setting for the jobs inside; afterwards the caller's holds again."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def utc(spark: SparkSession):
+    """UTC for the jobs inside; afterwards the caller's time zone holds again."""
+    return _setting(spark, "spark.sql.session.timeZone", "UTC")
+
+
+def tidy(spark: SparkSession):
+    """Jobs inside delete their shuffle files when they end. Else these stay until the driver happens to collect its garbage: the
+    shuffles of a run of many jobs would lie on the disks together."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 # Temporary folders of local sessions that name none.

@@ -98,16 +98,28 @@ def record_counts(df: DataFrame, payload_prefix: str = "cutout") -> DataFrame:
     return df.agg(*count_columns(df, payload_prefix))
 
 
+# Of Spark's estimate of the records so many bytes go to a task.
+DEALT_BYTES = 16777216
+
+
+def dealt_by_date(rows: DataFrame, size: int, *then: str) -> DataFrame:
+    """Rows dealt to tasks by date, and within a date by ``then``, sorted by date: what :func:`write_landing` needs, done before
+    narrow rows become records of ``size`` bytes. A hot date is split over tasks and small dates are not."""
+    columns = ["observation_date", *then]
+    return rows.repartitionByRange(-(-size // DEALT_BYTES) or 1, *columns).sortWithinPartitions(*columns)
+
+
 def write_landing(
-    df: DataFrame, path: str, files: int | None = None, fmt: str = "parquet"
+    df: DataFrame, path: str, files: int | None = None, fmt: str = "parquet", dealt: bool = False
 ) -> None:
     """Writes the landing folders of the dates in ``df``, replacing those dates.
 
     ``files`` deals the records round-robin onto that many files per date, as
     for one night. Without it, adaptive execution sizes the files: a hot date
     is split over tasks and small dates are not, which suits a backfill.
+    ``dealt`` says that the rows come from :func:`dealt_by_date`: whole records are not shuffled again.
     """
-    spread = df.repartition(files) if files else df.hint("rebalance", "observation_date")
+    spread = df if dealt else df.repartition(files) if files else df.hint("rebalance", "observation_date")
     (
         spread.write.format(fmt).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

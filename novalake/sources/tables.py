@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 from functools import reduce
@@ -31,6 +31,8 @@ from novalake.sources.widening import read_widened
 TARGET_FILE_BYTES = 536870912
 # A write below the target size is still shared by up to so many tasks, if each gets as many bytes.
 LEAST_TASKS, LEAST_TASK_BYTES = 8, 16777216
+# A large batch of a run with a ledger is written in rounds, each of about so many stored bytes to a task.
+ROUND_TASK_BYTES = 67108864
 # Up to so many ranges a row is compared with their bounds; beyond, Spark's own range exchange is used.
 OWN_RANGES = 512
 SAMPLED_PER_RANGE = 100
@@ -119,9 +121,25 @@ def stored_bytes(scan: DataFrame) -> int:
     return files.agg(F.sum("file_size")).first()[0] or 0
 
 
-def range_count(size: int, target_file_bytes: int) -> int:
-    """Into how many files of the target size so many bytes go, or tasks if they fill no file."""
-    return max(1, -(-size // target_file_bytes), min(LEAST_TASKS, -(-size // LEAST_TASK_BYTES)))
+def scans_parquet(df: DataFrame) -> bool:
+    """Whether the rows are those of Parquet files, filtered at most: then a copy of them saves nothing."""
+    try:
+        df.select("_metadata.row_index")  # only Parquet files have it
+    except AnalysisException:
+        return False
+    return True
+
+
+def full_waves(tasks: int, cores: int) -> int:
+    """More tasks than cores come in waves; so many leave no core idle in the last one."""
+    return tasks if tasks <= cores else -(-tasks // cores) * cores
+
+
+def range_count(size: int, target_file_bytes: int, cores: int = 1, least: int = LEAST_TASKS) -> int:
+    """Into how many files of the target size so many bytes go, or ``least`` tasks if they fill no file. Tasks beyond ``cores`` are
+    rounded up to full waves, if each still gets enough bytes."""
+    files, most = max(1, -(-size // target_file_bytes)), -(-size // LEAST_TASK_BYTES)
+    return max(files, min(full_waves(max(files, least), cores), most))
 
 
 def _bounds(keys: DataFrame, ranges: int) -> list[tuple]:
@@ -180,12 +198,13 @@ def write_clustered(
     dynamic: bool = False,
     size: int | None = None,
     keys: DataFrame | None = None,
+    least: int = LEAST_TASKS,
 ) -> None:
     """Writes files of about the target size. ``size`` is the number of bytes to be written, as stored;
-    without it Spark's estimate for the plan is taken."""
+    without it Spark's estimate for the plan is taken. ``least`` tasks share what fills fewer files."""
     if size is None:
         size = estimated_bytes(df)
-    ranges = range_count(size, target_file_bytes)
+    ranges = range_count(size, target_file_bytes, df.sparkSession.sparkContext.defaultParallelism, least)
     (
         clustered(df, partition_by, order_by, ranges, keys)
         .write.mode("overwrite")
@@ -246,6 +265,24 @@ def _partition_folders(df: DataFrame, columns: Sequence[str]) -> set[str]:
     return {row.folder for row in found.collect()}
 
 
+def _rounds(scans: Sequence[DataFrame], parts: Sequence[str], most: int) -> list[tuple[int, list[str]]]:
+    """Table partitions in groups of about ``most`` stored bytes, a larger one alone, and the bytes of each. No groups if files hold
+    rows of several partitions, since every round would read them again, or if the rows are not those of files."""
+    try:
+        files = reduce(DataFrame.unionAll, (
+            scan.select(_partition_folder(parts).alias("folder"), "_metadata.file_path", "_metadata.file_size")
+            for scan in scans)).distinct()
+    except AnalysisException:
+        return []
+    if has_duplicates(files, ["file_path"]):
+        return []
+    groups: list[tuple[int, list[str]]] = []
+    for folder, size in sorted(map(tuple, files.groupBy("folder").agg(F.sum("file_size")).collect())):
+        filled, folders = groups.pop() if groups and groups[-1][0] + size <= most else (0, [])
+        groups.append((filled + size, [*folders, folder]))
+    return groups
+
+
 def _file_folders(table: DataFrame) -> list[str]:
     """URIs of the folders the files of ``table`` lie in."""
     folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
@@ -374,7 +411,9 @@ def upsert_table(
     columns; ``evolve`` reads every file's schema and keeps the columns of both.
 
     ``stamp`` is the audit time of the batch. Stored rows that bear it come from an earlier, broken attempt at the
-    same batch and are replaced, whatever their keys.
+    same batch and are replaced, whatever their keys. A large batch with a stamp that lies in folders of the table's partitions
+    is written some partitions at a time, so that shuffle and spill files of only these are on the disks; after a stop in
+    between, the next attempt with that stamp puts the table right.
     """
     path = spec.path(root)
     if table_exists(source.sparkSession, path):
@@ -395,8 +434,20 @@ def _upsert(
     if audit:
         batch = with_audit(batch, at=stamp)
     size = stored_bytes(stored)
+    cores = spark.sparkContext.defaultParallelism
+    tasks = full_waves(max(LEAST_TASKS, cores), cores)
+
+    def rounds(size: int, *scans: DataFrame) -> list[tuple[dict, Callable[[DataFrame], DataFrame]]]:
+        """How each round is written, and what takes its rows: all rows in one, unless they are many and a stopped run would be taken up."""
+        groups = []
+        if stamp and audit and size > ROUND_TASK_BYTES * tasks:
+            groups = _rounds(scans, parts, ROUND_TASK_BYTES * tasks)
+        return [({"size": share, "least": tasks}, lambda rows, group=group: rows.where(_partition_folder(parts).isin(group)))
+                for share, group in groups] or [({"size": size}, lambda rows: rows)]
+
     if not table_exists(spark, path):
-        write_clustered(batch, path, parts, spec.order_by, size=size, keys=stored)
+        for n, (how, some) in enumerate(rounds(size, stored)):
+            write_clustered(some(batch), path, parts, spec.order_by, dynamic=n > 0, keys=some(stored), **how)
         return
 
     table = read_evolved(spark, path) if evolve else read_table(spark, path, batch.schema)
@@ -421,10 +472,11 @@ def _upsert(
     touched = in_folders(new | old)
     note = _note_moves(spark, path, stale) if stale else None
     earlier = touched.where(~F.col(AUDIT).eqNullSafe(F.lit(stamp))) if stamp and audit else touched
-    write_clustered(
-        merge_upsert(earlier, batch, keys, null_safe), path, parts, spec.order_by, dynamic=True,
-        size=size + stored_bytes(touched), keys=touched.select(*columns).unionByName(stored.select(*columns)),
-    )
+    # a row and the one it replaces may lie in partitions of two rounds, so each round meets the keys of the whole batch
+    merged = merge_upsert(earlier, batch, keys, null_safe)
+    places = touched.select(*columns).unionByName(stored.select(*columns))
+    for how, some in rounds(size + stored_bytes(touched), stored, touched):
+        write_clustered(some(merged), path, parts, spec.order_by, dynamic=True, keys=some(places), **how)
     _delete_folders(spark, stale)
     if note:
         fs, file = fs_path(spark, note)

@@ -174,3 +174,35 @@ def test_a_broken_write_is_replaced_whatever_its_keys(spark, monkeypatch):
     assert tables.table_exists(spark, spec.path(root)) and not ledger.is_done("t")
     ledger.finish("t")
     assert Ledger(spark, root, "run").is_done("t")
+
+
+def held_labels(spark, monkeypatch, landing):
+    """What a backfill stages before it builds tables, and whether its shuffle files go with each query."""
+    labels, theirs, key = [], refresh.held, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def noting(df, label):
+        labels.append(label)
+        return theirs(df, label)
+
+    with monkeypatch.context() as watched:
+        watched.setattr(refresh, "held", noting)
+        watched.setattr(refresh, "build_all", lambda *_: labels.append(spark.conf.get(key)))
+        backfill(spark, landing, new_stage_path(spark, "lake"), *DATES)
+    return labels
+
+
+def test_parquet_landing_files_are_read_where_they_lie(spark, monkeypatch):
+    landing = landed(spark)
+    assert held_labels(spark, monkeypatch, landing) == ["true"]
+    assert held_labels(spark, monkeypatch, landing.localCheckpoint()) == ["backfill", "true"]
+    twice = landed(spark, alert(2, obj="B", date=DATES[0], rfid=None))
+    assert held_labels(spark, monkeypatch, twice) == ["backfill", "true"]
+
+
+def test_landing_read_where_it_lies_gives_the_same_lake(spark, small_jobs, monkeypatch):
+    landing, direct, staged = landed(spark), new_stage_path(spark, "direct"), new_stage_path(spark, "staged")
+    monkeypatch.setattr(tables, "ROUND_TASK_BYTES", 1)  # and in rounds
+    backfill(spark, landing, direct, *DATES)
+    monkeypatch.undo()
+    backfill(spark, landing.localCheckpoint(), staged, *DATES)
+    assert content(spark, direct) == content(spark, staged)

@@ -5,11 +5,14 @@ import hashlib
 from conftest import alert
 from pyspark.sql import functions as F
 
+from novalake.fixtures import listed_alerts
 from novalake.plans.bronze import append_bronze, bronze_job, ingest_landing, ingest_night
 from novalake.schemas import ALERT, LANDING
 from novalake.session import new_stage_path
 from novalake.sources.landing import (
+    DEALT_BYTES,
     batch_of,
+    dealt_by_date,
     read_archive,
     read_landing,
     record_counts,
@@ -59,6 +62,24 @@ def test_ingest_replaces_a_date_and_prunes_by_it(spark):
     assert day.count() == 2 and batch_of(landing, "2024-01-02").count() == 0
 
 
+def test_rows_dealt_by_date_are_not_shuffled_as_records(spark):
+    path = new_stage_path(spark, "landing")
+    ids = spark.range(1200).select("id", F.expr("DATE '2024-01-01' + CAST(id % 1200 >= 1000 AS INT)").alias("observation_date"))
+    dealt = dealt_by_date(ids, 4 * DEALT_BYTES, "id")
+    assert dealt.rdd.getNumPartitions() == 4
+    records = dealt.select(F.col("id").alias("candid"), F.struct("id").alias("candidate"), "observation_date")
+    write_landing(records, path, dealt=True)
+    files = spark.read.parquet(path).groupBy("observation_date", "_metadata.file_path").count().collect()
+    assert sum(f["count"] for f in files) == 1200 and len(files) <= 5  # the hot date is split, small ones share a task
+    assert sum(str(f.observation_date) == "2024-01-01" for f in files) >= 3
+
+
+def test_listed_alerts_are_the_same_when_dealt(spark):
+    one, other = (listed_alerts(spark, "/root/testdata/sf0.001", dealt) for dealt in (False, True))
+    assert one.schema == other.schema and one.count() == other.count() > 0
+    assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
 def test_round_robin_fills_files_evenly(spark):
     path = new_stage_path(spark, "landing")
     rows = spark.createDataFrame([alert(1, obj="hot")], ALERT).crossJoin(spark.range(400)).drop("id")

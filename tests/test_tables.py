@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import datetime as dt
+import time
 from dataclasses import replace
 from types import SimpleNamespace
 
@@ -356,3 +358,87 @@ def test_key_range_holds_every_match(spark, null_safe):
         assert match(rows.where(condition)) == match(rows), n
     assert rows.where(within_key_range(rows.where("i = 5"), ["i"], null_safe)).count() == (3 if null_safe else 1)
     assert rows.where(within_key_range(rows.where("i = 5"), ["d"], null_safe)).count() == 5
+
+
+STAMP = dt.datetime(2024, 5, 1, tzinfo=dt.timezone.utc)
+
+
+def in_folders(spark, path, *rows):
+    """A batch that is stored by day, as landing files are."""
+    with_day(batch(spark, *rows), "ts").write.partitionBy("ts_day").parquet(path)
+    return spark.read.parquet(path)
+
+
+def noted_writes(monkeypatch, fail_at=None):
+    """Counts the writes from now on; one of them may fail."""
+    writes, theirs = [], tables.write_clustered
+
+    def write(*args, **how):
+        if len(writes) == fail_at:
+            raise RuntimeError("stopped")
+        writes.append(how)
+        theirs(*args, **how)
+
+    monkeypatch.setattr(tables, "write_clustered", write)
+    return writes
+
+
+def test_a_large_batch_is_written_in_rounds(spark, root, monkeypatch):
+    monkeypatch.setattr(tables, "ROUND_TASK_BYTES", 1)
+    writes = noted_writes(monkeypatch)
+    first = in_folders(spark, f"{root}/one", (1, "2024-01-01", "a"), (2, "2024-01-01", "b"), (3, "2024-01-05", "c"))
+    upsert_table(first, root, SPEC, staged=True, stamp=STAMP)
+    assert len(writes) == 2 and [w["dynamic"] for w in writes] == [False, True]
+    later = STAMP + dt.timedelta(days=1)
+    second = in_folders(spark, f"{root}/two", (1, "2024-01-02", "A"), (3, "2024-01-01", "C"), (4, "2024-01-09", "d"))
+    upsert_table(second, root, SPEC, staged=True, stamp=later)
+    assert len(writes) == 2 + 4  # 01-05 has a round too, in which it loses its only row
+    want = [(1, "A", "2024-01-02"), (2, "b", "2024-01-01"), (3, "C", "2024-01-01"), (4, "d", "2024-01-09")]
+    assert content(spark, root) == want
+
+
+def test_rounds_need_a_stamp_and_files_of_one_partition_each(spark, root, monkeypatch):
+    monkeypatch.setattr(tables, "ROUND_TASK_BYTES", 1)
+    writes, rows = noted_writes(monkeypatch), ((1, "2024-01-01", "a"), (2, "2024-01-02", "b"))
+    upsert_table(in_folders(spark, f"{root}/one", *rows), f"{root}/x", SPEC, staged=True)
+    with_day(batch(spark, *rows), "ts").coalesce(1).write.parquet(f"{root}/mixed")
+    upsert_table(spark.read.parquet(f"{root}/mixed"), f"{root}/y", SPEC, staged=True, stamp=STAMP)
+    assert len(writes) == 2 and content(spark, f"{root}/x") == content(spark, f"{root}/y")
+
+
+@pytest.mark.parametrize("fail_at", [1, 2])
+def test_a_run_that_stops_between_rounds_is_put_right(spark, root, monkeypatch, fail_at):
+    monkeypatch.setattr(tables, "ROUND_TASK_BYTES", 1)
+    rows = in_folders(spark, f"{root}/one", (1, "2024-01-01", "a"), ("CAST(NULL AS INT)", "2024-01-01", "n"),
+                      (2, "2024-01-02", "b"), (3, "2024-01-03", "c"))
+    with monkeypatch.context() as broken:
+        writes = noted_writes(broken, fail_at)
+        with pytest.raises(RuntimeError):
+            upsert_table(rows, root, SPEC, staged=True, stamp=STAMP)
+        assert len(writes) == fail_at
+    upsert_table(rows, root, SPEC, staged=True, stamp=STAMP)
+    got = read_table(spark, SPEC.path(root)).select("id", "v").collect()
+    assert sorted(map(tuple, got), key=str) == [(1, "a"), (2, "b"), (3, "c"), (None, "n")]
+
+
+def test_tasks_fill_whole_waves():
+    size = 8 * tables.TARGET_FILE_BYTES
+    counts = [tables.range_count(size, tables.TARGET_FILE_BYTES, cores) for cores in (1, 4, 6, 8, 100)]
+    assert counts == [8, 8, 12, 8, 8]
+    assert tables.range_count(1000, tables.TARGET_FILE_BYTES, 6) == 1
+    assert tables.range_count(9 * tables.LEAST_TASK_BYTES, tables.TARGET_FILE_BYTES, 6) == 9
+
+
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in name}
+
+
+def test_shuffle_files_go_with_their_query(spark, root):
+    before, until = shuffle_files(spark), time.time() + 20
+    with session.tidy(spark):
+        spark.range(1000).repartition(3, "id").write.parquet(root)
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and read_table(spark, root).count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
