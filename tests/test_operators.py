@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +126,12 @@ def test_merge_adds_columns(spark):
     target = spark.sql("SELECT 1 AS id, 'a' AS v")
     source = spark.sql("SELECT 2 AS id, 'b' AS v, 9 AS extra")
     assert rows(merge_upsert(target, source, ["id"])) == [(1, "a", None), (2, "b", 9)]
+
+
+def test_top_row_sorts_by_long_keys_first(spark):
+    df = spark.sql("SELECT * FROM VALUES ('a', 1, 5L, 1.0D), ('a', 1, 5L, 2.0D), ('b', 1, 5L, 3.0D), ('a', 1, NULL, 4.0D) t(o, f, id, v)")
+    best = top_row(df, ["o", "f", "id"], [F.desc("v")])
+    assert best.columns == ["o", "f", "id", "v"]
+    assert rows(best) == sorted([("a", 1, 5, 2.0), ("b", 1, 5, 3.0), ("a", 1, None, 4.0)], key=str)
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"windowspecdefinition\(id#\d+L, o#\d+, f#\d+", plan)
